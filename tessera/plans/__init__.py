@@ -1,0 +1,6 @@
+"""Registered queries: one per operator of the blueprint's inventory."""
+
+from . import q_rows  # noqa: F401  (registers slugs)
+from .registry import ORACLES, QUERIES
+
+__all__ = ["QUERIES", "ORACLES"]
