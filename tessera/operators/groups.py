@@ -223,3 +223,12 @@ def top_k(df: DataFrame, score: str, k: int, tiebreak: Sequence[str]) -> DataFra
 def argmax_first(df: DataFrame, metric: str, position: str) -> DataFrame:
     """Row with the largest ``metric``; the first ``position`` among ties."""
     return df.orderBy(F.col(metric).desc(), F.col(position).asc()).limit(1)
+
+
+def missing_share(df: DataFrame, cols: Sequence[str], out: str = "missing_pct") -> DataFrame:
+    """``isnull().mean() * 100`` for each column, one scan, one row per column."""
+    one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)])
+    rows = F.array(
+        *[F.struct(F.lit(c).alias("feature"), (F.col(f"_m{i}") * 100).alias(out)) for i, c in enumerate(cols)]
+    )
+    return one.select(F.inline(rows))
