@@ -106,3 +106,12 @@ def blend(weights: Mapping[str, float]) -> Column:
 
 def invert(col) -> Column:
     return F.lit(1) - _c(col)
+
+
+def round_to(col, digits: int) -> Column:
+    """Round half away from zero on ``x * 10**digits``, keeping the sign of tiny
+    negatives (-0.0) as numpy/pandas output does."""
+    scale = float(10 ** digits)
+    v = _c(col) * F.lit(scale)
+    r = F.when(F.abs(v) >= F.lit(4503599627370496.0), v).otherwise(F.signum(v) * F.floor(F.abs(v) + F.lit(0.5)).cast("double"))
+    return r / F.lit(scale)

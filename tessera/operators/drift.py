@@ -14,7 +14,9 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.features import round_to
 from .groups import describe_exact, unpivot
 from .ordered import running_sums
 
@@ -98,12 +100,12 @@ def ks_sf(d: float, n1: int, n2: int) -> float:
     return max(0.0, min(1.0, 2.0 * s))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_sf_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi2_sf(float(a), int(b)) if pd.notna(a) and pd.notna(b) else float("nan") for a, b in zip(x, dof)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ks_sf_udf(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     return pd.Series([ks_sf(float(a), int(b), int(c)) if pd.notna(a) else float("nan") for a, b, c in zip(d, n1, n2)])
 
@@ -191,7 +193,7 @@ def drift_describe(df: DataFrame, cols: Sequence[str], split: str = "split", a:
     )
     diff = F.col(b) - F.col(a)
     return wide.select(
-        "column", "stat", a, b, diff.alias("diff"), F.round(F.try_divide(diff * 100.0, F.col(a)), 2).alias("pct_diff")
+        "column", "stat", a, b, diff.alias("diff"), round_to(F.try_divide(diff * 100.0, F.col(a)), 2).alias("pct_diff")
     )
 
 

@@ -167,3 +167,21 @@ def prediction_agreement(a: DataFrame, b: DataFrame, key: str, label: str = "lab
 
 def agreement_band(disagree_pct: Column, minor: float = 5.0) -> Column:
     return F.when(disagree_pct == 0, "identical").when(disagree_pct < minor, "minor").otherwise("major")
+
+
+def blend_grid(df: DataFrame, y: str, a: str, b: str, steps: int = 20, threshold: float = 0.5) -> DataFrame:
+    """Accuracy of ``w * a + (1 - w) * b`` for ``w = i / steps``, all weights in ONE aggregation."""
+    aggs = []
+    for i in range(steps + 1):
+        w, rest = i / steps, (steps - i) / steps
+        blended = F.lit(w) * F.col(a) + F.lit(rest) * F.col(b)
+        hit = (blended >= threshold).cast("int") == F.col(y)
+        aggs.append(F.avg(hit.cast("double")).alias(f"_acc{i}"))
+    one = df.where(F.col(y).isNotNull()).agg(*aggs)
+    rows = F.array(
+        *[
+            F.struct(F.lit(i).alias("grid_pos"), F.lit(i / steps).alias("weight"), F.col(f"_acc{i}").alias("accuracy"))
+            for i in range(steps + 1)
+        ]
+    )
+    return one.select(F.inline(rows))

@@ -12,6 +12,9 @@ ordered target statistics) goes through :func:`running_sums` instead:
 3. add the sum of the *earlier* partitions holding the same ``by`` key.  Only a
    key that crosses a partition boundary needs such an offset, so the offset
    table has at most one row per partition and is broadcast on that bound.
+
+The partition-local result is checkpointed once, because the offsets and the
+rows must be computed against the same range boundaries.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 _PID = "_tsr_pid"
 
 
@@ -94,10 +99,12 @@ def running_sums(
                 pdf[name] = local[v].to_numpy()
             yield pdf
 
-    local_cum = ranged.mapInPandas(_cumsum, out_schema)
+    # Materialise once (reliable checkpoint in the shared folder): the offsets
+    # and the rows must see the SAME range boundaries, and two executions of a
+    # range exchange may sample different ones.  It also cuts the lineage, so
+    # a lost executor re-reads the checkpoint instead of re-ranging.
+    local_cum = cut_lineage(ranged.mapInPandas(_cumsum, out_schema))
 
-    # Totals come from the same (opaque) mapInPandas output as the rows, so
-    # both branches read one range exchange and see the same boundaries.
     totals = local_cum.groupBy(_PID, *by).agg(*[F.sum(v).alias(v) for v in values])
     w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
