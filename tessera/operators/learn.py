@@ -1,10 +1,228 @@
-"""Learners and compositions on ``pyspark.ml`` (placeholder, filled below)."""
+"""Learners and model compositions on ``pyspark.ml``.
+
+Shape of every fit-heavy operator:
+
+* the feature table is assembled once and checkpointed (reliable, shared
+  folder) before k fits read it, so a lost executor re-reads a file instead of
+  replaying the feature plan k times;
+* independent fits (folds, seeds, trials) are submitted concurrently from a
+  small driver thread pool -- each fit is a distributed Spark job;
+* out-of-fold (OOF) scores are a lazy union of per-fold transforms, and the
+  test score is the mean of the fold models, computed as extra columns on the
+  same rows (no shuffle, no collect).
+
+Gradient boosting is ``GBTClassifier``; boosted-tree options that Spark has no
+equivalent for (leaf-wise growth, L1/L2 leaf penalties) are not offered.
+"""
+
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import random
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import binarize, confident
+from ..session import cut_lineage
+from .metrics import roc_auc
+
+FEATURES = "_features"
+
+# Defaults kept small: every fit is a distributed job with fixed overhead.
+DEFAULT_PARAMS = {
+    "gbt": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1},
+    "rf": {"numTrees": 30, "maxDepth": 6},
+    "rf_nobootstrap": {"numTrees": 30, "maxDepth": 6, "bootstrap": False},
+    "lr": {"maxIter": 100},
+}
+
+
+def make_estimator(kind: str, label: str, params: Mapping | None = None, seed: int = 42):
+    p = dict(DEFAULT_PARAMS.get(kind, {}))
+    p.update(params or {})
+    common = {"featuresCol": FEATURES, "labelCol": label}
+    if kind == "gbt":
+        return GBTClassifier(seed=seed, **common, **p)
+    if kind in ("rf", "rf_nobootstrap"):
+        return RandomForestClassifier(seed=seed, **common, **p)
+    if kind == "lr":
+        return LogisticRegression(**common, **p)
+    raise ValueError(f"unknown learner {kind!r}")
+
+
+def prepare(df: DataFrame, features: Sequence[str], label: str, checkpoint: bool = True) -> DataFrame:
+    """Assemble the feature vector once (label cast to double) and cut lineage."""
+    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
+    out = va.transform(df.withColumn(label, F.col(label).cast("double")))
+    return cut_lineage(out) if checkpoint else out
+
+
+def fit_model(train: DataFrame, label: str, kind: str = "gbt", params: Mapping | None = None, seed: int = 42):
+    return make_estimator(kind, label, params, seed).fit(train.where(F.col(label).isNotNull()))
+
+
+def predict(model, df: DataFrame, out: str = "p") -> DataFrame:
+    """Add the positive-class probability as ``out`` (helper columns dropped)."""
+    m = model.copy()
+    m.setPredictionCol(f"_pred_{out}").setRawPredictionCol(f"_raw_{out}").setProbabilityCol(f"_prob_{out}")
+    res = m.transform(df)
+    return res.withColumn(out, vector_to_array(F.col(f"_prob_{out}"))[1]).drop(
+        f"_pred_{out}", f"_raw_{out}", f"_prob_{out}"
+    )
+
+
+def _pool_map(fn, items, parallelism: int | None):
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, min(len(items), parallelism or 4))) as ex:
+        return list(ex.map(fn, items))
+
+
+def oof_predict(
+    prepared: DataFrame,
+    label: str,
+    k: int,
+    fold: str = "fold",
+    kind: str = "gbt",
+    params: Mapping | None = None,
+    seed: int = 42,
+    id_col: str = "id",
+    out: str = "p",
+    parallelism: int | None = None,
+    train_extra: DataFrame | None = None,
+):
+    """Out-of-fold scores: each labelled row scored by the model that did not see it.
+
+    Returns ``(oof, models)``; ``oof`` has ``(id, fold, label, out)``.
+    ``train_extra`` rows (e.g. pseudo-labelled) join every training split but
+    are never scored.
+    """
+    lab = prepared.where(F.col(label).isNotNull())
+
+    def fit_one(i: int):
+        train = lab.where(F.col(fold) != i)
+        if train_extra is not None:
+            train = train.unionByName(train_extra.select(*train.columns))
+        return fit_model(train, label, kind, params, seed)
+
+    models = _pool_map(fit_one, range(k), parallelism)
+    parts = [
+        predict(m, lab.where(F.col(fold) == i), out).select(id_col, fold, label, out) for i, m in enumerate(models)
+    ]
+    return reduce(DataFrame.unionByName, parts), models
+
+
+def fold_mean_predict(models, df: DataFrame, out: str = "p", keep: Sequence[str] = ("id",)) -> DataFrame:
+    """Mean positive probability of several models, as columns on the same rows."""
+    cur = df
+    names = []
+    for i, m in enumerate(models):
+        cur = predict(m, cur, f"_m{i}")
+        names.append(f"_m{i}")
+    mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
+    return cur.select(*keep, mean.alias(out))
+
+
+def cv_report(oof: DataFrame, label: str, score: str = "p", fold: str = "fold", threshold: float = 0.5) -> DataFrame:
+    """Per-fold accuracy and AUC plus mean / population std over folds (one row per fold + 'all')."""
+    pred = binarize(score, threshold)
+    per = oof.groupBy(fold).agg(F.avg((pred == F.col(label)).cast("double")).alias("accuracy"))
+    aucs = roc_auc(oof, label, score, [fold]).select(fold, "auc")
+    table = per.join(aucs, [fold], "left")
+    overall = oof.agg(F.avg((pred == F.col(label)).cast("double")).alias("oof_accuracy"))
+    summary = table.agg(
+        F.avg("accuracy").alias("cv_mean"), F.stddev_pop("accuracy").alias("cv_std"), F.avg("auc").alias("auc_mean")
+    )
+    oof_auc = roc_auc(oof, label, score).select(F.col("auc").alias("oof_auc"))
+    return table.crossJoin(summary).crossJoin(overall).crossJoin(oof_auc)
+
+
+def train_accuracy_gap(models, prepared: DataFrame, label: str, fold: str = "fold", threshold: float = 0.5) -> DataFrame:
+    """Training-rows accuracy of each fold model next to its held-out accuracy (overfit gap)."""
+    lab = prepared.where(F.col(label).isNotNull())
+    rows = []
+    for i, m in enumerate(models):
+        s = predict(m, lab, "_p").withColumn("_hit", (binarize("_p", threshold) == F.col(label)).cast("double"))
+        rows.append(
+            s.agg(
+                F.lit(i).alias(fold),
+                F.avg(F.when(F.col(fold) != i, F.col("_hit"))).alias("train_accuracy"),
+                F.avg(F.when(F.col(fold) == i, F.col("_hit"))).alias("valid_accuracy"),
+            )
+        )
+    t = reduce(DataFrame.unionByName, rows)
+    return t.withColumn("gap", F.col("train_accuracy") - F.col("valid_accuracy"))
+
+
+def with_validation_flag(df: DataFrame, id_col: str, share: float = 0.2, seed: int = 7, out: str = "_is_val") -> DataFrame:
+    """Inner validation rows for early stopping, independent of the scored fold (Q15)."""
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|v|"), F.col(id_col).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn(out, (h % 1000) < int(share * 1000))
+
+
+def feature_importance(models, features: Sequence[str], spark: SparkSession) -> DataFrame:
+    """``(feature, fold, importance)`` from tree models, a table of #features x #models rows."""
+    rows = []
+    for i, m in enumerate(models):
+        imp = m.featureImportances.toArray()
+        rows += [(f, i, float(v)) for f, v in zip(features, imp)]
+    return spark.createDataFrame(rows, "feature string, fold int, importance double")
+
+
+def importance_ranking(imp: DataFrame) -> DataFrame:
+    from .groups import average_rank_desc
+
+    mean = imp.groupBy("feature").agg(F.avg("importance").alias("importance"))
+    return average_rank_desc(mean, "importance", "rank")
+
+
+def seed_bagging(prepared: DataFrame, label: str, k: int, kinds: Sequence[str], seeds: Sequence[int], fold: str = "fold",
+                 id_col: str = "id", parallelism: int | None = None):
+    """OOF score averaged over (learner, seed) pairs; returns ``(oof_mean, models)``."""
+    oofs, all_models = [], []
+    for kind in kinds:
+        for s in seeds:
+            o, ms = oof_predict(prepared, label, k, fold, kind, None, s, id_col, f"p_{kind}_{s}", parallelism)
+            oofs.append(o)
+            all_models += ms
+    cols = [c for o in oofs for c in o.columns if c.startswith("p_")]
+    wide = reduce(lambda a, b: a.join(b.drop(fold, label), id_col, "inner"), oofs)
+    mean = reduce(lambda a, b: a + b, [F.col(c) for c in cols]) / F.lit(float(len(cols)))
+    return wide.select(id_col, fold, label, mean.alias("p")), all_models
+
+
+def select_by_importance(prepared_fn, label: str, k: int, ranking: DataFrame, ratios: Sequence[float], kind: str = "gbt",
+                         fold: str = "fold", id_col: str = "id", parallelism: int | None = None) -> DataFrame:
+    """CV of the top ``int(n * ratio)`` features for each ratio; one row per ratio."""
+    ordered = [r["feature"] for r in ranking.orderBy(F.col("importance").desc(), "feature").select("feature").collect()]
+    spark = ranking.sparkSession
+    rows = []
+    for r in ratios:
+        keep = ordered[: max(1, int(len(ordered) * r))]
+        prep = prepared_fn(keep)
+        oof, _ = oof_predict(prep, label, k, fold, kind, None, 42, id_col, "p", parallelism)
+        rep = cv_report(oof, label).select("cv_mean", "cv_std").limit(1).collect()[0]
+        rows.append((len(keep), float(rep["cv_mean"]), float(rep["cv_std"]), keep))
+    return spark.createDataFrame(rows, "n_features int, cv_mean double, cv_std double, features array<string>")
+
+
+def ablation_table(prepared_fn, label: str, k: int, feature_sets: Mapping[str, Sequence[str]], kind: str = "gbt",
+                   fold: str = "fold", id_col: str = "id", parallelism: int | None = None) -> DataFrame:
+    """One row per named feature set: OOF accuracy and AUC (replaces one script per ablation)."""
+    reps = []
+    for name, feats in feature_sets.items():
+        oof, _ = oof_predict(prepared_fn(list(feats)), label, k, fold, kind, None, 42, id_col, "p", parallelism)
+        rep = cv_report(oof, label).select("cv_mean", "cv_std", "oof_accuracy", "oof_auc").limit(1)
+        reps.append(rep.select(F.lit(name).alias("feature_set"), F.lit(len(feats)).alias("n_features"), "*"))
+    return reduce(DataFrame.unionByName, reps)
 
 
 def pseudo_label_rows(df: DataFrame, target: str, score: str, hi: float, lo: float, id_col: str = "id",
@@ -14,3 +232,113 @@ def pseudo_label_rows(df: DataFrame, target: str, score: str, hi: float, lo: flo
     conf = df.where(F.col(target).isNull() & confident(score, hi, lo, inclusive))
     conf = conf.withColumn(target, binarize(score, threshold)).withColumn("is_pseudo", F.lit(1))
     return lab.unionByName(conf)
+
+
+def pseudo_label_search(prepared: DataFrame, label: str, k: int, bands: Sequence[tuple[float, float]], kind: str = "gbt",
+                        fold: str = "fold", id_col: str = "id", min_rows: int = 1, parallelism: int | None = None) -> DataFrame:
+    """Score bands of pseudo-labels; every OOF score is taken on original rows only.
+
+    The baseline (no pseudo-labels) is a row of the table, so "all worse than
+    baseline" is visible and the baseline can win (Q16).
+    """
+    spark = prepared.sparkSession
+    base_oof, models = oof_predict(prepared, label, k, fold, kind, None, 42, id_col, "p", parallelism)
+    test = prepared.where(F.col(label).isNull())
+    scored_test = cut_lineage(predict_mean_keep(models, test))
+    base = cv_report(base_oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
+    rows = [(None, None, 0, float(base["oof_accuracy"]), float(base["oof_auc"]))]
+    for hi, lo in bands:
+        pseudo = scored_test.where(confident("_p", hi, lo)).withColumn(label, binarize("_p").cast("double"))
+        pseudo = pseudo.drop("_p").withColumn(fold, F.lit(-1))
+        n = pseudo.count()
+        if n < min_rows:
+            rows.append((hi, lo, n, None, None))
+            continue
+        oof, _ = oof_predict(prepared, label, k, fold, kind, None, 42, id_col, "p", parallelism, train_extra=pseudo)
+        rep = cv_report(oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
+        rows.append((hi, lo, n, float(rep["oof_accuracy"]), float(rep["oof_auc"])))
+    return spark.createDataFrame(rows, "hi double, lo double, n_pseudo bigint, oof_accuracy double, oof_auc double")
+
+
+def predict_mean_keep(models, df: DataFrame, out: str = "_p") -> DataFrame:
+    """Fold-mean probability added to ``df`` keeping all of its columns."""
+    cur = df
+    names = []
+    for i, m in enumerate(models):
+        cur = predict(m, cur, f"_m{i}")
+        names.append(f"_m{i}")
+    mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
+    return cur.withColumn(out, mean).drop(*names)
+
+
+def stacking(prepared: DataFrame, label: str, k: int, base_kinds: Sequence[str], fold: str = "fold", id_col: str = "id",
+             seed: int = 42, parallelism: int | None = None):
+    """Two-level stacking: base OOF scores -> logistic meta-learner scored out of fold too (Q14).
+
+    Returns ``(meta_oof, coefficients, test_scores)``.
+    """
+    spark = prepared.sparkSession
+    oofs, tests = [], []
+    test = prepared.where(F.col(label).isNull())
+    for kind in base_kinds:
+        o, ms = oof_predict(prepared, label, k, fold, kind, None, seed, id_col, f"p_{kind}", parallelism)
+        oofs.append(o)
+        tests.append(fold_mean_predict(ms, test, f"p_{kind}", [id_col]))
+    matrix = reduce(lambda a, b: a.join(b.drop(fold, label), id_col, "inner"), oofs)
+    cols = [f"p_{k_}" for k_ in base_kinds]
+    meta_in = prepare(matrix, cols, label)
+    meta_oof, _ = oof_predict(meta_in, label, k, fold, "lr", None, seed, id_col, "p_meta", parallelism)
+    meta_model = fit_model(meta_in, label, "lr")
+    coef = spark.createDataFrame(
+        [(c, float(w)) for c, w in zip(cols, meta_model.coefficients.toArray())] + [("intercept", float(meta_model.intercept))],
+        "term string, coefficient double",
+    )
+    test_matrix = reduce(lambda a, b: a.join(b, id_col, "inner"), tests)
+    test_scores = predict(meta_model, prepare(test_matrix.withColumn(label, F.lit(None).cast("double")), cols, label), "p_meta")
+    return meta_oof, coef, test_scores.select(id_col, "p_meta")
+
+
+def sample_params(space: Mapping[str, tuple], n_trials: int, seed: int = 42) -> list[dict]:
+    """Seeded random search over ``{name: ('int'|'float'|'logfloat', lo, hi) | ('choice', [..])}``."""
+    import math
+
+    rng = random.Random(seed)
+    trials = []
+    for _ in range(n_trials):
+        p = {}
+        for name, spec in space.items():
+            kind = spec[0]
+            if kind == "int":
+                p[name] = rng.randint(spec[1], spec[2])
+            elif kind == "float":
+                p[name] = rng.uniform(spec[1], spec[2])
+            elif kind == "logfloat":
+                p[name] = math.exp(rng.uniform(math.log(spec[1]), math.log(spec[2])))
+            elif kind == "choice":
+                p[name] = rng.choice(list(spec[1]))
+            else:
+                raise ValueError(kind)
+        trials.append(p)
+    return trials
+
+
+def hyper_search(prepared: DataFrame, label: str, space: Mapping[str, tuple], n_trials: int, k: int, kind: str = "gbt",
+                 fold: str = "fold", seed: int = 42, parallelism: int = 4):
+    """Random search scored by fold-column cross-validation (``CrossValidator(foldCol=...)``).
+
+    Returns ``(trials_table, best_params)``; the seed is kept in the refit (Q18).
+    """
+    spark = prepared.sparkSession
+    est = make_estimator(kind, label, None, seed)
+    trials = sample_params(space, n_trials, seed)
+    maps = [{est.getParam(k): v for k, v in t.items()} for t in trials]
+    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    # Materialised so CrossValidator's fold-range check only ever sees labelled rows.
+    lab = cut_lineage(prepared.where(F.col(label).isNotNull()).withColumn(fold, F.col(fold).cast("int")))
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=k, foldCol=fold,
+                        parallelism=parallelism, seed=seed)
+    cvm = cv.fit(lab)
+    rows = [(i, json.dumps(t, sort_keys=True), float(m), float(s)) for i, (t, m, s) in enumerate(zip(trials, cvm.avgMetrics, cvm.stdMetrics))]
+    table = spark.createDataFrame(rows, "trial int, params string, cv_accuracy double, cv_std double")
+    best = max(range(len(trials)), key=lambda i: (cvm.avgMetrics[i], -i))
+    return table, trials[best]
