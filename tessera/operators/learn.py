@@ -2,8 +2,8 @@
 
 Shape of every fit-heavy operator:
 
-* the feature table is assembled once and checkpointed (reliable, shared
-  folder) before k fits read it, so a lost executor re-reads a file instead of
+* the feature table is assembled once and written to the shared checkpoint
+  folder before k fits read it, so a lost executor re-reads a file instead of
   replaying the feature plan k times;
 * independent fits (folds, seeds, trials) are submitted concurrently from a
   small driver thread pool -- each fit is a distributed Spark job;
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import binarize, confident
-from ..session import cut_lineage
+from ..session import materialize
 from .metrics import roc_auc
 
 FEATURES = "_features"
@@ -63,7 +63,7 @@ def prepare(df: DataFrame, features: Sequence[str], label: str, checkpoint: bool
     """Assemble the feature vector once (label cast to double) and cut lineage."""
     va = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
     out = va.transform(df.withColumn(label, F.col(label).cast("double")))
-    return cut_lineage(out) if checkpoint else out
+    return materialize(out, "features") if checkpoint else out
 
 
 def fit_model(train: DataFrame, label: str, kind: str = "gbt", params: Mapping | None = None, seed: int = 42):
@@ -244,7 +244,7 @@ def pseudo_label_search(prepared: DataFrame, label: str, k: int, bands: Sequence
     spark = prepared.sparkSession
     base_oof, models = oof_predict(prepared, label, k, fold, kind, None, 42, id_col, "p", parallelism)
     test = prepared.where(F.col(label).isNull())
-    scored_test = cut_lineage(predict_mean_keep(models, test))
+    scored_test = materialize(predict_mean_keep(models, test), "scored")
     base = cv_report(base_oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
     rows = [(None, None, 0, float(base["oof_accuracy"]), float(base["oof_auc"]))]
     for hi, lo in bands:
@@ -334,7 +334,7 @@ def hyper_search(prepared: DataFrame, label: str, space: Mapping[str, tuple], n_
     maps = [{est.getParam(k): v for k, v in t.items()} for t in trials]
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     # Materialised so CrossValidator's fold-range check only ever sees labelled rows.
-    lab = cut_lineage(prepared.where(F.col(label).isNotNull()).withColumn(fold, F.col(fold).cast("int")))
+    lab = materialize(prepared.where(F.col(label).isNotNull()).withColumn(fold, F.col(fold).cast("int")), "cv_input")
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=k, foldCol=fold,
                         parallelism=parallelism, seed=seed)
     cvm = cv.fit(lab)

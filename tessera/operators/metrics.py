@@ -3,8 +3,9 @@
 * AUC / ROC: scores are first reduced to distinct values with positive and
   negative counts (map-side combined), then cumulated in score order with a
   range-partitioned running sum.
-* Threshold sweeps: every grid threshold is a pair of conditional counts in
-  ONE aggregation pass (no loop of scans, no cross join with the rows).
+* Threshold sweeps: one pass builds a score histogram over the (bounded)
+  threshold grid; all thresholds are then suffix sums on that tiny table
+  (no loop of scans, no cross join with the rows).
 """
 
 from __future__ import annotations
@@ -76,36 +77,52 @@ def youden_threshold(df: DataFrame, y: str, score: str) -> DataFrame:
     return curve.orderBy(F.col("youden_j").desc(), F.col("threshold").desc()).limit(1)
 
 
+def grid_bucket(score, lo: int, hi: int, scale: int = 100, inclusive: bool = True):
+    """Largest grid index ``i`` in ``[lo - 1, hi]`` with ``i / scale <= p`` (``<`` if not inclusive).
+
+    ``floor(p * scale)`` can be off by one in floating point; the bucket is
+    corrected by comparing with the exact grid values ``i / scale`` -- the same
+    doubles the sweep compares against -- so ``p >= t_i`` iff ``bucket >= i``.
+    """
+    p = F.col(score)
+    s = F.lit(scale)
+    if inclusive:
+        b0 = F.floor(p * s)
+        b = F.when(b0 / s > p, b0 - 1).when((b0 + 1) / s <= p, b0 + 1).otherwise(b0)
+    else:
+        b0 = F.ceil(p * s) - 1
+        b = F.when(b0 / s >= p, b0 - 1).when((b0 + 1) / s < p, b0 + 1).otherwise(b0)
+    return F.greatest(F.lit(lo - 1), F.least(F.lit(hi), b)).cast("int")
+
+
 def threshold_sweep(
     df: DataFrame, y: str, score: str, lo: int = 30, hi: int = 70, scale: int = 100, inclusive: bool = True
 ) -> DataFrame:
-    """Accuracy / precision / recall / F1 at every grid threshold, in one pass.
+    """Accuracy / precision / recall / F1 at every grid threshold ``i / scale``.
 
-    Returns one row per threshold: ``(grid_pos, threshold, tp, pred_pos,
+    One pass over the rows: a score histogram over at most ``hi - lo + 2``
+    clamped grid buckets (map-side combined), then suffix sums on that tiny
+    table against the grid.  Returns ``(grid_pos, threshold, tp, pred_pos,
     accuracy, precision, recall, f1)``.
     """
-    p, yy = F.col(score), F.col(y)
-    grid = _grid(lo, hi, scale)
-    aggs = [F.count(F.lit(1)).alias("_n"), F.sum(yy.cast("long")).alias("_P")]
-    for i, t in grid:
-        hit = p >= t if inclusive else p > t
-        aggs.append(F.count_if(hit & (yy == 1)).alias(f"_tp{i}"))
-        aggs.append(F.count_if(hit).alias(f"_pp{i}"))
-    one = df.where(yy.isNotNull() & p.isNotNull()).agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("grid_pos"),
-                F.lit(t).alias("threshold"),
-                F.col(f"_tp{i}").alias("tp"),
-                F.col(f"_pp{i}").alias("pred_pos"),
-            )
-            for i, t in grid
-        ]
+    spark = df.sparkSession
+    yy = F.col(y)
+    hist = (
+        df.where(yy.isNotNull() & F.col(score).isNotNull())
+        .groupBy(grid_bucket(score, lo, hi, scale, inclusive).alias("_b"))
+        .agg(F.count(F.lit(1)).alias("_cnt"), F.sum(yy.cast("long")).alias("_pos"))
+    )
+    grid = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias("grid_pos"))
+    grid = grid.withColumn("threshold", F.col("grid_pos") / F.lit(scale))
+    hit = F.col("_b") >= F.col("grid_pos")
+    k = F.broadcast(grid).crossJoin(hist).groupBy("grid_pos", "threshold").agg(  # (hi-lo+1) x (hi-lo+2) rows
+        F.sum(F.when(hit, F.col("_pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(hit, F.col("_cnt")).otherwise(0)).alias("pred_pos"),
+        F.sum("_cnt").alias("_n"),
+        F.sum("_pos").alias("_P"),
     )
-    long = one.select("_n", "_P", F.inline(rows))
     tp, pp, n, P = F.col("tp"), F.col("pred_pos"), F.col("_n"), F.col("_P")
-    return long.select(
+    return k.select(
         "grid_pos",
         "threshold",
         "tp",

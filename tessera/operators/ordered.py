@@ -9,11 +9,13 @@ ordered target statistics) goes through :func:`running_sums` instead:
    across many partitions by its order columns;
 2. sort within each partition and take the cumulative sums there (one pandas
    ``cumsum`` per Arrow batch inside the task);
-3. add the sum of the *earlier* partitions holding the same ``by`` key.  Only a
-   key that crosses a partition boundary needs such an offset, so the offset
-   table has at most one row per partition and is broadcast on that bound.
+3. add the sum of the *earlier* partitions holding the same ``by`` key.  Only
+   the first key of a partition can continue from an earlier partition, so
+   each task also emits two summary rows (first key; last key with its local
+   total).  The driver chains those <= 2n rows into at most n offsets, which
+   are broadcast back -- a size bound by the partition count, not the data.
 
-The partition-local result is checkpointed once, because the offsets and the
+The partition-local result is materialised once, because the offsets and the
 rows must be computed against the same range boundaries.
 """
 
@@ -26,9 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import materialize
 
 _PID = "_tsr_pid"
+_KIND = "_tsr_kind"
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -64,17 +67,20 @@ def running_sums(
         .withColumn(_PID, F.spark_partition_id())
     )
 
-    out_fields = list(ranged.schema.fields)
-    for v in values:
+    cum_names = [prefix + v for v in values]
+    out_fields = [T.StructField(f.name, f.dataType, True) for f in ranged.schema.fields]
+    cum_types = {}
+    for v, name in zip(values, cum_names):
         dt = ranged.schema[v].dataType
         integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-        out_fields.append(T.StructField(prefix + v, T.LongType() if integral else T.DoubleType(), False))
+        cum_types[name] = T.LongType() if integral else T.DoubleType()
+        out_fields.append(T.StructField(name, cum_types[name], True))
+    out_fields.append(T.StructField(_KIND, T.IntegerType(), False))
     out_schema = T.StructType(out_fields)
-    cum_names = [prefix + v for v in values]
+    col_names = [f.name for f in out_fields]
 
     def _cumsum(batches):
-        carry_key = None
-        carry = None
+        carry_key = carry = first_key = pid = None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -85,44 +91,94 @@ def running_sums(
                 same = (keys_df == prev) | (keys_df.isna() & prev.isna())
                 seg = (~same.all(axis=1)).cumsum().to_numpy()
                 local = vals.groupby(seg).cumsum()
-                first_key = _key_of(keys_df.iloc[0])
-                if carry is not None and first_key == carry_key:
+                head_key = _key_of(keys_df.iloc[0])
+                if carry is not None and head_key == carry_key:
                     head = seg == seg[0]
                     local.loc[head, :] = local.loc[head, :].to_numpy() + carry
                 carry_key = _key_of(keys_df.iloc[-1])
+                if first_key is None:
+                    first_key = head_key
             else:
                 local = vals.cumsum()
                 if carry is not None:
                     local = local + carry
+                carry_key = first_key = ()
             carry = local.iloc[-1].to_numpy()
+            pid = int(pdf[_PID].iloc[0])
             for v, name in zip(values, cum_names):
                 pdf[name] = local[v].to_numpy()
-            yield pdf
-
-    # Materialise once (reliable checkpoint in the shared folder): the offsets
+            pdf[_KIND] = 0
+            yield pdf[col_names]
+        if pid is not None:
+            # Two summary rows per partition: its first key, and its last key
+            # with that key's partition-local running total.
+            summary = pd.DataFrame({c: [None, None] for c in col_names})
+            summary[_PID] = pid
+            summary[_KIND] = [1, 2]
+            for i, b in enumerate(by):
+                summary[b] = [first_key[i], carry_key[i]]
+            for j, name in enumerate(cum_names):
+                summary[name] = [None, carry[j]]
+            yield summary[col_names]
+
+    # Materialise once (a table in the shared checkpoint folder): the offsets
     # and the rows must see the SAME range boundaries, and two executions of a
     # range exchange may sample different ones.  It also cuts the lineage, so
-    # a lost executor re-reads the checkpoint instead of re-ranging.
-    local_cum = cut_lineage(ranged.mapInPandas(_cumsum, out_schema))
-
-    totals = local_cum.groupBy(_PID, *by).agg(*[F.sum(v).alias(v) for v in values])
-    w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col(_PID).alias("_o_pid"),
-        *[F.col(b).alias("_o_" + b) for b in by],
-        *[F.sum(v).over(w).alias("_off_" + v) for v in values],
-    ).where(F.col("_off_" + values[0]).isNotNull())
-    # At most one key per partition crosses a boundary: <= n rows, broadcast.
+    # a lost executor re-reads the table instead of re-ranging.
+    local_cum = materialize(ranged.mapInPandas(_cumsum, out_schema), "running")
+
+    # <= 2 summary rows per range partition: a bounded collect.
+    summary = local_cum.where(F.col(_KIND) > 0).select(_PID, _KIND, *by, *cum_names).collect()
+    offsets = _chain_offsets(summary, by, cum_names)
+    rows = local_cum.where(F.col(_KIND) == 0)
+    out_cols = [c for c in ranged.columns if c != _PID]
+    if not offsets:
+        return rows.select(*out_cols, *cum_names)
+    off_schema = T.StructType(
+        [T.StructField("_o_pid", T.IntegerType(), False)]
+        + [T.StructField("_o_" + b, ranged.schema[b].dataType, True) for b in by]
+        + [T.StructField("_off_" + c, cum_types[c], False) for c in cum_names]
+    )
+    off_df = df.sparkSession.createDataFrame(offsets, off_schema)
     cond = F.col(_PID) == F.col("_o_pid")
     for b in by:
         cond = cond & F.col(b).eqNullSafe(F.col("_o_" + b))
-    joined = local_cum.join(F.broadcast(offsets), cond, "left")
-    cols = [F.col(c) for c in ranged.columns if c != _PID]
-    cols += [
-        (F.col(prefix + v) + F.coalesce(F.col("_off_" + v), F.lit(0))).alias(prefix + v)
-        for v in values
-    ]
-    return joined.select(*cols)
+    joined = rows.join(F.broadcast(off_df), cond, "left")  # <= n rows
+    return joined.select(
+        *out_cols,
+        *[(F.col(c) + F.coalesce(F.col("_off_" + c), F.lit(0))).alias(c) for c in cum_names],
+    )
+
+
+def _chain_offsets(summary, by, cum_names) -> list[tuple]:
+    """Offset of each partition's first key: the running total it carries over.
+
+    ``offset(p) = [last(p') == first(p)] * (total_last(p') + [first(p') == last(p')] * offset(p'))``
+    with ``p'`` the previous non-empty partition.  Runs over <= 2 rows per partition.
+    """
+    per = {}
+    for r in summary:
+        d = per.setdefault(r[_PID], {})
+        key = tuple(r[b] for b in by)
+        if r[_KIND] == 1:
+            d["first"] = key
+        else:
+            d["last"] = key
+            d["total"] = [r[c] for c in cum_names]
+    out = []
+    prev = None
+    prev_off = None
+    for pid in sorted(per):
+        d = per[pid]
+        off = None
+        if prev is not None and prev["last"] == d["first"]:
+            off = list(prev["total"])
+            if prev["first"] == prev["last"] and prev_off is not None:
+                off = [a + b for a, b in zip(off, prev_off)]
+        if off is not None:
+            out.append((int(pid), *d["first"], *off))
+        prev, prev_off = d, off
+    return out
 
 
 def dense_codes(
@@ -147,8 +203,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default), nulls skipped.
 
-    Returns ``(by..., prob, quantile)``; groups with no non-null value are
-    absent (callers left-join and get NULL, as ``groupby().median()`` does).
+    Returns ``(by..., prob, quantile)``; groups with no non-null value (and
+    NULL ``by`` keys) are absent -- callers left-join and get NULL, as
+    ``groupby().median()`` does.
     Work: one aggregation to distinct ``(by, value)`` counts, one
     :func:`running_sums`, one join of the (tiny per group) rank targets.
     """
@@ -160,7 +217,8 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     cum = running_sums(counts, [value], ["_c"], by)
-    sizes = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    # Group sizes from the (materialised) cumulative table, not a second scan.
+    sizes = cum.groupBy(*by).agg(F.max("cum__c").alias("_n"))
     prob_df = spark.createDataFrame([(float(p),) for p in probs], f"{prob_col} double")
     pos = F.col(prob_col) * (F.col("_n") - 1)
     targets = (
@@ -170,29 +228,20 @@ def exact_quantiles(
         .withColumn("_frac", pos - F.floor(pos))
     )
 
-    def pick(rank_col: str, name: str) -> DataFrame:
-        t = targets.alias("t")
-        c = cum.alias("c")
-        cond = (F.col(f"c.cum__c") - F.col("c._c") <= F.col(f"t.{rank_col}")) & (
-            F.col(f"t.{rank_col}") < F.col("c.cum__c")
+    # One pass: each distinct value is matched to the ranks it covers.
+    j = cum.join(targets, by, "inner") if by else cum.crossJoin(F.broadcast(targets))
+    lo_hit = (F.col("cum__c") - F.col("_c") <= F.col("_lo")) & (F.col("_lo") < F.col("cum__c"))
+    hi_hit = (F.col("cum__c") - F.col("_c") <= F.col("_hi")) & (F.col("_hi") < F.col("cum__c"))
+    v = F.col(value).cast("double")
+    both = (
+        j.where(lo_hit | hi_hit)
+        .groupBy(*by, prob_col)
+        .agg(
+            F.max(F.when(lo_hit, v)).alias("_vlo"),
+            F.max(F.when(hi_hit, v)).alias("_vhi"),
+            F.first("_frac").alias("_frac"),
         )
-        for b in by:
-            cond = cond & F.col(f"c.{b}").eqNullSafe(F.col(f"t.{b}"))
-        return t.join(c, cond, "inner").select(
-            *[F.col(f"t.{b}").alias(b) for b in by],
-            F.col(f"t.{prob_col}").alias(prob_col),
-            F.col("t._frac").alias("_frac"),
-            F.col(f"c.{value}").cast("double").alias(name),
-        )
-
-    lo = pick("_lo", "_vlo")
-    hi = pick("_hi", "_vhi").select(
-        *[F.col(b).alias("_h_" + b) for b in by], F.col(prob_col).alias("_h_p"), "_vhi"
     )
-    cond = F.col(prob_col) == F.col("_h_p")
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col("_h_" + b))
-    both = lo.join(hi, cond, "inner")
     return both.select(
         *by,
         prob_col,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +63,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
+
+    Same guarantees as a reliable checkpoint (fixed contents, short lineage,
+    survives executor loss) in ONE job: ``checkpoint(eager=True)`` evaluates
+    its input twice, once to count and once to write.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
