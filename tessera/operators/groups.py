@@ -99,8 +99,7 @@ def group_median(df: DataFrame, keys, value: str, out: str = "median", approx: b
     if approx:
         return src.groupBy(*keys).agg(F.percentile_approx(value, 0.5, 10000).cast("double").alias(out))
     # Groups whose values are all NULL keep a NULL median (pandas keeps them).
-    groups = src.select(*keys).distinct()
-    return groups.join(exact_median(src, value, keys, out), keys, "left")
+    return exact_median(src, value, keys, out, keep_empty=True)
 
 
 def with_group_median(df: DataFrame, keys, value: str, out: str, approx: bool = False) -> DataFrame:

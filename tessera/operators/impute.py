@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .groups import _keys, group_median, mode_table
+from ..session import materialize
 from .ordered import exact_median
 
 
@@ -65,30 +66,46 @@ def impute_cascade(
     is used -- even when that group's median is NULL (all values missing), in
     which case the global median is used, not the next level.  Statistics are
     never taken over filled values.
+
+    All levels and the global median come from ONE exact-quantile pass over a
+    level-tagged long table ``(level, key, value)``; the small fitted table is
+    materialised once and joined back once per level.
     """
     out = out or value
     src = fit_on if fit_on is not None else df
+    levels = [_keys(k) for k in levels]
+    tagged = [F.struct(F.lit(i).alias("_lvl"), _level_key(k).alias("_key")) for i, k in enumerate(levels)]
+    if global_fallback:
+        tagged.append(F.struct(F.lit(-1).alias("_lvl"), F.lit("").alias("_key")))
+    long = src.select(F.col(value).cast("double").alias("_v"), F.explode(F.array(*tagged)).alias("_t")).select(
+        "_t._lvl", "_t._key", "_v"
+    )
+    fitted = materialize(exact_median(long, "_v", ["_lvl", "_key"], "_m", keep_empty=True), "cascade")
     cur = df
-    picks = []
-    for i, keys in enumerate(levels):
-        keys = _keys(keys)
-        present = src.where(_all_not_null(keys)).groupBy(*keys).agg(F.lit(True).alias(f"_p{i}"))
-        med = group_median(src, keys, value, f"_m{i}")
-        level = present.join(med, keys, "left")
-        cur = cur.join(level, keys, "left")
-        picks.append((F.col(f"_p{i}"), F.col(f"_m{i}")))
     fill = None
-    for p, m in picks:
+    for i, keys in enumerate(levels):
+        lvl = fitted.where(F.col("_lvl") == i).select(
+            F.col("_key").alias(f"_k{i}"), F.lit(True).alias(f"_p{i}"), F.col("_m").alias(f"_m{i}")
+        )
+        cur = cur.join(lvl, _level_key(keys) == F.col(f"_k{i}"), "left")
+        p, m = F.col(f"_p{i}"), F.col(f"_m{i}")
         fill = F.when(p.isNotNull(), m) if fill is None else fill.when(p.isNotNull(), m)
     parts = [F.col(value), fill]
     if global_fallback:
-        cur = cur.crossJoin(F.broadcast(_global_median(src, value, "_gmed")))
+        glob = fitted.where(F.col("_lvl") == -1).select(F.col("_m").alias("_gmed"))  # one row
+        cur = cur.crossJoin(F.broadcast(glob))
         parts.append(F.col("_gmed"))
     cur = cur.withColumn(out, F.coalesce(*parts))
-    drop = [f"_p{i}" for i in range(len(levels))] + [f"_m{i}" for i in range(len(levels))]
+    drop = [f"_{x}{i}" for i in range(len(levels)) for x in ("k", "p", "m")]
     return cur.drop(*drop, "_gmed")
 
 
+def _level_key(keys: Sequence[str]):
+    """Text key of one level; NULL when any part is NULL (such rows have no group)."""
+    parts = F.array(*[F.col(k).cast("string") for k in keys])
+    return F.when(~F.exists(parts, lambda x: x.isNull()), F.to_json(parts))
+
+
 def _all_not_null(keys):
     cond = F.lit(True)
     for k in keys:

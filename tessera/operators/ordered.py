@@ -200,23 +200,29 @@ def exact_quantiles(
     by: Sequence[str] = (),
     prob_col: str = "prob",
     out: str = "quantile",
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default), nulls skipped.
 
-    Returns ``(by..., prob, quantile)``; groups with no non-null value (and
-    NULL ``by`` keys) are absent -- callers left-join and get NULL, as
-    ``groupby().median()`` does.
-    Work: one aggregation to distinct ``(by, value)`` counts, one
-    :func:`running_sums`, one join of the (tiny per group) rank targets.
+    Returns ``(by..., prob, quantile)``.  Rows with a NULL ``by`` key are
+    ignored.  A group whose values are all NULL is absent, or -- with
+    ``keep_empty`` -- present with a NULL quantile (``groupby().median()``
+    keeps such groups).  Work: one aggregation to distinct ``(by, value)``
+    counts, one :func:`running_sums`, one join with the (tiny per group) rank
+    targets.
     """
     by = list(by)
     spark = df.sparkSession
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_c"))
+    src = df
+    for b in by:
+        src = src.where(F.col(b).isNotNull())
+    if not keep_empty:
+        src = src.where(F.col(value).isNotNull())
+    counts = src.groupBy(*by, value).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(F.col(value)).alias("_c")
     )
-    cum = running_sums(counts, [value], ["_c"], by)
+    # NULL values sort first with weight 0, so they never take a rank.
+    cum = running_sums(counts.drop("_rows"), [value], ["_c"], by)
     # Group sizes from the (materialised) cumulative table, not a second scan.
     sizes = cum.groupBy(*by).agg(F.max("cum__c").alias("_n"))
     prob_df = spark.createDataFrame([(float(p),) for p in probs], f"{prob_col} double")
@@ -234,7 +240,7 @@ def exact_quantiles(
     hi_hit = (F.col("cum__c") - F.col("_c") <= F.col("_hi")) & (F.col("_hi") < F.col("cum__c"))
     v = F.col(value).cast("double")
     both = (
-        j.where(lo_hit | hi_hit)
+        j.where(F.col(value).isNotNull() & (lo_hit | hi_hit))
         .groupBy(*by, prob_col)
         .agg(
             F.max(F.when(lo_hit, v)).alias("_vlo"),
@@ -242,6 +248,8 @@ def exact_quantiles(
             F.first("_frac").alias("_frac"),
         )
     )
+    if keep_empty:
+        both = targets.select(*by, prob_col).join(both, [*by, prob_col], "left")
     return both.select(
         *by,
         prob_col,
@@ -249,6 +257,8 @@ def exact_quantiles(
     )
 
 
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median") -> DataFrame:
+def exact_median(
+    df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median", keep_empty: bool = False
+) -> DataFrame:
     """Group (or global) median, exact and skew-safe; ``(by..., out)``."""
-    return exact_quantiles(df, value, [0.5], by, out=out).drop("prob")
+    return exact_quantiles(df, value, [0.5], by, out=out, keep_empty=keep_empty).drop("prob")
