@@ -235,7 +235,7 @@ def group_median_rows(spark, d):
 @register(
     "dense_rank_in_group",
     """SELECT id, CASE WHEN balance IS NULL THEN NULL
-                  ELSE dense_rank() OVER (PARTITION BY nation ORDER BY balance) END AS balance_rank
+                  ELSE CAST(dense_rank() OVER (PARTITION BY nation ORDER BY balance) AS INTEGER) END AS balance_rank
        FROM cases""",
 )
 def dense_rank_in_group(spark, d):

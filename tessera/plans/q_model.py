@@ -560,8 +560,8 @@ def _overlap_sql(keys):
         for k in keys
     )
     return f"""WITH p AS ({per}),
-        r AS (SELECT key, count_if(ra > 0) AS train_distinct, count_if(rb > 0) AS test_distinct,
-                     count_if(ra > 0 AND rb > 0) AS common, CAST(sum(ra) AS BIGINT) AS train_rows, CAST(sum(rb) AS BIGINT) AS test_rows,
+        r AS (SELECT key, CAST(count_if(ra > 0) AS BIGINT) AS train_distinct, CAST(count_if(rb > 0) AS BIGINT) AS test_distinct,
+                     CAST(count_if(ra > 0 AND rb > 0) AS BIGINT) AS common, CAST(sum(ra) AS BIGINT) AS train_rows, CAST(sum(rb) AS BIGINT) AS test_rows,
                      CAST(sum(CASE WHEN ra > 0 AND rb > 0 THEN ra ELSE 0 END) AS BIGINT) AS train_rows_covered,
                      CAST(sum(CASE WHEN ra > 0 AND rb > 0 THEN rb ELSE 0 END) AS BIGINT) AS test_rows_covered
               FROM p GROUP BY key)

@@ -47,7 +47,7 @@ def write_predictions(spark, d):
 @register(
     "predictions_by_threshold",
     """SELECT s.id, t.threshold, CAST(s.p_a >= t.threshold AS INTEGER) AS label
-       FROM scores s CROSS JOIN (VALUES (0.43), (0.47), (0.5), (0.55)) t(threshold)
+       FROM scores s CROSS JOIN (SELECT CAST(v AS DOUBLE) AS threshold FROM (VALUES (0.43), (0.47), (0.5), (0.55)) x(v)) t
        WHERE s.split = 'test'""",
     ["threshold"],
 )
