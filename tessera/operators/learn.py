@@ -204,24 +204,27 @@ def select_by_importance(prepared_fn, label: str, k: int, ranking: DataFrame, ra
     """CV of the top ``int(n * ratio)`` features for each ratio; one row per ratio."""
     ordered = [r["feature"] for r in ranking.orderBy(F.col("importance").desc(), "feature").select("feature").collect()]
     spark = ranking.sparkSession
-    rows = []
-    for r in ratios:
+
+    def run(r: float):
         keep = ordered[: max(1, int(len(ordered) * r))]
-        prep = prepared_fn(keep)
-        oof, _ = oof_predict(prep, label, k, fold, kind, None, 42, id_col, "p", parallelism)
-        rep = cv_report(oof, label).select("cv_mean", "cv_std").limit(1).collect()[0]
-        rows.append((len(keep), float(rep["cv_mean"]), float(rep["cv_std"]), keep))
+        oof, _ = oof_predict(prepared_fn(keep), label, k, fold, kind, None, 42, id_col, "p", parallelism)
+        rep = cv_report(oof, label).select("cv_mean", "cv_std").limit(1).collect()[0]  # one row
+        return (len(keep), float(rep["cv_mean"]), float(rep["cv_std"]), keep)
+
+    rows = _pool_map(run, ratios, len(ratios))  # independent searches, submitted together
     return spark.createDataFrame(rows, "n_features int, cv_mean double, cv_std double, features array<string>")
 
 
 def ablation_table(prepared_fn, label: str, k: int, feature_sets: Mapping[str, Sequence[str]], kind: str = "gbt",
                    fold: str = "fold", id_col: str = "id", parallelism: int | None = None) -> DataFrame:
     """One row per named feature set: OOF accuracy and AUC (replaces one script per ablation)."""
-    reps = []
-    for name, feats in feature_sets.items():
+    def run(item):
+        name, feats = item
         oof, _ = oof_predict(prepared_fn(list(feats)), label, k, fold, kind, None, 42, id_col, "p", parallelism)
         rep = cv_report(oof, label).select("cv_mean", "cv_std", "oof_accuracy", "oof_auc").limit(1)
-        reps.append(rep.select(F.lit(name).alias("feature_set"), F.lit(len(feats)).alias("n_features"), "*"))
+        return rep.select(F.lit(name).alias("feature_set"), F.lit(len(feats)).alias("n_features"), "*")
+
+    reps = _pool_map(run, list(feature_sets.items()), len(feature_sets))
     return reduce(DataFrame.unionByName, reps)
 
 
@@ -247,16 +250,19 @@ def pseudo_label_search(prepared: DataFrame, label: str, k: int, bands: Sequence
     scored_test = materialize(predict_mean_keep(models, test), "scored")
     base = cv_report(base_oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
     rows = [(None, None, 0, float(base["oof_accuracy"]), float(base["oof_auc"]))]
-    for hi, lo in bands:
+
+    def run(band):
+        hi, lo = band
         pseudo = scored_test.where(confident("_p", hi, lo)).withColumn(label, binarize("_p").cast("double"))
         pseudo = pseudo.drop("_p").withColumn(fold, F.lit(-1))
         n = pseudo.count()
         if n < min_rows:
-            rows.append((hi, lo, n, None, None))
-            continue
+            return (hi, lo, n, None, None)
         oof, _ = oof_predict(prepared, label, k, fold, kind, None, 42, id_col, "p", parallelism, train_extra=pseudo)
         rep = cv_report(oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
-        rows.append((hi, lo, n, float(rep["oof_accuracy"]), float(rep["oof_auc"])))
+        return (hi, lo, n, float(rep["oof_accuracy"]), float(rep["oof_auc"]))
+
+    rows += _pool_map(run, list(bands), len(bands))  # bands are independent
     return spark.createDataFrame(rows, "hi double, lo double, n_pseudo bigint, oof_accuracy double, oof_auc double")
 
 

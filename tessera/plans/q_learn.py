@@ -10,6 +10,7 @@ from ..operators import folds as fo
 from ..operators import groups as gr
 from ..operators import impute as im
 from ..operators import learn as ln
+from ..session import materialize
 from .registry import register
 from .tables import cases
 
@@ -29,8 +30,23 @@ def _features(spark, d):
     return c.withColumn("fold", F.when(F.col("y").isNull(), F.lit(-1)).otherwise(F.col("fold")))
 
 
+_PREPARED: dict[tuple, object] = {}
+
+
 def _prepared(spark, d, features=FEATURES):
-    return ln.prepare(_features(spark, d), list(features), "y")
+    """Feature table written once per (application, data dir, feature list) and reused.
+
+    It is a materialised table in the shared checkpoint folder, so every
+    learner query in the same application reads the same file instead of
+    rebuilding the feature plan.
+    """
+    key = (spark.sparkContext.applicationId, d, tuple(features))
+    if key not in _PREPARED:
+        base_key = (spark.sparkContext.applicationId, d, "base")
+        if base_key not in _PREPARED:
+            _PREPARED[base_key] = materialize(_features(spark, d), "learn_base")
+        _PREPARED[key] = ln.prepare(_PREPARED[base_key], list(features), "y")
+    return _PREPARED[key]
 
 
 def _test_scores(spark, d, kind, params=None, extra=None):
@@ -119,23 +135,21 @@ def feature_importance(spark, d):
 @register("select_by_importance")
 def select_by_importance(spark, d):
     """Keep the top share of features by importance, CV each share."""
-    feats = _features(spark, d)
-    prep = ln.prepare(feats, FEATURES, "y")
+    prep = _prepared(spark, d)
     _, models = ln.oof_predict(prep, "y", K, "fold", "gbt", GBT)
     ranking = ln.importance_ranking(ln.feature_importance(models, FEATURES, spark))
-    return ln.select_by_importance(lambda fs: ln.prepare(feats, fs, "y"), "y", K, ranking, [0.9, 0.8, 0.7, 0.6], "gbt")
+    return ln.select_by_importance(lambda fs: _prepared(spark, d, fs), "y", K, ranking, [0.9, 0.8, 0.7, 0.6], "gbt")
 
 
 @register("ablation_table")
 def ablation_table(spark, d):
     """OOF accuracy / AUC of several feature sets in one table."""
-    feats = _features(spark, d)
     sets = {
         "all": FEATURES,
         "no_group_size": [f for f in FEATURES if f != "cust_size"],
         "no_balance": [f for f in FEATURES if f != "balance_f"],
     }
-    return ln.ablation_table(lambda fs: ln.prepare(feats, fs, "y"), "y", K, sets, "lr")
+    return ln.ablation_table(lambda fs: _prepared(spark, d, fs), "y", K, sets, "lr")
 
 
 @register("pseudo_label_fit")
