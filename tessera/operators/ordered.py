@@ -34,12 +34,6 @@ _PID = "_tsr_pid"
 _KIND = "_tsr_kind"
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _key_of(row) -> tuple:
     return tuple(None if pd.isna(x) else x for x in row)
 
@@ -60,9 +54,11 @@ def running_sums(
     """
     by, order, values = list(by), list(order), list(values)
     keys = by + order
-    n = _num_partitions(df, num_partitions)
+    # Without an explicit count, AQE sizes the range partitions from the data
+    # (it only merges ADJACENT ranges, so key order across partitions holds).
+    repart = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     ranged = (
-        df.repartitionByRange(n, *keys)
+        repart
         .sortWithinPartitions(*keys)
         .withColumn(_PID, F.spark_partition_id())
     )
