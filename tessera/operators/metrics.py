@@ -201,4 +201,10 @@ def blend_grid(df: DataFrame, y: str, a: str, b: str, steps: int = 20, threshold
             for i in range(steps + 1)
         ]
     )
-    return one.select(F.inline(rows))
+    # The first weight with the highest accuracy wins (a strict ">" search).
+    best = F.min_by(F.col("_r.grid_pos"), F.struct(-F.col("_r.accuracy"), F.col("_r.grid_pos")))
+    table = one.select(F.explode(rows).alias("_r"))
+    pick = table.agg(best.alias("_best"))
+    return table.crossJoin(pick).select(  # one-row pick
+        "_r.grid_pos", "_r.weight", "_r.accuracy", (F.col("_r.grid_pos") == F.col("_best")).alias("is_best")
+    )

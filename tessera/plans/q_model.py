@@ -637,14 +637,17 @@ def split_profile(spark, d):
 
 @register(
     "blend_grid",
-    """WITH g AS (SELECT CAST(i AS INTEGER) AS grid_pos, i / 20 AS weight, (20 - i) / 20 AS rest FROM generate_series(0, 20) t(i))
-       SELECT g.grid_pos, g.weight,
-              avg(CAST(CAST(g.weight * s.p_a + g.rest * s.p_b >= 0.5 AS INTEGER) = s.y AS DOUBLE)) AS accuracy
-       FROM g CROSS JOIN (SELECT p_a, p_b, y FROM scores WHERE split = 'train') s GROUP BY g.grid_pos, g.weight""",
+    """WITH g AS (SELECT CAST(i AS INTEGER) AS grid_pos, i / 20 AS weight, (20 - i) / 20 AS rest FROM generate_series(0, 20) t(i)),
+       a AS (SELECT g.grid_pos, g.weight,
+                    avg(CAST(CAST(g.weight * s.p_a + g.rest * s.p_b >= 0.5 AS INTEGER) = s.y AS DOUBLE)) AS accuracy
+             FROM g CROSS JOIN (SELECT p_a, p_b, y FROM scores WHERE split = 'train') s GROUP BY g.grid_pos, g.weight)
+       SELECT grid_pos, weight, accuracy,
+              grid_pos = (SELECT grid_pos FROM a ORDER BY accuracy DESC, grid_pos LIMIT 1) AS is_best
+       FROM a""",
     ["weight", "accuracy"],
 )
 def blend_grid(spark, d):
-    """Two-score blend weights 0..1 step 0.05, accuracy of each, one aggregation pass."""
+    """Two-score blend weights 0..1 step 0.05, accuracy of each in one pass; first best flagged."""
     return me.blend_grid(_train_scores(spark, d), "y", "p_a", "p_b", 20, 0.5)
 
 

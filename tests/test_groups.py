@@ -61,3 +61,19 @@ def test_collapse_rare(spark):
     df = spark.createDataFrame([(i, "A" if i < 5 else "B") for i in range(7)], "id int, p string")
     got = {r["p"] for r in gr.collapse_rare(df, "p", 5).collect()}
     assert got == {"A", "RARE"}
+
+
+def test_group_median_with_hot_group_matches_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    n = 6000
+    key = np.where(rng.random(n) < 0.34, "hot", rng.choice(list("abcdef"), n))
+    val = np.where(rng.random(n) < 0.1, np.nan, np.round(rng.normal(50, 20, n), 1))
+    pdf = pd.DataFrame({"k": key, "v": val})
+    df = spark.createDataFrame([(k, None if np.isnan(v) else float(v)) for k, v in zip(key, val)], "k string, v double")
+    got = {r["k"]: r["m"] for r in gr.group_median(df, "k", "v", "m").collect()}
+    exp = pdf.groupby("k")["v"].median().to_dict()
+    assert set(got) == set(exp)
+    assert all(abs(got[k] - exp[k]) < 1e-9 for k in exp)
