@@ -30,3 +30,16 @@ def test_equal_width_min_in_first_bin(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([0, 1, 5, 9.99, 10])], "id int, x double")
     got = [r[1] for r in rows(bn.equal_width_bins(df, "x", 10, "b"), "id", "b")]
     assert got == [0, 0, 4, 9, 9]
+
+
+def test_approx_paths_run_and_are_close(spark):
+    from tessera.operators import groups as gr
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=2000)
+    df = spark.createDataFrame([(i % 3, float(v)) for i, v in enumerate(x)], "g int, x double")
+    exact = {r["g"]: r["m"] for r in gr.group_median(df, "g", "x", "m").collect()}
+    approx = {r["g"]: r["m"] for r in gr.group_median(df, "g", "x", "m", approx=True).collect()}
+    assert all(abs(exact[g] - approx[g]) < 0.05 for g in exact)
+    b = bn.quantile_bins(df, "x", 4, "b", approx=True).toPandas()
+    assert set(b["b"].unique()) <= {0, 1, 2, 3} and b["b"].notna().all()
