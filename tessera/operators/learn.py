@@ -82,7 +82,9 @@ def predict(model, df: DataFrame, out: str = "p") -> DataFrame:
 
 def _pool_map(fn, items, parallelism: int | None):
     items = list(items)
-    with ThreadPoolExecutor(max_workers=max(1, min(len(items), parallelism or 4))) as ex:
+    # One driver thread per independent fit (capped): each fit is a Spark job,
+    # so the threads only submit work; the executors do it.
+    with ThreadPoolExecutor(max_workers=max(1, min(len(items), parallelism or 8))) as ex:
         return list(ex.map(fn, items))
 
 
