@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.features import round_to
 from .groups import describe_exact, unpivot
+from ..session import ship_package
 from .ordered import running_sums
 
 
@@ -149,6 +150,7 @@ def drift_chi2(
         F.max("_zero").alias("has_zero_cell"),
     )
     if with_pvalue:
+        ship_package(df.sparkSession)
         out = out.withColumn("p_value", _chi2_sf_udf(F.col("chi2"), F.col("dof")))
     return out
 
@@ -171,6 +173,7 @@ def drift_ks(
         F.max(gap).alias("ks_stat"), F.first("_na").alias(f"n_{a}"), F.first("_nb").alias(f"n_{b}")
     )
     if with_pvalue:
+        ship_package(df.sparkSession)
         out = out.withColumn("p_value", _ks_sf_udf(F.col("ks_stat"), F.col(f"n_{a}"), F.col(f"n_{b}")))
     return out
 

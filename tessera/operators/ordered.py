@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, ship_package
 
 _PID = "_tsr_pid"
 _KIND = "_tsr_kind"
@@ -121,6 +121,7 @@ def running_sums(
     # and the rows must see the SAME range boundaries, and two executions of a
     # range exchange may sample different ones.  It also cuts the lineage, so
     # a lost executor re-reads the table instead of re-ranging.
+    ship_package(df.sparkSession)
     local_cum = materialize(ranged.mapInPandas(_cumsum, out_schema), "running")
 
     # <= 2 summary rows per range partition: a bounded collect.

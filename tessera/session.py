@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +79,33 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (``addPyFile`` of a zip).
+
+    Operators that run pandas code inside tasks (``mapInPandas``, pandas UDFs)
+    reference functions of this package; executors receive the package the way
+    ``spark-submit --py-files`` would ship it.  Once per application.
+    """
+    sc = spark.sparkContext
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        zpath = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _, files in os.walk(pkg_dir):
+                if "__pycache__" in dirpath:
+                    continue
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(zpath)
+        _SHIPPED.add(sc.applicationId)
