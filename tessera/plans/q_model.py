@@ -684,3 +684,43 @@ def pseudo_label_rows(spark, d):
 
     s = scores(spark, d)
     return plr(s, "y", "p_a", 0.9, 0.1, id_col="id").select("id", "y", "is_pseudo")
+
+
+@register(
+    "predictions_by_threshold",
+    f"""WITH sw AS ({_SWEEP_SQL}), x AS ({_EXP_SQL}),
+        adj AS (SELECT (SELECT threshold FROM sw ORDER BY accuracy DESC, grid_pos LIMIT 1) + (SELECT shift FROM x) AS t),
+        c AS (SELECT DISTINCT round(t, 2) AS threshold FROM (
+                SELECT CAST(0.47 AS DOUBLE) AS t UNION ALL SELECT CAST(0.48 AS DOUBLE) UNION ALL SELECT CAST(0.49 AS DOUBLE)
+                UNION ALL SELECT CAST(0.5 AS DOUBLE) UNION ALL SELECT t FROM adj) u
+              WHERE t >= 0.4 AND t <= 0.6)
+        SELECT s.id, c.threshold, CAST(s.p_a >= c.threshold AS INTEGER) AS label
+        FROM scores s CROSS JOIN c WHERE s.split = 'test'""",
+    ["threshold"],
+)
+def predictions_by_threshold(spark, d):
+    """One output folder per candidate threshold, read back.
+
+    Candidates: fixed values plus the prior-shift adjusted best threshold,
+    kept inside [0.4, 0.6], rounded to 2 places, distinct (at most 5 rows).
+    """
+    from ..sources import frames as fr
+
+    best = me.best_threshold(_sweep(spark, d)).select(F.col("best_acc_threshold").alias("_b"))
+    shift = dr.expected_rate(cases(spark, d), "segment", "y").select("shift")
+    adj = best.crossJoin(shift).select((F.col("_b") + F.col("shift")).alias("threshold"))
+    fixed = spark.createDataFrame([(0.47,), (0.48,), (0.49,), (0.5,)], "threshold double")
+    cands = (
+        fixed.unionByName(adj)
+        .where((F.col("threshold") >= 0.4) & (F.col("threshold") <= 0.6))
+        .select(fx.round_to("threshold", 2).alias("threshold"))
+        .distinct()
+    )
+    test = scores(spark, d).where(F.col("split") == "test").select("id", "p_a")
+    out = test.crossJoin(F.broadcast(cands)).select(  # <= 5 candidate rows
+        "id", "threshold", fx.flag(F.col("p_a") >= F.col("threshold")).alias("label")
+    )
+    path = fr.output_path(spark, "by_threshold")
+    fr.write_partitioned(out, path, "threshold")
+    back = spark.read.schema("id BIGINT, label INT, threshold DOUBLE").parquet(path)
+    return back.select("id", "threshold", "label")

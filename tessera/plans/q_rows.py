@@ -44,26 +44,6 @@ def write_predictions(spark, d):
     return fr.read_csv(spark, path, "id BIGINT, label INT")
 
 
-@register(
-    "predictions_by_threshold",
-    """SELECT s.id, t.threshold, CAST(s.p_a >= t.threshold AS INTEGER) AS label
-       FROM scores s CROSS JOIN (SELECT CAST(v AS DOUBLE) AS threshold FROM (VALUES (0.43), (0.47), (0.5), (0.55)) x(v)) t
-       WHERE s.split = 'test'""",
-    ["threshold"],
-)
-def predictions_by_threshold(spark, d):
-    """S3: one output folder per threshold (``partitionBy``), read back."""
-    grid = spark.createDataFrame([(0.43,), (0.47,), (0.5,), (0.55,)], "threshold double")
-    s = scores(spark, d).where(F.col("split") == "test").select("id", "p_a")
-    out = s.crossJoin(F.broadcast(grid)).select(
-        "id", "threshold", fx.flag(F.col("p_a") >= F.col("threshold")).alias("label")
-    )
-    path = fr.output_path(spark, "by_threshold")
-    fr.write_partitioned(out, path, "threshold")
-    back = spark.read.schema("id BIGINT, label INT, threshold DOUBLE").parquet(path)
-    return back.select("id", "threshold", "label")
-
-
 @register(
     "table_profile",
     "SELECT split, y, count(*) AS n FROM cases GROUP BY split, y",
