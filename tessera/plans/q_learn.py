@@ -204,3 +204,13 @@ def hyper_search(spark, d):
     space = {"maxDepth": ("int", 2, 5), "stepSize": ("logfloat", 0.03, 0.3), "maxIter": ("int", 5, 15)}
     table, best = ln.hyper_search(prep, "y", space, 4, K, "gbt")
     return table.withColumn("is_best", F.col("params") == F.lit(__import__("json").dumps(best, sort_keys=True)))
+
+
+@register("hyper_refit")
+def hyper_refit(spark, d):
+    """Refit the best searched parameters (seed kept) and score the unlabelled rows."""
+    prep = _prepared(spark, d)
+    space = {"maxDepth": ("int", 2, 5), "stepSize": ("logfloat", 0.03, 0.3), "maxIter": ("int", 5, 15)}
+    _, best = ln.hyper_search(prep, "y", space, 4, K, "gbt")
+    model = ln.fit_model(prep, "y", "gbt", best, seed=42)
+    return ln.predict(model, prep.where(F.col("y").isNull()), "p").select("id", "p")
