@@ -379,10 +379,17 @@ _AGREE_D = ["abs_diff_mean", "abs_diff_max", "abs_diff_std", "abs_diff_mean_disa
 
 
 def _agreement(spark, d):
+    """Two prediction tables are written as CSV, re-read and aligned on the key."""
+    from ..sources import frames as fr
+
     s = scores(spark, d).where(F.col("split") == "test")
-    a = s.select("id", fx.binarize("p_a").alias("label"), F.col("p_a").alias("p"))
-    b = s.select("id", fx.binarize("p_b").alias("label"), F.col("p_b").alias("p"))
-    return me.prediction_agreement(a, b, "id", "label", "p")
+    tables = []
+    for score in ("p_a", "p_b"):
+        pred = s.select("id", fx.binarize(score).alias("label"), F.col(score).alias("p"))
+        path = fr.output_path(spark, f"predictions_{score}")
+        pred.write.mode("overwrite").option("header", True).csv(path)
+        tables.append(fr.read_csv(spark, path, "id BIGINT, label INT, p DOUBLE"))
+    return me.prediction_agreement(tables[0], tables[1], "id", "label", "p")
 
 
 @register("prediction_agreement", _AGREE_SQL, _AGREE_D)
