@@ -22,7 +22,7 @@ def equal_width_bins(df: DataFrame, col: str, bins: int = 10, out: str = "bin",
     mm = src.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))  # one row
     width = (F.col("_mx") - F.col("_mn")) / F.lit(bins)
     idx = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.ceil((F.col(col) - F.col("_mn")) / width) - 1))
-    return df.crossJoin(F.broadcast(mm)).withColumn(out, idx.cast("int")).drop("_mn", "_mx")
+    return df.crossJoin(F.broadcast(mm)).withColumn(out, idx.cast("int")).drop("_mn", "_mx")  # one row
 
 
 def quantile_edges(df: DataFrame, col: str, q: int, by: Sequence[str] = ()) -> DataFrame:

@@ -245,7 +245,7 @@ def expected_rate(df: DataFrame, cat: str, target: str, split: str = "split", a:
     )
     j = counts.join(rates, [cat], "inner")
     tot = counts.agg(F.sum("_ca").alias("_ta"), F.sum("_cb").alias("_tb"))
-    r = j.crossJoin(F.broadcast(tot)).agg(
+    r = j.crossJoin(F.broadcast(tot)).agg(  # one-row totals
         F.sum(F.col("_ca") / F.col("_ta") * F.col("_rate")).alias(f"expected_{a}"),
         F.sum(F.col("_cb") / F.col("_tb") * F.col("_rate")).alias(f"expected_{b}"),
     )

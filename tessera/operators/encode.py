@@ -28,6 +28,7 @@ from .ordered import dense_codes, running_sums
 
 
 def _prior(df: DataFrame, target: str) -> DataFrame:
+    """One-row labelled mean of the target (safe to broadcast)."""
     return df.where(F.col(target).isNotNull()).agg(F.avg(F.col(target).cast("double")).alias("_prior"))
 
 

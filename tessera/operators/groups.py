@@ -129,7 +129,7 @@ def value_share(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "sha
     by = list(by)
     counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_t"))
-    joined = counts.join(totals, by, "inner") if by else counts.crossJoin(F.broadcast(totals))
+    joined = counts.join(totals, by, "inner") if by else counts.crossJoin(F.broadcast(totals))  # one row when ungrouped
     return joined.select(*by, col, (F.col("_n") / F.col("_t")).alias(out))
 
 

@@ -25,6 +25,7 @@ def impute_global_median(df: DataFrame, value: str, fit_on: DataFrame | None = N
     """``x.fillna(x.median())`` with the median taken over ``fit_on``."""
     out = out or value
     med = _global_median(fit_on if fit_on is not None else df, value, "_gmed")
+    # one-row global median
     return df.crossJoin(F.broadcast(med)).withColumn(out, F.coalesce(F.col(value), F.col("_gmed"))).drop("_gmed")
 
 
@@ -117,6 +118,7 @@ def impute_mode(df: DataFrame, col: str, fit_on: DataFrame | None = None, out: s
     """``fillna(mode()[0])``: most frequent value over ``fit_on``, smallest on ties."""
     out = out or col
     m = mode_table(fit_on if fit_on is not None else df, col, (), "_mode")
+    # one-row mode
     return df.crossJoin(F.broadcast(m)).withColumn(out, F.coalesce(F.col(col), F.col("_mode"))).drop("_mode")
 
 

@@ -64,7 +64,7 @@ def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     keyed = counts.withColumn("_neg_s", -F.col(score))
     cum = running_sums(keyed, ["_neg_s"], ["pos", "neg"])
     totals = counts.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    return cum.crossJoin(F.broadcast(totals)).select(
+    return cum.crossJoin(F.broadcast(totals)).select(  # one-row totals
         F.col(score).alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), F.col("_N").cast("double")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("_P").cast("double")).alias("tpr"),
