@@ -58,17 +58,21 @@ def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFr
 
 
 def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
-    """One point per distinct score: ``(threshold, fpr, tpr)`` for ``score >= threshold``."""
+    """``(threshold, fpr, tpr)`` for ``score >= threshold``: a (0, 0) start point at
+    +inf, then one point per distinct score (collinear points are kept)."""
     counts = _score_counts(df.where(F.col(y).isNotNull() & F.col(score).isNotNull()), y, score, [])
     # Cumulate from the top: order by the negated score.
     keyed = counts.withColumn("_neg_s", -F.col(score))
     cum = running_sums(keyed, ["_neg_s"], ["pos", "neg"])
     totals = counts.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    return cum.crossJoin(F.broadcast(totals)).select(  # one-row totals
-        F.col(score).alias("threshold"),
+    points = cum.crossJoin(F.broadcast(totals)).select(  # one-row totals
+        F.col(score).cast("double").alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), F.col("_N").cast("double")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("_P").cast("double")).alias("tpr"),
     )
+    # scikit-learn's first point: nothing predicted positive, threshold +inf.
+    start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
+    return start.unionByName(points)
 
 
 def youden_threshold(df: DataFrame, y: str, score: str) -> DataFrame:

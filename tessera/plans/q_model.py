@@ -284,7 +284,8 @@ WITH c AS (SELECT p_b AS s, sum(y) AS pos, sum(1 - y) AS neg FROM scores WHERE s
 cu AS (SELECT s, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp,
               sum(neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS fp,
               sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM c)
-SELECT s AS threshold, CAST(fp AS DOUBLE) / CAST(n AS DOUBLE) AS fpr, CAST(tp AS DOUBLE) / CAST(p AS DOUBLE) AS tpr FROM cu"""
+SELECT CAST(s AS DOUBLE) AS threshold, CAST(fp AS DOUBLE) / CAST(n AS DOUBLE) AS fpr, CAST(tp AS DOUBLE) / CAST(p AS DOUBLE) AS tpr FROM cu
+UNION ALL SELECT CAST('infinity' AS DOUBLE), 0.0, 0.0"""
 
 
 @register("roc_curve", _ROC_SQL, ["threshold", "fpr", "tpr"])
