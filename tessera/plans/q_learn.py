@@ -49,6 +49,14 @@ def _prepared(spark, d, features=FEATURES):
     return _PREPARED[key]
 
 
+def _gbt_oof(spark, d):
+    """The 5 GBT fold models and their OOF scores, fitted once per application."""
+    key = (spark.sparkContext.applicationId, d, "gbt_oof")
+    if key not in _PREPARED:
+        _PREPARED[key] = ln.oof_predict(_prepared(spark, d), "y", K, "fold", "gbt", GBT)
+    return _PREPARED[key]
+
+
 def _test_scores(spark, d, kind, params=None, extra=None):
     prep = _prepared(spark, d)
     model = ln.fit_model(prep if extra is None else extra(prep), "y", kind, params)
@@ -91,7 +99,7 @@ def fit_gbt_early_stop(spark, d):
 @register("oof_predict")
 def oof_predict(spark, d):
     """out-of-fold scores, every labelled row scored by a model that did not see it."""
-    oof, _ = ln.oof_predict(_prepared(spark, d), "y", K, "fold", "gbt", GBT)
+    oof, _ = _gbt_oof(spark, d)
     return oof
 
 
@@ -99,23 +107,22 @@ def oof_predict(spark, d):
 def fold_mean_predict(spark, d):
     """unlabelled rows scored by the mean of the fold models."""
     prep = _prepared(spark, d)
-    _, models = ln.oof_predict(prep, "y", K, "fold", "gbt", GBT)
+    _, models = _gbt_oof(spark, d)
     return ln.fold_mean_predict(models, prep.where(F.col("y").isNull()), "p", ["id"])
 
 
 @register("cv_accuracy")
 def cv_accuracy(spark, d):
     """Per-fold accuracy and AUC with mean / std over folds."""
-    oof, _ = ln.oof_predict(_prepared(spark, d), "y", K, "fold", "gbt", GBT)
+    oof, _ = _gbt_oof(spark, d)
     return ln.cv_report(oof, "y")
 
 
 @register("overfit_gap")
 def overfit_gap(spark, d):
     """Training accuracy next to held-out accuracy per fold model."""
-    prep = _prepared(spark, d)
-    _, models = ln.oof_predict(prep, "y", K, "fold", "gbt", GBT)
-    return ln.train_accuracy_gap(models, prep, "y")
+    _, models = _gbt_oof(spark, d)
+    return ln.train_accuracy_gap(models, _prepared(spark, d), "y")
 
 
 @register("seed_bagging")
@@ -128,15 +135,14 @@ def seed_bagging(spark, d):
 @register("feature_importance")
 def feature_importance(spark, d):
     """Importance per fold, mean over folds, ranked (ties share the mean rank)."""
-    _, models = ln.oof_predict(_prepared(spark, d), "y", K, "fold", "gbt", GBT)
+    _, models = _gbt_oof(spark, d)
     return ln.importance_ranking(ln.feature_importance(models, FEATURES, spark))
 
 
 @register("select_by_importance")
 def select_by_importance(spark, d):
     """Keep the top share of features by importance, CV each share."""
-    prep = _prepared(spark, d)
-    _, models = ln.oof_predict(prep, "y", K, "fold", "gbt", GBT)
+    _, models = _gbt_oof(spark, d)
     ranking = ln.importance_ranking(ln.feature_importance(models, FEATURES, spark))
     return ln.select_by_importance(lambda fs: _prepared(spark, d, fs), "y", K, ranking, [0.9, 0.8, 0.7, 0.6], "gbt")
 
@@ -156,7 +162,7 @@ def ablation_table(spark, d):
 def pseudo_label_fit(spark, d):
     """Score unlabelled rows, add the confident ones as labels, refit, rescore."""
     prep = _prepared(spark, d)
-    _, models = ln.oof_predict(prep, "y", K, "fold", "gbt", GBT)
+    _, models = _gbt_oof(spark, d)
     test = prep.where(F.col("y").isNull())
     scored = ln.predict_mean_keep(models, test, "_p")
     aug = ln.pseudo_label_rows(prep.where(F.col("y").isNotNull()).unionByName(scored.drop("_p")).join(
