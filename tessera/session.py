@@ -40,11 +40,13 @@ def local_session(cores: int | None = None, app: str = "tessera") -> SparkSessio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a private one only if unset.
+    """Return the reliable checkpoint folder, setting a private one only in local mode.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value is
     always preferred.  A fresh temporary folder is created only when nothing is
-    configured (local tests).
+    configured and every task runs in this machine's one JVM (``local[...]``).
+    Anywhere else a private folder would put each executor's files on its own
+    disk, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,19 +54,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not is_local_master(sc.master):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: intermediate tables need a folder that "
+                f"the driver and all executors of {sc.master} share"
+            )
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise ``df`` in the shared checkpoint folder.
-
-    Used before iterative work (k fits, search loops) so a lost executor costs a
-    re-read of the checkpoint, not a replay of the whole plan.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def is_local_master(master: str) -> bool:
+    """True where driver and executors are one process (``local``, ``local[8]``)."""
+    return master == "local" or master.startswith("local[")
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -74,11 +76,48 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     survives executor loss) in ONE job: ``checkpoint(eager=True)`` evaluates
     its input twice, once to count and once to write.
     """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return Scratch(df.sparkSession).save(df, name)
+
+
+class Scratch:
+    """Intermediate tables of one query in the shared checkpoint folder.
+
+    ``save`` writes a table and reads it back; ``drop`` deletes a table that no
+    later step (and no frame handed to the caller) reads any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = os.path.join(ensure_checkpoint_dir(spark), "tables")
+        self._paths: dict[int, str] = {}
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.root, f"{name}-{uuid.uuid4().hex}")
+
+    def save(self, df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = self.path(name)
+        writer = df.write.mode("error")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+        # the schema is known: no inference job, and partition columns keep their types
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(back)] = path
+        back._tessera_scratch = self  # keeps id() unique while the frame lives
+        return back
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            path = self._paths.pop(id(df), None)
+            if path:
+                delete_folder(self.spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store the path names (Hadoop FileSystem API)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 _SHIPPED: set[str] = set()
