@@ -89,7 +89,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = os.path.join(ensure_checkpoint_dir(spark), "tables")
-        self._paths: dict[int, str] = {}
+        self._saved: dict[int, tuple[DataFrame, str]] = {}  # by id(); the frame is kept, so ids stay unique
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, f"{name}-{uuid.uuid4().hex}")
@@ -102,13 +102,12 @@ class Scratch:
         writer.parquet(path)
         # the schema is known: no inference job, and partition columns keep their types
         back = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(back)] = path
-        back._tessera_scratch = self  # keeps id() unique while the frame lives
+        self._saved[id(back)] = (back, path)
         return back
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
-            path = self._paths.pop(id(df), None)
+            _, path = self._saved.pop(id(df), (None, None))
             if path:
                 delete_folder(self.spark, path)
 
