@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .common import crc_fold, read_table
 from .decontaminate import contaminated
+from .licences import licence_scan
 from .line_dedup import added_columns, line_dedup
 from .mix import mix_counts
+from .pii import pii_report
+from .quality import fit_quality, quality_score
+from .secrets import RULES, secret_scan
 from .simhash import near_duplicates
 from .toxicity import fit_toxicity, toxicity_score
 
@@ -38,6 +43,49 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@_register("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(read_table(spark, sf_dir, "documents"), key="registered-query")
+
+
+@_register("op4_ann")
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), lambda c: c % 20 == 0)
+
+
+def _secrets_sql() -> str:
+    """The same pieces in DuckDB: gaps between a rule's matches, and running sums of their lengths."""
+    lit = lambda x: "'" + x.replace("'", "''") + "'"
+    pieces = " UNION ALL ".join(
+        f"""SELECT doc_id, {lit(r.name)} AS kind, {i} AS ord, {r.least} AS least,
+        unnest(range(len(regexp_extract_all(text, {lit(r.pattern)}, 0)))) AS pos,
+        unnest(regexp_extract_all(text, {lit(r.pattern)}, 0)) AS whole,
+        unnest(regexp_extract_all(text, {lit(r.pattern)}, {r.group})) AS part,
+        unnest(list_slice(string_split_regex(text, {lit(r.pattern)}), 1, -2)) AS gap FROM t"""
+        for i, r in enumerate(RULES)
+    )
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord)"
+    counts = ", ".join(f"count(*) FILTER (WHERE ord = {i}) AS n_{r.name}" for i, r in enumerate(RULES[:3]))
+    zeros = ", ".join(f"coalesce(n_{r.name}, 0) AS n_{r.name}" for r in RULES[:3])
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+pieces AS ({pieces}),
+ends AS (SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, ord ORDER BY pos) AS upto FROM pieces),
+spans AS (
+  SELECT doc_id, kind, ord, CAST(upto - length(whole) AS BIGINT) AS s, CAST(upto AS BIGINT) AS e
+  FROM ends WHERE length(part) >= least),
+byd AS (
+  SELECT doc_id, {counts}, {listed} FILTER (WHERE ord < 3) AS base, {listed} AS spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN byd ON t.doc_id = byd.doc_id"""
+
+
+@_register("op5_secrets", _secrets_sql())
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 _LINES_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -71,6 +119,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register("op7_licences")
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence_scan(read_table(spark, sf_dir, "documents"))
+    spans = F.transform("found", lambda f: F.concat_ws(":", f["family"], f["start"].cast("string"), f["end"].cast("string")))
+    best = F.array_max(F.transform("found", lambda f: F.struct(f["probability"], f["family"])))
+    return found.select(
+        "doc_id", "families", "n_licences", best["family"].alias("best_family"), best["probability"].alias("best_probability"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 @_register("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -85,6 +144,20 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc_fold(3, 1)
+    model = fit_quality(docs, labels, held_out)
+    scored = docs.select("doc_id", quality_score(F.col("text"), model).alias("score"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @_register("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
