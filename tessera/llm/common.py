@@ -40,15 +40,35 @@ def bounded_labelled_ids(labels: DataFrame, id_col: str, label_col: str, is_held
     ``is_held_out`` maps the id column to a boolean column.  A doc_id labelled
     more than once takes the largest of its labels; null labels are none.
     """
-    return (
+    rated = (
         labels.select(q(id_col).alias("_id"), q(label_col).cast("int").alias("_y"))
         .where(F.col("_id").isNotNull() & F.col("_y").isNotNull())
         .where(~is_held_out(F.col("_id")))
         .groupBy("_id")
         .agg(F.max("_y").alias("_y"))
-        .orderBy(F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), "_id")
-        .limit(rows)
     )
+    order = F.xxhash64(F.col("_id").cast("string"), F.lit("sample"))
+    return least_of(rated, order, rows).orderBy(order_key(order), "_id").limit(rows)
+
+
+HASH_BITS = 31
+
+
+def order_key(hashed):
+    """The hash's upper bits, as a number from 0."""
+    return F.shiftrightunsigned(hashed, 64 - HASH_BITS)
+
+
+def least_of(df: DataFrame, hashed, rows: int) -> DataFrame:
+    """The rows of ``df`` of least hash, about twice ``rows`` (all, if it has no more).
+
+    They are filtered within each task, so what a later ``limit(rows)`` gathers is bounded
+    by ``rows``, not by ``rows`` times the number of tasks.
+    """
+    total = df.count()
+    if total <= 2 * rows:
+        return df
+    return df.where(order_key(hashed) < -(-2 * rows * (1 << HASH_BITS) // total))
 
 
 def crc_fold(buckets: int, held: int):

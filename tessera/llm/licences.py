@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import q
+from .common import least_of, order_key, q
 
 WORD = re.compile(r"\w+")
 UNKNOWN = "unknown"
@@ -249,11 +249,12 @@ def train(unknown: list[str], copies: int = 20, epochs: int = 200, rate: float =
     return model
 
 
-def sample_paragraphs(docs: DataFrame, text_col: str, rows: int) -> list[str]:
-    """At most ``rows`` paragraphs, one from each of the texts of least hash."""
+def sample_paragraphs(docs: DataFrame, id_col: str, text_col: str, rows: int) -> list[str]:
+    """At most ``rows`` paragraphs, one from each of the rows of least hash (of id and text)."""
+    own = F.xxhash64(F.lit("licence"), q(id_col).cast("string"), q(text_col))
     lines = F.filter(F.split(q(text_col), "\n"), lambda x: F.char_length(x) > 0)
-    hashed = docs.where(F.char_length(q(text_col)) > 0).select(F.xxhash64(q(text_col), F.lit("licence")).alias("h"), lines.alias("l"))
-    one = hashed.where(F.size("l") > 0).select("h", F.element_at("l", (F.pmod("h", F.size("l")) + 1).cast("int")).alias("p"))
+    few = least_of(docs.select(q(id_col), q(text_col)), own, rows)
+    one = few.select(order_key(own).alias("h"), lines.alias("l")).where(F.size("l") > 0).select("h", F.element_at("l", (F.pmod("h", F.size("l")) + 1).cast("int")).alias("p"))
     # a paragraph beyond 2,000 code points is no better an example of an unknown one; scanning has no such limit
     return [r["p"] for r in one.select("h", F.left("p", F.lit(2000)).alias("p")).orderBy("h", "p").limit(rows).collect()]
 
@@ -283,7 +284,7 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gives an empty result.
     """
     ship_package(docs.sparkSession)
-    model = train(sample_paragraphs(docs, text_col, sample_rows))
+    model = train(sample_paragraphs(docs, id_col, text_col, sample_rows))
     rows = docs.select(q(id_col).alias("doc_id"), licence_column(q(text_col), model).alias("found"))
     families = F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda f: f["family"]))), ",")
     return rows.select("doc_id", families.alias("families"), F.size("found").cast("bigint").alias("n_licences"), "found")

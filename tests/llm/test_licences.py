@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_altered_notices_are_told_apart_and_other_text_is_unknown(spark):
-    unknown = lc.sample_paragraphs(read_table(spark, SF, "documents"), "text", 500)
+    unknown = lc.sample_paragraphs(read_table(spark, SF, "documents"), "doc_id", "text", 500)
     model = lc.train(unknown)
     rng = np.random.default_rng(99)
     others = sorted({w for p in unknown for w in lc.words_of(p)})
