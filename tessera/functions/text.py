@@ -19,14 +19,6 @@ from pyspark.sql import functions as F
 # explicit class so Java and RE2 regex engines agree (their \s differ on \x0B).
 WS = "[ \\t\\n\\r\\f\\x0B]"
 
-# Honorific groups used by the reference for the title feature.
-TITLE_GROUPS = {
-    "Mr": "Mr", "Miss": "Miss", "Mrs": "Mrs", "Master": "Master",
-    "Dr": "Rare", "Rev": "Rare", "Col": "Rare", "Major": "Rare", "Mlle": "Miss",
-    "Countess": "Rare", "Ms": "Miss", "Lady": "Rare", "Jonkheer": "Rare",
-    "Don": "Rare", "Dona": "Rare", "Mme": "Mrs", "Capt": "Rare", "Sir": "Rare",
-}
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col

@@ -21,7 +21,11 @@ def equal_width_bins(df: DataFrame, col: str, bins: int = 10, out: str = "bin",
     src = fit_on if fit_on is not None else df
     mm = src.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))  # one row
     width = (F.col("_mx") - F.col("_mn")) / F.lit(bins)
-    idx = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.ceil((F.col(col) - F.col("_mn")) / width) - 1))
+    # a constant column is the middle of its range: pd.cut widens the range evenly on both sides
+    offset = F.col(col).cast("double") - F.col("_mn")
+    at = F.when(width == 0, F.lit(bins / 2.0) + offset * bins).otherwise(F.try_divide(offset, width.cast("double")))
+    idx = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.ceil(at) - 1))
+    idx = F.when(F.col(col).isNotNull(), idx)  # least and greatest skip NULLs
     return df.crossJoin(F.broadcast(mm)).withColumn(out, idx.cast("int")).drop("_mn", "_mx")  # one row
 
 

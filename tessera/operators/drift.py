@@ -66,39 +66,65 @@ def drift_category(df: DataFrame, cols: Sequence[str], split: str = "split", a:
 
 
 def chi2_sf(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution for integer ``dof`` (closed form)."""
+    """Upper tail of the chi-square distribution: the regularised incomplete gamma Q(dof/2, x/2).
+
+    The power series below the mean, Lentz's continued fraction above it, each until
+    it no longer changes; the common factor is taken in log space, so any number of
+    degrees of freedom is exact to rounding.
+    """
     if x is None or dof is None or dof <= 0 or (isinstance(x, float) and math.isnan(x)):
         return float("nan")
-    h = x / 2.0
-    if dof % 2 == 0:
-        term, total = 1.0, 1.0
-        for i in range(1, dof // 2):
-            term *= h / i
+    a, h = dof / 2.0, x / 2.0
+    if h <= 0:
+        return 1.0
+    front = math.exp(-h + a * math.log(h) - math.lgamma(a))
+    if h < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-17:
+            n += 1
+            term *= h / n
             total += term
-        return math.exp(-h) * total
-    total = math.erfc(math.sqrt(h))
-    if dof > 1:
-        term = math.sqrt(h) * math.exp(-h) / math.gamma(1.5)
-        s = term
-        for i in range(2, (dof - 1) // 2 + 1):
-            term *= h / (i - 0.5)
-            s += term
-        total += s
-    return total
+        return max(0.0, min(1.0, 1.0 - front * total))
+    tiny = 1e-300
+    b = h + 1 - a
+    c, d = 1 / tiny, 1 / b
+    out, i, step = d, 0, 0.0
+    while abs(step - 1) > 1e-16:
+        i += 1
+        factor = -i * (i - a)
+        b += 2
+        d = 1 / (factor * d + b or tiny)
+        c = b + factor / c or tiny
+        step = d * c
+        out *= step
+    return max(0.0, min(1.0, front * out))
 
 
 def ks_sf(d: float, n1: int, n2: int) -> float:
-    """Asymptotic two-sample KS p-value (Kolmogorov series with Stephens' correction)."""
+    """Asymptotic two-sample KS p-value (Kolmogorov distribution with Stephens' correction).
+
+    Small arguments take the theta-transformed series, large ones the alternating
+    one; both are summed until a term no longer counts.
+    """
     if d is None or not n1 or not n2:
         return float("nan")
     ne = n1 * n2 / (n1 + n2)
     lam = (math.sqrt(ne) + 0.12 + 0.11 / math.sqrt(ne)) * d
-    if lam < 1e-9:
+    if lam <= 0:
         return 1.0
-    s = 0.0
-    for j in range(1, 101):
-        s += (-1) ** (j - 1) * math.exp(-2.0 * j * j * lam * lam)
-    return max(0.0, min(1.0, 2.0 * s))
+    total, j, term = 0.0, 0, 1.0
+    if lam < 1.18:
+        while term > 1e-18:
+            j += 1
+            term = math.exp(-((2 * j - 1) ** 2) * math.pi**2 / (8 * lam * lam))
+            total += term
+        return max(0.0, min(1.0, 1.0 - math.sqrt(2 * math.pi) / lam * total))
+    while term > 1e-18:
+        j += 1
+        term = math.exp(-2.0 * j * j * lam * lam)
+        total += term if j % 2 else -term
+    return max(0.0, min(1.0, 2.0 * total))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -167,8 +193,9 @@ def drift_ks(
     )
     cum = running_sums(counts, ["x"], ["ca", "cb"], by=["feature"])
     tot = counts.groupBy("feature").agg(F.sum("ca").alias("_na"), F.sum("cb").alias("_nb"))
-    j = cum.join(tot, ["feature"], "inner")
-    gap = F.abs(F.col("cum_ca") / F.col("_na") - F.col("cum_cb") / F.col("_nb"))
+    j = cum.join(F.broadcast(tot), ["feature"], "inner")  # one row per requested column
+    share = lambda c, n: F.try_divide(F.col(c).cast("double"), F.col(n).cast("double"))
+    gap = F.abs(share("cum_ca", "_na") - share("cum_cb", "_nb"))  # NULL where a split has no value
     out = j.groupBy("feature").agg(
         F.max(gap).alias("ks_stat"), F.first("_na").alias(f"n_{a}"), F.first("_nb").alias(f"n_{b}")
     )
@@ -200,6 +227,11 @@ def drift_describe(df: DataFrame, cols: Sequence[str], split: str = "split", a:
     )
 
 
+def _pct(part: str, whole: str):
+    """Percentage as a double; NULL of nothing."""
+    return F.try_divide(F.col(part).cast("double") * 100.0, F.col(whole).cast("double"))
+
+
 def key_overlap_audit(df: DataFrame, keys: Sequence[str], split: str = "split", a: str = "train", b: str = "test") -> DataFrame:
     """Per key column: distinct keys per side, common keys, overlap %, row coverage per side."""
     long = unpivot(df.where(F.col(split).isin(a, b)), [split], keys, "key", "k").where(F.col("k").isNotNull())
@@ -218,21 +250,41 @@ def key_overlap_audit(df: DataFrame, keys: Sequence[str], split: str = "split",
     )
     return rep.withColumns(
         {
-            "overlap_pct": F.col("common") * 100.0 / F.col(f"{b}_distinct"),
-            f"{a}_coverage_pct": F.col(f"{a}_rows_covered") * 100.0 / F.col(f"{a}_rows"),
-            f"{b}_coverage_pct": F.col(f"{b}_rows_covered") * 100.0 / F.col(f"{b}_rows"),
+            "overlap_pct": _pct("common", f"{b}_distinct"),
+            f"{a}_coverage_pct": _pct(f"{a}_rows_covered", f"{a}_rows"),
+            f"{b}_coverage_pct": _pct(f"{b}_rows_covered", f"{b}_rows"),
         }
     )
 
 
-def leak_risk(audit: DataFrame, cv_score: float | None = None, high: float = 50.0, medium: float = 20.0) -> DataFrame:
-    """Grade each key by how much of the unlabelled split shares keys with the labelled one."""
-    cov = F.col("test_coverage_pct")
-    grade = F.when(cov >= high, "HIGH").when(cov >= medium, "MEDIUM").otherwise("LOW")
-    out = audit.select("key", "test_coverage_pct", grade.alias("risk"))
+def leak_risk(
+    audit: DataFrame,
+    limits: dict[str, tuple[float, float]] | None = None,
+    cv_score: float | None = None,
+    cv_limits: tuple[float, float] = (0.95, 0.90),
+    b: str = "test",
+) -> DataFrame:
+    """Risk that features by key, or the CV score, promise more than split ``b`` will keep.
+
+    ``(factor, value, risk, overall_risk)``: a key whose groups cover few rows of ``b`` is
+    risky (below the first limit, a share, HIGH; below the second MEDIUM; ``limits`` by key,
+    else 0.3 and 0.5), and so is a CV score that is too good (above the first limit HIGH,
+    above the second MEDIUM).  A key without rows in ``b`` is UNKNOWN.  Overall HIGH if any
+    factor is.
+    """
+    value = F.col(f"{b}_coverage_pct") / 100.0
+    low, middle = F.lit(0.3), F.lit(0.5)
+    for key, (lo, mid) in (limits or {}).items():
+        low = F.when(F.col("key") == key, lo).otherwise(low)
+        middle = F.when(F.col("key") == key, mid).otherwise(middle)
+    risk = F.when(value.isNull(), "UNKNOWN").when(value < low, "HIGH").when(value < middle, "MEDIUM").otherwise("LOW")
+    out = audit.select(F.col("key").alias("factor"), value.alias("value"), risk.alias("risk"))
     if cv_score is not None:
-        out = out.withColumn("cv_score", F.lit(float(cv_score)))
-    return out
+        level = "HIGH" if cv_score > cv_limits[0] else "MEDIUM" if cv_score > cv_limits[1] else "LOW"
+        row = [("cv_score", float(cv_score), level)]
+        out = out.unionByName(audit.sparkSession.createDataFrame(row, "factor string, value double, risk string"))
+    overall = out.agg(F.when(F.count_if(F.col("risk") == "HIGH") > 0, "HIGH").otherwise("LOW").alias("overall_risk"))
+    return out.crossJoin(F.broadcast(overall))  # one row
 
 
 def expected_rate(df: DataFrame, cat: str, target: str, split: str = "split", a: str = "train", b: str = "test") -> DataFrame:
@@ -246,8 +298,8 @@ def expected_rate(df: DataFrame, cat: str, target: str, split: str = "split", a:
     j = counts.join(rates, [cat], "inner")
     tot = counts.agg(F.sum("_ca").alias("_ta"), F.sum("_cb").alias("_tb"))
     r = j.crossJoin(F.broadcast(tot)).agg(  # one-row totals
-        F.sum(F.col("_ca") / F.col("_ta") * F.col("_rate")).alias(f"expected_{a}"),
-        F.sum(F.col("_cb") / F.col("_tb") * F.col("_rate")).alias(f"expected_{b}"),
+        F.sum(F.try_divide(F.col("_ca").cast("double"), F.col("_ta")) * F.col("_rate")).alias(f"expected_{a}"),
+        F.sum(F.try_divide(F.col("_cb").cast("double"), F.col("_tb")) * F.col("_rate")).alias(f"expected_{b}"),
     )
     return r.withColumn("shift", F.col(f"expected_{b}") - F.col(f"expected_{a}"))
 

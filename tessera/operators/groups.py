@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from .ordered import dense_codes, exact_median, exact_quantiles
 
+_SALT = "_tsr_salt"
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -60,8 +62,8 @@ def group_size(
 ) -> DataFrame:
     """Rows per key on every row (``transform('size')``; ``count_col`` -> non-null count).
 
-    ``sentinel``: rows whose (single) key equals it get size 1, and they are
-    filtered out *before* the shuffle -- such a key is typically the hot one.
+    ``sentinel``: rows whose (single) key equals it get size 1.  They are left out of
+    the aggregate and dealt out evenly in the join -- such a key is typically the hot one.
     ``fit_on``: count over another frame (e.g. the union of both splits).
     """
     keys = _keys(keys)
@@ -70,10 +72,15 @@ def group_size(
         src = src.where(F.col(keys[0]) != F.lit(sentinel))
     agg = F.count(F.col(count_col)) if count_col else F.count(F.lit(1))
     stats = fit_group_stats(src, keys, {out: agg})
-    res = df.join(stats, keys, "left")
-    if sentinel is not None:
-        res = res.withColumn(out, F.when(F.col(keys[0]) == F.lit(sentinel), F.lit(1)).otherwise(F.col(out)))
-    return res
+    if sentinel is None:
+        return df.join(stats, keys, "left")
+    # rows of the sentinel (and of no key) match nothing: a salt deals them out evenly instead of to one task
+    alone = F.col(keys[0]).isNull() | (F.col(keys[0]) == F.lit(sentinel))
+    salt = F.when(alone, F.pmod(F.monotonically_increasing_id(), F.lit(1024)) + 1).otherwise(F.lit(0))
+    res = df.withColumn(_SALT, salt).join(
+        stats.withColumn(_SALT, F.lit(0).cast("bigint")), [*keys, _SALT], "left"
+    )
+    return res.drop(_SALT).withColumn(out, F.when(F.col(keys[0]) == F.lit(sentinel), F.lit(1)).otherwise(F.col(out)))
 
 
 def _all_present(keys: Sequence[str]) -> Column:

@@ -39,7 +39,8 @@ FEATURES = "_features"
 
 # Defaults kept small: every fit is a distributed job with fixed overhead.
 DEFAULT_PARAMS = {
-    "gbt": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1},
+    # rows and columns are sampled for each tree, so the seed matters
+    "gbt": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
     "rf": {"numTrees": 30, "maxDepth": 6},
     "rf_nobootstrap": {"numTrees": 30, "maxDepth": 6, "bootstrap": False},
     "lr": {"maxIter": 100},
@@ -60,8 +61,12 @@ def make_estimator(kind: str, label: str, params: Mapping | None = None, seed: i
 
 
 def prepare(df: DataFrame, features: Sequence[str], label: str, checkpoint: bool = True) -> DataFrame:
-    """Assemble the feature vector once (label cast to double) and cut lineage."""
-    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
+    """Assemble the feature vector once (label cast to double) and cut lineage.
+
+    Features must have been imputed: a missing value is an error in this step, not in a
+    later fit.
+    """
+    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
     out = va.transform(df.withColumn(label, F.col(label).cast("double")))
     return materialize(out, "features") if checkpoint else out
 

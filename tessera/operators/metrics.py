@@ -160,13 +160,21 @@ def changed_predictions(df: DataFrame, score: str, t1: float, t2: float) -> Data
 
 
 def prediction_agreement(a: DataFrame, b: DataFrame, key: str, label: str = "label", prob: str | None = None) -> DataFrame:
-    """Agreement report of two prediction tables aligned on ``key`` (not row order)."""
-    j = a.select(key, F.col(label).alias("_la"), *([F.col(prob).alias("_pa")] if prob else [])).join(
-        b.select(key, F.col(label).alias("_lb"), *([F.col(prob).alias("_pb")] if prob else [])), [key], "inner"
+    """Agreement report of two prediction tables aligned on ``key`` (not row order).
+
+    ``n`` counts the keys in both tables, ``n_only_a`` and ``n_only_b`` the rows that
+    only one has; those neither agree nor disagree.
+    """
+    j = a.select(key, F.lit(1).alias("_ia"), F.col(label).alias("_la"), *([F.col(prob).alias("_pa")] if prob else [])).join(
+        b.select(key, F.lit(1).alias("_ib"), F.col(label).alias("_lb"), *([F.col(prob).alias("_pb")] if prob else [])),
+        [key],
+        "full",
     )
     agree = F.col("_la") == F.col("_lb")
     aggs = [
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_ia").isNotNull() & F.col("_ib").isNotNull()).alias("n"),
+        F.count_if(F.col("_ib").isNull()).alias("n_only_a"),
+        F.count_if(F.col("_ia").isNull()).alias("n_only_b"),
         F.count_if(agree).alias("n_agree"),
         F.count_if(~agree).alias("n_disagree"),
         F.count_if((F.col("_la") == 1) & (F.col("_lb") == 0)).alias("a1_b0"),
@@ -181,9 +189,8 @@ def prediction_agreement(a: DataFrame, b: DataFrame, key: str, label: str = "lab
             F.avg(F.when(~agree, d)).alias("abs_diff_mean_disagree"),
         ]
     out = j.agg(*aggs)
-    return out.withColumn("agree_pct", F.col("n_agree") * 100.0 / F.col("n")).withColumn(
-        "disagree_pct", F.col("n_disagree") * 100.0 / F.col("n")
-    )
+    pct = lambda c: F.try_divide(F.col(c).cast("double") * 100.0, F.col("n").cast("double"))
+    return out.withColumn("agree_pct", pct("n_agree")).withColumn("disagree_pct", pct("n_disagree"))
 
 
 def agreement_band(disagree_pct: Column, minor: float = 5.0) -> Column:

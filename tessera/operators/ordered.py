@@ -8,7 +8,7 @@ ordered target statistics) goes through :func:`running_sums` instead:
 1. range-partition the rows on ``(by, order)`` -- a hot ``by`` group is split
    across many partitions by its order columns;
 2. sort within each partition and take the cumulative sums there (one pandas
-   ``cumsum`` per Arrow batch inside the task);
+   ``cumsum`` per Arrow batch inside the task; other columns are passed on as they are);
 3. add the sum of the *earlier* partitions holding the same ``by`` key.  Only
    the first key of a partition can continue from an earlier partition, so
    each task also emits two summary rows (first key; last key with its local
@@ -24,7 +24,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +35,10 @@ _PID = "_tsr_pid"
 _KIND = "_tsr_kind"
 
 
-def _key_of(row) -> tuple:
-    return tuple(None if pd.isna(x) else x for x in row)
+def _key_of(keys: pd.DataFrame, at: int) -> tuple:
+    """One row's keys as Python values, each of its own type."""
+    row = [keys[k].iloc[at] for k in keys.columns]
+    return tuple(None if pd.isna(x) else x.item() if hasattr(x, "item") else x for x in row)
 
 
 def running_sums(
@@ -75,54 +78,59 @@ def running_sums(
     out_schema = T.StructType(out_fields)
     col_names = [f.name for f in out_fields]
 
+    whole = [cum_types[n] == T.LongType() for n in cum_names]
+
     def _cumsum(batches):
-        carry_key = carry = first_key = pid = None
-        for pdf in batches:
-            if pdf.empty:
+        # only the key and value columns go through pandas; all others stay Arrow arrays, untouched
+        carry_key = carry = first_key = pid = types = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            vals = pdf[values]
+            types = batch.schema
+            pdf = batch.select(list(dict.fromkeys([*by, *values]))).to_pandas(integer_object_nulls=True)
+            vals = pd.DataFrame({v: pdf[v].astype("int64" if w else "float64") for v, w in zip(values, whole)})
             if by:
                 keys_df = pdf[by]
                 prev = keys_df.shift(1)
                 same = (keys_df == prev) | (keys_df.isna() & prev.isna())
                 seg = (~same.all(axis=1)).cumsum().to_numpy()
                 local = vals.groupby(seg).cumsum()
-                head_key = _key_of(keys_df.iloc[0])
+                head_key = _key_of(keys_df, 0)
                 if carry is not None and head_key == carry_key:
                     head = seg == seg[0]
-                    local.loc[head, :] = local.loc[head, :].to_numpy() + carry
-                carry_key = _key_of(keys_df.iloc[-1])
+                    for v in values:
+                        local.loc[head, v] += carry[v]
+                carry_key = _key_of(keys_df, -1)
                 if first_key is None:
                     first_key = head_key
             else:
                 local = vals.cumsum()
                 if carry is not None:
-                    local = local + carry
+                    for v in values:
+                        local[v] += carry[v]
                 carry_key = first_key = ()
-            carry = local.iloc[-1].to_numpy()
-            pid = int(pdf[_PID].iloc[0])
-            for v, name in zip(values, cum_names):
-                pdf[name] = local[v].to_numpy()
-            pdf[_KIND] = 0
-            yield pdf[col_names]
+            carry = {v: local[v].iloc[-1].item() for v in values}
+            pid = batch.column(_PID)[0].as_py()
+            sums = [pa.array(local[v].to_numpy(), pa.int64() if w else pa.float64()) for v, w in zip(values, whole)]
+            kind = pa.array([0] * batch.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sums, kind], names=col_names)
         if pid is not None:
             # Two summary rows per partition: its first key, and its last key
             # with that key's partition-local running total.
-            summary = pd.DataFrame({c: [None, None] for c in col_names})
-            summary[_PID] = pid
-            summary[_KIND] = [1, 2]
-            for i, b in enumerate(by):
-                summary[b] = [first_key[i], carry_key[i]]
-            for j, name in enumerate(cum_names):
-                summary[name] = [None, carry[j]]
-            yield summary[col_names]
+            given = {b: [first_key[i], carry_key[i]] for i, b in enumerate(by)}
+            given[_PID] = [pid, pid]
+            rows = [pa.array(given.get(f.name, [None, None]), f.type) for f in types]
+            sums = [
+                pa.array([None, carry[v]], pa.int64() if w else pa.float64()) for v, w in zip(values, whole)
+            ]
+            yield pa.RecordBatch.from_arrays([*rows, *sums, pa.array([1, 2], pa.int32())], names=col_names)
 
     # Materialise once (a table in the shared checkpoint folder): the offsets
     # and the rows must see the SAME range boundaries, and two executions of a
     # range exchange may sample different ones.  It also cuts the lineage, so
     # a lost executor re-reads the table instead of re-ranging.
     ship_package(df.sparkSession)
-    local_cum = materialize(ranged.mapInPandas(_cumsum, out_schema), "running")
+    local_cum = materialize(ranged.mapInArrow(_cumsum, out_schema), "running")
 
     # <= 2 summary rows per range partition: a bounded collect.
     summary = local_cum.where(F.col(_KIND) > 0).select(_PID, _KIND, *by, *cum_names).collect()
@@ -215,11 +223,9 @@ def exact_quantiles(
         src = src.where(F.col(b).isNotNull())
     if not keep_empty:
         src = src.where(F.col(value).isNotNull())
-    counts = src.groupBy(*by, value).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(F.col(value)).alias("_c")
-    )
+    counts = src.groupBy(*by, value).agg(F.count(F.col(value)).alias("_c"))
     # NULL values sort first with weight 0, so they never take a rank.
-    cum = running_sums(counts.drop("_rows"), [value], ["_c"], by)
+    cum = running_sums(counts, [value], ["_c"], by)
     # Group sizes from the (materialised) cumulative table, not a second scan.
     sizes = cum.groupBy(*by).agg(F.max("cum__c").alias("_n"))
     prob_df = spark.createDataFrame([(float(p),) for p in probs], f"{prob_col} double")

@@ -519,3 +519,46 @@ def impute_mode(spark, d):
     out = out.withColumn("y_filled", F.col("y"))
     out = im.impute_constant(out, {"y_filled": 0})
     return out.select("id", "quality_filled", "y_filled")
+
+
+@register(
+    "group_size_range",
+    """SELECT split, min(n) AS min_size, max(n) AS max_size
+       FROM (SELECT split, count(*) OVER (PARTITION BY cust) AS n FROM cases) s GROUP BY split""",
+)
+def group_size_range(spark, d):
+    """Smallest and largest group per split."""
+    sized = gr.group_size(cases(spark, d).select("split", "cust"), "cust", "n")
+    return sized.groupBy("split").agg(F.min("n").alias("min_size"), F.max("n").alias("max_size"))
+
+
+@register(
+    "frequency_table_ordered",
+    """SELECT segment, n, n * 100.0 / sum(n) OVER () AS pct, row_number() OVER (ORDER BY n DESC, segment) AS position
+       FROM (SELECT segment, count(*) AS n FROM cases WHERE segment IS NOT NULL GROUP BY segment) s""",
+    ["pct"],
+)
+def frequency_table_ordered(spark, d):
+    """Shares in falling order, ties by value; the window is over one row per category."""
+    counts = cases(spark, d).where(F.col("segment").isNotNull()).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    falling = Window.orderBy(F.col("n").desc(), "segment")
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.select(
+        "segment", "n", (F.col("n") * 100.0 / total).cast("double").alias("pct"),
+        F.row_number().over(falling).cast("bigint").alias("position"),
+    )
+
+
+@register(
+    "recompute_after_fill",
+    """SELECT id, coalesce(balance, (SELECT median(balance) FROM cases)) AS balance_filled,
+              coalesce(balance, (SELECT median(balance) FROM cases)) / nullif(price, 0) AS balance_per_price FROM cases""",
+    ["balance_filled", "balance_per_price"],
+)
+def recompute_after_fill(spark, d):
+    """Fill a column, then compute what depends on it from the filled values."""
+    c = cases(spark, d).select("id", "price", "balance")
+    median = exact_median(c, "balance", out="middle")
+    filled = F.coalesce(F.col("balance"), F.col("middle"))
+    out = c.crossJoin(F.broadcast(median))  # one row
+    return out.select("id", filled.alias("balance_filled"), F.try_divide(filled, F.col("price")).alias("balance_per_price"))

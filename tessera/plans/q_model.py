@@ -370,7 +370,7 @@ def changed_predictions(spark, d):
 _AGREE_SQL = """
 WITH j AS (SELECT CAST(p_a >= 0.5 AS INTEGER) AS la, CAST(p_b >= 0.5 AS INTEGER) AS lb, p_a AS pa, p_b AS pb
            FROM scores WHERE split = 'test')
-SELECT count(*) AS n, CAST(count_if(la = lb) AS BIGINT) AS n_agree, CAST(count_if(la <> lb) AS BIGINT) AS n_disagree,
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_only_a, CAST(0 AS BIGINT) AS n_only_b, CAST(count_if(la = lb) AS BIGINT) AS n_agree, CAST(count_if(la <> lb) AS BIGINT) AS n_disagree,
        CAST(count_if(la = 1 AND lb = 0) AS BIGINT) AS a1_b0, CAST(count_if(la = 0 AND lb = 1) AS BIGINT) AS a0_b1,
        avg(abs(pa - pb)) AS abs_diff_mean, max(abs(pa - pb)) AS abs_diff_max, stddev_samp(abs(pa - pb)) AS abs_diff_std,
        avg(CASE WHEN la <> lb THEN abs(pa - pb) END) AS abs_diff_mean_disagree,
@@ -587,13 +587,23 @@ def key_overlap_audit(spark, d):
 
 @register(
     "leak_risk",
-    f"""SELECT key, test_coverage_pct, CASE WHEN test_coverage_pct >= 50 THEN 'HIGH' WHEN test_coverage_pct >= 20 THEN 'MEDIUM'
-                                        ELSE 'LOW' END AS risk FROM ({_overlap_sql(['cust', 'nation'])}) a""",
-    ["test_coverage_pct"],
+    f"""WITH g AS (
+          SELECT key AS factor, test_coverage_pct / 100.0 AS value,
+                 CASE WHEN test_coverage_pct / 100.0 < (CASE key WHEN 'nation' THEN 0.1 ELSE 0.3 END) THEN 'HIGH'
+                      WHEN test_coverage_pct / 100.0 < (CASE key WHEN 'nation' THEN 0.3 ELSE 0.5 END) THEN 'MEDIUM'
+                      ELSE 'LOW' END AS risk
+          FROM ({_overlap_sql(['cust', 'nation'])}) a
+          UNION ALL
+          SELECT 'cv_score', CAST(0.9921 AS DOUBLE), 'HIGH')
+        SELECT factor, value, risk,
+               CASE WHEN (SELECT count(*) FROM g WHERE risk = 'HIGH') > 0 THEN 'HIGH' ELSE 'LOW' END AS overall_risk
+        FROM g""",
+    ["value"],
 )
 def leak_risk(spark, d):
-    """Leakage risk grade from key coverage."""
-    return dr.leak_risk(dr.key_overlap_audit(cases(spark, d), ["cust", "nation"]))
+    """Risk of each key's coverage and of a given CV score, and overall."""
+    audit = dr.key_overlap_audit(cases(spark, d), ["cust", "nation"])
+    return dr.leak_risk(audit, {"nation": (0.1, 0.3)}, cv_score=0.9921)
 
 
 _EXP_SQL = """

@@ -29,7 +29,7 @@ def cases(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
     )
     c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
     status = F.col("o_orderstatus")
     return j.select(
         F.col("o_orderkey").alias("id"),
@@ -77,7 +77,7 @@ cases AS (
          CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS pclass,
          o.o_totalprice AS price,
          CASE WHEN c.c_acctbal < 0 THEN NULL ELSE c.c_acctbal END AS balance
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 ),
 scores AS (
   SELECT id, cust, split, y, segment, nation, pclass,

@@ -52,3 +52,35 @@ def test_key_overlap(spark):
     r = dr.key_overlap_audit(df, ["surname"]).collect()[0]
     assert (r["common"], r["train_rows_covered"], r["test_rows_covered"]) == (1, 2, 1)
     assert r["overlap_pct"] == 50.0
+
+
+def test_chi2_tail_at_any_size():
+    assert abs(dr.chi2_sf(1.0, 1) - 0.31731050786291415) < 1e-12
+    assert abs(dr.chi2_sf(3.841458820694124, 1) - 0.05) < 1e-12
+    for dof in (1399, 1400, 1500, 1501, 2000, 2001, 200_000):  # near the median, by Wilson and Hilferty
+        median = dof * (1 - 2 / (9 * dof)) ** 3
+        assert abs(dr.chi2_sf(median, dof) - 0.5) < 1e-3
+        assert dr.chi2_sf(dof * 2.0, dof) < 1e-6 < 1 - 1e-6 < dr.chi2_sf(dof * 0.5, dof)
+    assert dr.chi2_sf(0.0, 5) == 1.0
+
+
+def test_ks_tail_for_small_and_large_arguments():
+    assert dr.ks_sf(1e-6, 200_000_000, 200_000_000) > 0.999999
+    n = 10**12  # the correction vanishes: Kolmogorov's own table
+    at = lambda lam: dr.ks_sf(lam / (n / 2) ** 0.5, n, n)
+    assert abs(at(1.3580986) - 0.05) < 1e-5 and abs(at(0.8275735) - 0.5) < 1e-5 and abs(at(0.01) - 1) < 1e-12
+    assert abs(at(1.1799999) - at(1.1800001)) < 1e-6
+
+
+def test_leak_risk_both_ways(spark):
+    audit = spark.createDataFrame([("a", 20.0), ("b", 40.0), ("c", 80.0), ("d", None)], "key string, test_coverage_pct double")
+    got = {r["factor"]: (r["risk"], r["overall_risk"]) for r in dr.leak_risk(audit, {"a": (0.1, 0.15)}, cv_score=0.92).collect()}
+    assert got == {k: (v, "LOW") for k, v in {"a": "LOW", "b": "MEDIUM", "c": "LOW", "d": "UNKNOWN", "cv_score": "MEDIUM"}.items()}
+    assert {r["overall_risk"] for r in dr.leak_risk(audit).collect()} == {"HIGH"}
+    assert {r["risk"] for r in dr.leak_risk(audit.limit(0), cv_score=0.99).collect()} == {"HIGH"}
+
+
+def test_one_sided_columns_give_null_not_an_error(spark):
+    df = spark.createDataFrame([("train", 1.0, "k"), ("train", 2.0, None), ("test", None, None)], "split string, x double, k string")
+    assert dr.drift_ks(df, ["x"]).collect()[0]["ks_stat"] is None
+    assert dr.key_overlap_audit(df, ["k"]).collect()[0]["test_coverage_pct"] is None

@@ -58,3 +58,26 @@ def test_pseudo_label_rows(spark):
     df = spark.createDataFrame([(1, 1, 0.9), (2, None, 0.95), (3, None, 0.5), (4, None, 0.02)], "id int, y int, p double")
     got = {r["id"]: (r["y"], r["is_pseudo"]) for r in ln.pseudo_label_rows(df, "y", "p", 0.9, 0.1).collect()}
     assert got == {1: (1, 0), 2: (1, 1), 4: (0, 1)}
+
+
+def test_boosting_seed_matters_and_missing_values_fail_early(spark):
+    import numpy as np
+    import pytest
+    from tessera.operators import learn as ln
+
+    rng = np.random.default_rng(0)
+    rows = [(i, float(a), float(b), int(a + b + rng.normal() > 0)) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = ln.prepare(spark.createDataFrame(rows, "id long, a double, b double, y int"), ["a", "b"], "y")
+    one, two = (ln.fit_model(df, "y", "gbt", {"maxIter": 3}, seed=s).treeWeights and
+                ln.fit_model(df, "y", "gbt", {"maxIter": 3}, seed=s).toDebugString for s in (1, 2))
+    assert one != two
+    bad = spark.createDataFrame([(1, None, 1)], "id long, a double, y int")
+    with pytest.raises(Exception):
+        ln.prepare(bad, ["a"], "y")
+
+
+def test_checkpoint_folder_must_be_named_off_local_mode():
+    from tessera.session import is_local_master
+
+    assert is_local_master("local[8]") and is_local_master("local")
+    assert not is_local_master("local-cluster[3,2,1024]") and not is_local_master("yarn")

@@ -72,3 +72,12 @@ def test_agreement_aligns_on_key(spark):
     b = spark.createDataFrame([(3, 0, 0.4), (1, 1, 0.8), (2, 0, 0.2)], "id int, label int, p double")
     r = me.prediction_agreement(a, b, "id", "label", "p").collect()[0]
     assert (r["n_agree"], r["n_disagree"], r["a1_b0"]) == (2, 1, 1)
+
+
+def test_agreement_counts_unmatched_keys(spark):
+    a = spark.createDataFrame([(1, 1, 0.9), (2, 0, 0.1), (3, 1, 0.8)], "id int, label int, p double")
+    b = spark.createDataFrame([(1, 1, 0.7), (9, 0, 0.2)], "id int, label int, p double")
+    r = me.prediction_agreement(a, b, "id", "label", "p").collect()[0]
+    assert (r["n"], r["n_only_a"], r["n_only_b"], r["agree_pct"]) == (1, 2, 1, 100.0)
+    none = me.prediction_agreement(a, b.where("id = 9"), "id").collect()[0]
+    assert none["n"] == 0 and none["agree_pct"] is None

@@ -38,3 +38,21 @@ def test_dense_codes_sorted(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "s string")
     codes = {r["s"]: r["code"] for r in dense_codes(df, "s").collect()}
     assert codes == {"a": 0, "b": 1, "c": 2}
+
+
+def test_running_sums_leave_other_columns_as_they_are(spark):
+    from tessera.operators.ordered import running_sums
+
+    big = 9007199254740993
+    rows = [(i, None if i % 3 else big + i, 1, None if i % 5 else "k") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, payload long, one int, k string")
+    got = {r["id"]: r for r in running_sums(df, ["id"], ["one"], by=["k"], num_partitions=4).collect()}
+    assert all(got[i]["payload"] == p for i, p, _, _ in rows)
+    assert got[55]["cum_one"] == 12 and got[59]["cum_one"] == 48
+
+
+def test_constant_column_bins(spark):
+    from tessera.operators.binning import equal_width_bins
+
+    df = spark.createDataFrame([(3.0,), (3.0,), (None,)], "x double")
+    assert sorted((r["bin"] for r in equal_width_bins(df, "x", 4).collect()), key=str) == [1, 1, None]
