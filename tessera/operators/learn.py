@@ -2,14 +2,16 @@
 
 Shape of every fit-heavy operator:
 
-* the feature table is assembled once and written to the shared checkpoint
-  folder before k fits read it, so a lost executor re-reads a file instead of
-  replaying the feature plan k times;
-* independent fits (folds, seeds, trials) are submitted concurrently from a
-  small driver thread pool -- each fit is a distributed Spark job;
-* out-of-fold (OOF) scores are a lazy union of per-fold transforms, and the
-  test score is the mean of the fold models, computed as extra columns on the
-  same rows (no shuffle, no collect).
+* the feature table (id, fold, label, vector) is written once to the shared
+  checkpoint folder, partitioned by fold: a fit reads only its training folds and
+  scoring reads each fold once, and a lost executor re-reads a file instead of
+  replaying the feature plan;
+* independent fits (learners, seeds, trials, folds) are submitted concurrently from
+  a small driver thread pool -- each fit is a distributed Spark job;
+* all learners' out-of-fold (OOF) scores are columns of one table, written once:
+  every row is read once, by the models that did not see it (no joins);
+* the test score is the mean of the fold models, as columns on the same rows;
+* feature subsets are slices of the one vector, not copies of the table.
 
 Gradient boosting is ``GBTClassifier``; boosted-tree options that Spark has no
 equivalent for (leaf-wise growth, L1/L2 leaf penalties) are not offered.
@@ -19,31 +21,30 @@ from __future__ import annotations
 
 import json
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import binarize, confident
-from ..session import materialize
-from .metrics import roc_auc
+from ..session import Scratch
+from .metrics import grid_bucket, roc_auc
 
 FEATURES = "_features"
 
-# Defaults kept small: every fit is a distributed job with fixed overhead.
+# Tree counts are parameters; these defaults suit tables of few features.
 DEFAULT_PARAMS = {
     # rows and columns are sampled for each tree, so the seed matters
     "gbt": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
     "rf": {"numTrees": 30, "maxDepth": 6},
     "rf_nobootstrap": {"numTrees": 30, "maxDepth": 6, "bootstrap": False},
     "lr": {"maxIter": 100},
+    "nb": {"modelType": "gaussian"},
 }
 
 
@@ -57,22 +58,58 @@ def make_estimator(kind: str, label: str, params: Mapping | None = None, seed: i
         return RandomForestClassifier(seed=seed, **common, **p)
     if kind == "lr":
         return LogisticRegression(**common, **p)
+    if kind == "nb":
+        return NaiveBayes(**common, **p)
     raise ValueError(f"unknown learner {kind!r}")
 
 
-def prepare(df: DataFrame, features: Sequence[str], label: str, checkpoint: bool = True) -> DataFrame:
+def prepare(df: DataFrame, features: Sequence[str], label: str, checkpoint: bool = True, fold: str | None = None,
+            keep: Sequence[str] | None = None, categorical: Sequence[str] = (), max_categories: int = 1000) -> DataFrame:
     """Assemble the feature vector once (label cast to double) and cut lineage.
 
     Features must have been imputed: a missing value is an error in this step, not in a
-    later fit.
+    later fit.  ``categorical`` features are nominal to the trees (split by sets of values,
+    not by order); more than ``max_categories`` values in one are an error, and so its
+    dictionary stays small.  ``keep`` names the columns kept beside label and vector
+    (default: all).  With ``fold``, the table is written partitioned by it.
     """
-    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
-    out = va.transform(df.withColumn(label, F.col(label).cast("double")))
-    return materialize(out, "features") if checkpoint else out
+    df = df.withColumn(label, F.col(label).cast("double"))
+    inputs = list(features)
+    if categorical:
+        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+        wide = [c for c in categorical if sizes[c] > max_categories]
+        if wide:
+            raise ValueError(f"more than {max_categories} categories in {wide}")
+        codes = {c: f"_nominal_{c}" for c in categorical}
+        indexer = StringIndexer(inputCols=list(codes), outputCols=list(codes.values()), stringOrderType="alphabetAsc")
+        df = indexer.fit(df).transform(df)
+        inputs = [codes.get(f, f) for f in features]
+    out = VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error").transform(df)
+    if keep is not None:
+        out = out.select(*dict.fromkeys([*keep, *([fold] if fold else []), label, FEATURES]))
+    if not checkpoint:
+        return out
+    return Scratch(out.sparkSession).save(out, "features", (fold,) if fold else ())
+
+
+def subset(prepared: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The same table with only the features ``keep`` in its vector (``features``: all, in order)."""
+    at = [list(features).index(f) for f in keep]
+    sliced = VectorSlicer(inputCol=FEATURES, outputCol="_sliced", indices=at).transform(prepared)
+    return sliced.drop(FEATURES).withColumnRenamed("_sliced", FEATURES)
+
+
+def _categories(df: DataFrame) -> int:
+    """Most values of any nominal feature in the vector (0: none)."""
+    attrs = df.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
+    return max((len(a.get("vals", ())) for a in attrs), default=0)
 
 
 def fit_model(train: DataFrame, label: str, kind: str = "gbt", params: Mapping | None = None, seed: int = 42):
-    return make_estimator(kind, label, params, seed).fit(train.where(F.col(label).isNotNull()))
+    est = make_estimator(kind, label, params, seed)
+    if est.hasParam("maxBins"):
+        est.setMaxBins(max(est.getMaxBins(), _categories(train)))  # a nominal feature needs one bin per value
+    return est.fit(train.where(F.col(label).isNotNull()))
 
 
 def predict(model, df: DataFrame, out: str = "p") -> DataFrame:
@@ -93,6 +130,55 @@ def _pool_map(fn, items, parallelism: int | None):
         return list(ex.map(fn, items))
 
 
+def _mean(names: Sequence[str]):
+    return reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
+
+
+def oof_matrix(
+    prepared: DataFrame,
+    label: str,
+    k: int,
+    specs: Mapping[str, tuple],
+    fold: str = "fold",
+    id_col: str = "id",
+    parallelism: int | None = None,
+    train_extra: Callable[[int], DataFrame] | None = None,
+    features: Sequence[str] = (),
+):
+    """Out-of-fold scores of several learners side by side.
+
+    ``specs`` maps a score column to ``(kind, params, seed)`` or ``(kind, params, seed,
+    kept features)``; the last needs ``features``, the vector's names.  Each labelled row is
+    scored by the models that did not see its fold.  ``train_extra(i)`` gives rows (such as
+    pseudo-labelled ones) that join the training rows of fold ``i`` and are never scored.
+    Returns ``(oof, models)``: ``oof`` has ``(id, fold, label, *specs)`` and is a written
+    table; ``models`` maps a score column to its ``k`` models.
+    """
+    lab = prepared.where(F.col(label).isNotNull())
+
+    def view(df, spec):
+        return subset(df, features, spec[3]) if len(spec) > 3 else df
+
+    def fit_one(item):
+        name, i = item
+        spec = specs[name]
+        train = lab.where(F.col(fold) != i)
+        if train_extra is not None:
+            train = train.unionByName(train_extra(i).select(*train.columns))
+        return fit_model(view(train, spec), label, *spec[:3])
+
+    jobs = [(name, i) for name in specs for i in range(k)]
+    fitted = dict(zip(jobs, _pool_map(fit_one, jobs, parallelism)))
+    parts = []
+    for i in range(k):
+        cur = lab.where(F.col(fold) == i).withColumn("_all", F.col(FEATURES))
+        for name, spec in specs.items():
+            cur = predict(fitted[name, i], view(cur.withColumn(FEATURES, F.col("_all")), spec), name)
+        parts.append(cur.select(id_col, fold, label, *specs))
+    oof = Scratch(prepared.sparkSession).save(reduce(DataFrame.unionByName, parts), "oof")
+    return oof, {name: [fitted[name, i] for i in range(k)] for name in specs}
+
+
 def oof_predict(
     prepared: DataFrame,
     label: str,
@@ -104,68 +190,64 @@ def oof_predict(
     id_col: str = "id",
     out: str = "p",
     parallelism: int | None = None,
-    train_extra: DataFrame | None = None,
 ):
-    """Out-of-fold scores: each labelled row scored by the model that did not see it.
+    """Out-of-fold scores of one learner: ``((id, fold, label, out), models)``; see :func:`oof_matrix`."""
+    oof, models = oof_matrix(prepared, label, k, {out: (kind, params, seed)}, fold, id_col, parallelism)
+    return oof, models[out]
 
-    Returns ``(oof, models)``; ``oof`` has ``(id, fold, label, out)``.
-    ``train_extra`` rows (e.g. pseudo-labelled) join every training split but
-    are never scored.
-    """
-    lab = prepared.where(F.col(label).isNotNull())
 
-    def fit_one(i: int):
-        train = lab.where(F.col(fold) != i)
-        if train_extra is not None:
-            train = train.unionByName(train_extra.select(*train.columns))
-        return fit_model(train, label, kind, params, seed)
+def with_scores(models, df: DataFrame, prefix: str = "_m") -> DataFrame:
+    """One probability column per model, ``prefix0``, ``prefix1``, ..."""
+    for i, m in enumerate(models):
+        df = predict(m, df, f"{prefix}{i}")
+    return df
+
 
-    models = _pool_map(fit_one, range(k), parallelism)
-    parts = [
-        predict(m, lab.where(F.col(fold) == i), out).select(id_col, fold, label, out) for i, m in enumerate(models)
-    ]
-    return reduce(DataFrame.unionByName, parts), models
+def predict_mean_keep(models, df: DataFrame, out: str = "_p") -> DataFrame:
+    """Mean probability of several models added to ``df``, which keeps all its columns."""
+    names = [f"_m{i}" for i in range(len(models))]
+    return with_scores(models, df).withColumn(out, _mean(names)).drop(*names)
 
 
 def fold_mean_predict(models, df: DataFrame, out: str = "p", keep: Sequence[str] = ("id",)) -> DataFrame:
     """Mean positive probability of several models, as columns on the same rows."""
-    cur = df
-    names = []
-    for i, m in enumerate(models):
-        cur = predict(m, cur, f"_m{i}")
-        names.append(f"_m{i}")
-    mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
-    return cur.select(*keep, mean.alias(out))
+    return predict_mean_keep(models, df, out).select(*keep, out)
 
 
 def cv_report(oof: DataFrame, label: str, score: str = "p", fold: str = "fold", threshold: float = 0.5) -> DataFrame:
-    """Per-fold accuracy and AUC plus mean / population std over folds (one row per fold + 'all')."""
-    pred = binarize(score, threshold)
-    per = oof.groupBy(fold).agg(F.avg((pred == F.col(label)).cast("double")).alias("accuracy"))
+    """Per-fold accuracy and AUC plus mean / population std over folds (one row per fold)."""
+    hit = F.avg((binarize(score, threshold) == F.col(label)).cast("double"))
+    both = oof.rollup(fold).agg(hit.alias("accuracy"), F.grouping(fold).alias("_total"))
+    per = both.where(F.col("_total") == 0).drop("_total")
+    overall = both.where(F.col("_total") == 1).select(F.col("accuracy").alias("oof_accuracy"))
     aucs = roc_auc(oof, label, score, [fold]).select(fold, "auc")
     table = per.join(aucs, [fold], "left")
-    overall = oof.agg(F.avg((pred == F.col(label)).cast("double")).alias("oof_accuracy"))
     summary = table.agg(
         F.avg("accuracy").alias("cv_mean"), F.stddev_pop("accuracy").alias("cv_std"), F.avg("auc").alias("auc_mean")
     )
     oof_auc = roc_auc(oof, label, score).select(F.col("auc").alias("oof_auc"))
-    return table.crossJoin(summary).crossJoin(overall).crossJoin(oof_auc)
+    for one_row in (summary, overall, oof_auc):
+        table = table.crossJoin(F.broadcast(one_row))
+    return table
 
 
 def train_accuracy_gap(models, prepared: DataFrame, label: str, fold: str = "fold", threshold: float = 0.5) -> DataFrame:
-    """Training-rows accuracy of each fold model next to its held-out accuracy (overfit gap)."""
-    lab = prepared.where(F.col(label).isNotNull())
-    rows = []
-    for i, m in enumerate(models):
-        s = predict(m, lab, "_p").withColumn("_hit", (binarize("_p", threshold) == F.col(label)).cast("double"))
-        rows.append(
-            s.agg(
+    """Training-rows accuracy of each fold model next to its held-out accuracy (overfit gap).
+
+    One scan scores every row by all models; the aggregates are one row.
+    """
+    aggs = []
+    for i in range(len(models)):
+        hit = (binarize(f"_m{i}", threshold) == F.col(label)).cast("double")
+        aggs.append(
+            F.struct(
                 F.lit(i).alias(fold),
-                F.avg(F.when(F.col(fold) != i, F.col("_hit"))).alias("train_accuracy"),
-                F.avg(F.when(F.col(fold) == i, F.col("_hit"))).alias("valid_accuracy"),
-            )
+                F.avg(F.when(F.col(fold) != i, hit)).alias("train_accuracy"),
+                F.avg(F.when(F.col(fold) == i, hit)).alias("valid_accuracy"),
+            ).alias(f"_r{i}")
         )
-    t = reduce(DataFrame.unionByName, rows)
+    one = with_scores(models, prepared.where(F.col(label).isNotNull())).agg(*aggs)
+    t = one.select(F.inline(F.array(*[F.col(f"_r{i}") for i in range(len(models))])))
     return t.withColumn("gap", F.col("train_accuracy") - F.col("valid_accuracy"))
 
 
@@ -192,47 +274,53 @@ def importance_ranking(imp: DataFrame) -> DataFrame:
 
 
 def seed_bagging(prepared: DataFrame, label: str, k: int, kinds: Sequence[str], seeds: Sequence[int], fold: str = "fold",
-                 id_col: str = "id", parallelism: int | None = None):
-    """OOF score averaged over (learner, seed) pairs; returns ``(oof_mean, models)``."""
-    oofs, all_models = [], []
-    for kind in kinds:
-        for s in seeds:
-            o, ms = oof_predict(prepared, label, k, fold, kind, None, s, id_col, f"p_{kind}_{s}", parallelism)
-            oofs.append(o)
-            all_models += ms
-    cols = [c for o in oofs for c in o.columns if c.startswith("p_")]
-    wide = reduce(lambda a, b: a.join(b.drop(fold, label), id_col, "inner"), oofs)
-    mean = reduce(lambda a, b: a + b, [F.col(c) for c in cols]) / F.lit(float(len(cols)))
-    return wide.select(id_col, fold, label, mean.alias("p")), all_models
-
-
-def select_by_importance(prepared_fn, label: str, k: int, ranking: DataFrame, ratios: Sequence[float], kind: str = "gbt",
-                         fold: str = "fold", id_col: str = "id", parallelism: int | None = None) -> DataFrame:
+                 id_col: str = "id", parallelism: int | None = None, weights: Mapping[str, float] | None = None,
+                 params: Mapping[str, Mapping] | None = None):
+    """OOF score averaged over seeds, then over learners by ``weights`` (default: equal).
+
+    Learners without a seed (``lr``, ``nb``) are fitted once.  Returns ``(oof, models)``;
+    ``oof`` has ``(id, fold, label, p, p_<kind>...)``.
+    """
+    groups = {kind: list(seeds)[:1] if kind in ("lr", "nb") else list(seeds) for kind in kinds}
+    specs = {f"_{kind}_{s}": (kind, (params or {}).get(kind), s) for kind, ss in groups.items() for s in ss}
+    oof, models = oof_matrix(prepared, label, k, specs, fold, id_col, parallelism)
+    w = {kind: float((weights or {}).get(kind, 1.0)) for kind in kinds}
+    per_kind = {f"p_{kind}": _mean([f"_{kind}_{s}" for s in ss]) for kind, ss in groups.items()}
+    oof = oof.withColumns(per_kind)
+    total = reduce(lambda a, b: a + b, [F.col(f"p_{kind}") * F.lit(w[kind]) for kind in kinds])
+    mean = total / F.lit(sum(w.values()))
+    return oof.select(id_col, fold, label, mean.alias("p"), *per_kind), [m for ms in models.values() for m in ms]
+
+
+def select_by_importance(prepared: DataFrame, features: Sequence[str], label: str, k: int, ranking: DataFrame,
+                         ratios: Sequence[float], kind: str = "gbt", fold: str = "fold", id_col: str = "id",
+                         parallelism: int | None = None, params: Mapping | None = None) -> DataFrame:
     """CV of the top ``int(n * ratio)`` features for each ratio; one row per ratio."""
+    # one row per feature
     ordered = [r["feature"] for r in ranking.orderBy(F.col("importance").desc(), "feature").select("feature").collect()]
-    spark = ranking.sparkSession
+    sets = {f"top_{i}": ordered[: max(1, int(len(ordered) * r))] for i, r in enumerate(ratios)}
+    reps = ablation_table(prepared, features, label, k, sets, kind, fold, id_col, parallelism, params)
+    kept = F.create_map(*[x for n, fs in sets.items() for x in (F.lit(n), F.array(*map(F.lit, fs)))])
+    return reps.select("n_features", "cv_mean", "cv_std", kept[F.col("feature_set")].alias("features"))
 
-    def run(r: float):
-        keep = ordered[: max(1, int(len(ordered) * r))]
-        oof, _ = oof_predict(prepared_fn(keep), label, k, fold, kind, None, 42, id_col, "p", parallelism)
-        rep = cv_report(oof, label).select("cv_mean", "cv_std").limit(1).collect()[0]  # one row
-        return (len(keep), float(rep["cv_mean"]), float(rep["cv_std"]), keep)
 
-    rows = _pool_map(run, ratios, len(ratios))  # independent searches, submitted together
-    return spark.createDataFrame(rows, "n_features int, cv_mean double, cv_std double, features array<string>")
+def ablation_table(prepared: DataFrame, features: Sequence[str], label: str, k: int,
+                   feature_sets: Mapping[str, Sequence[str]], kind: str = "gbt", fold: str = "fold", id_col: str = "id",
+                   parallelism: int | None = None, params: Mapping | None = None) -> DataFrame:
+    """One row per named feature set: OOF accuracy and AUC (replaces one script per ablation).
 
+    All sets are slices of one vector and are scored into one table.
+    """
+    cols = {name: f"_s{i}" for i, name in enumerate(feature_sets)}
+    specs = {cols[name]: (kind, params, 42, list(fs)) for name, fs in feature_sets.items()}
+    oof, _ = oof_matrix(prepared, label, k, specs, fold, id_col, parallelism, features=features)
 
-def ablation_table(prepared_fn, label: str, k: int, feature_sets: Mapping[str, Sequence[str]], kind: str = "gbt",
-                   fold: str = "fold", id_col: str = "id", parallelism: int | None = None) -> DataFrame:
-    """One row per named feature set: OOF accuracy and AUC (replaces one script per ablation)."""
-    def run(item):
-        name, feats = item
-        oof, _ = oof_predict(prepared_fn(list(feats)), label, k, fold, kind, None, 42, id_col, "p", parallelism)
-        rep = cv_report(oof, label).select("cv_mean", "cv_std", "oof_accuracy", "oof_auc").limit(1)
-        return rep.select(F.lit(name).alias("feature_set"), F.lit(len(feats)).alias("n_features"), "*")
+    def report(item):
+        name, fs = item
+        rep = cv_report(oof, label, cols[name], fold).select("cv_mean", "cv_std", "oof_accuracy", "oof_auc").limit(1)
+        return rep.select(F.lit(name).alias("feature_set"), F.lit(len(fs)).alias("n_features"), "*")
 
-    reps = _pool_map(run, list(feature_sets.items()), len(feature_sets))
-    return reduce(DataFrame.unionByName, reps)
+    return reduce(DataFrame.unionByName, _pool_map(report, feature_sets.items(), None))
 
 
 def pseudo_label_rows(df: DataFrame, target: str, score: str, hi: float, lo: float, id_col: str = "id",
@@ -244,71 +332,106 @@ def pseudo_label_rows(df: DataFrame, target: str, score: str, hi: float, lo: flo
     return lab.unionByName(conf)
 
 
+def pseudo_label_fit(prepared: DataFrame, label: str, models, hi: float, lo: float, kind: str = "gbt",
+                     params: Mapping | None = None, min_rows: int = 1, seed: int = 42):
+    """Refit on the labelled rows plus the confident unlabelled ones, labelled by the models' mean.
+
+    Fewer than ``min_rows`` confident rows are not used.  Returns ``(model, n_pseudo)``.
+    """
+    lab = prepared.where(F.col(label).isNotNull()).withColumn("_p", F.lit(None).cast("double"))
+    scored = predict_mean_keep(models, prepared.where(F.col(label).isNull()), "_p")
+    scratch = Scratch(prepared.sparkSession)
+    rows = scratch.save(pseudo_label_rows(lab.unionByName(scored), label, "_p", hi, lo), "pseudo")
+    n = rows.where(F.col("is_pseudo") == 1).count()
+    model = fit_model(rows if n >= min_rows else rows.where(F.col("is_pseudo") == 0), label, kind, params, seed)
+    scratch.drop(rows)
+    return model, n
+
+
 def pseudo_label_search(prepared: DataFrame, label: str, k: int, bands: Sequence[tuple[float, float]], kind: str = "gbt",
-                        fold: str = "fold", id_col: str = "id", min_rows: int = 1, parallelism: int | None = None) -> DataFrame:
+                        fold: str = "fold", id_col: str = "id", min_rows: int = 1, parallelism: int | None = None,
+                        params: Mapping | None = None, labels_from: str = "fold") -> DataFrame:
     """Score bands of pseudo-labels; every OOF score is taken on original rows only.
 
-    The baseline (no pseudo-labels) is a row of the table, so "all worse than
-    baseline" is visible and the baseline can win (Q16).
+    ``labels_from='fold'``: the labels added when fold ``i`` is scored come from the model
+    that did not see fold ``i`` (no leak).  ``'all'``: from the mean of all fold models, most
+    of which saw the scored fold.  ``n_pseudo`` counts the rows that the mean of all models
+    is confident of; a band with fewer than ``min_rows`` is not fitted.  The baseline (no
+    pseudo-labels) is a row of the table; ``is_selected`` marks the best OOF accuracy, the
+    baseline on ties (Q16).
     """
+    if labels_from not in ("fold", "all"):
+        raise ValueError(f"unknown labels_from {labels_from!r}")
     spark = prepared.sparkSession
-    base_oof, models = oof_predict(prepared, label, k, fold, kind, None, 42, id_col, "p", parallelism)
-    test = prepared.where(F.col(label).isNull())
-    scored_test = materialize(predict_mean_keep(models, test), "scored")
-    base = cv_report(base_oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
-    rows = [(None, None, 0, float(base["oof_accuracy"]), float(base["oof_auc"]))]
-
-    def run(band):
-        hi, lo = band
-        pseudo = scored_test.where(confident("_p", hi, lo)).withColumn(label, binarize("_p").cast("double"))
-        pseudo = pseudo.drop("_p").withColumn(fold, F.lit(-1))
-        n = pseudo.count()
+    scratch = Scratch(spark)
+    base_oof, models = oof_predict(prepared, label, k, fold, kind, params, 42, id_col, "p", parallelism)
+    names = [f"_m{i}" for i in range(k)]
+    test = with_scores(models, prepared.where(F.col(label).isNull())).withColumn("_mean", _mean(names))
+    scored = scratch.save(test, "scored")
+    counts = scored.agg(*[F.count_if(confident("_mean", hi, lo)).alias(f"_b{j}") for j, (hi, lo) in enumerate(bands)])
+    n_of = list(counts.first()) if bands else []  # one number per band
+
+    def report(oof):
+        rep = cv_report(oof, label, "p", fold).select("oof_accuracy", "oof_auc").first()  # one row
+        return float(rep["oof_accuracy"]), float(rep["oof_auc"])
+
+    rows = [(None, None, 0, *report(base_oof))]
+    for (hi, lo), n in zip(bands, n_of):
         if n < min_rows:
-            return (hi, lo, n, None, None)
-        oof, _ = oof_predict(prepared, label, k, fold, kind, None, 42, id_col, "p", parallelism, train_extra=pseudo)
-        rep = cv_report(oof, label).select("oof_accuracy", "oof_auc").limit(1).collect()[0]
-        return (hi, lo, n, float(rep["oof_accuracy"]), float(rep["oof_auc"]))
-
-    rows += _pool_map(run, list(bands), len(bands))  # bands are independent
-    return spark.createDataFrame(rows, "hi double, lo double, n_pseudo bigint, oof_accuracy double, oof_auc double")
-
-
-def predict_mean_keep(models, df: DataFrame, out: str = "_p") -> DataFrame:
-    """Fold-mean probability added to ``df`` keeping all of its columns."""
-    cur = df
-    names = []
-    for i, m in enumerate(models):
-        cur = predict(m, cur, f"_m{i}")
-        names.append(f"_m{i}")
-    mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
-    return cur.withColumn(out, mean).drop(*names)
+            rows.append((hi, lo, n, None, None))
+            continue
+
+        def extra(i, hi=hi, lo=lo):
+            score = "_mean" if labels_from == "all" else names[i]
+            sure = scored.where(confident(score, hi, lo)).withColumn(label, binarize(score).cast("double"))
+            return sure.withColumn(fold, F.lit(-1))
+
+        oof, _ = oof_matrix(prepared, label, k, {"p": (kind, params, 42)}, fold, id_col, parallelism, extra)
+        rows.append((hi, lo, n, *report(oof)))
+    scratch.drop(scored)
+    best = max(range(len(rows)), key=lambda j: (rows[j][3] if rows[j][3] is not None else -1.0, -j))
+    return spark.createDataFrame(
+        [(*r, j == best) for j, r in enumerate(rows)],
+        "hi double, lo double, n_pseudo bigint, oof_accuracy double, oof_auc double, is_selected boolean",
+    )
 
 
 def stacking(prepared: DataFrame, label: str, k: int, base_kinds: Sequence[str], fold: str = "fold", id_col: str = "id",
-             seed: int = 42, parallelism: int | None = None):
+             seed: int | Sequence[int] = 42, parallelism: int | None = None, params: Mapping[str, Mapping] | None = None):
     """Two-level stacking: base OOF scores -> logistic meta-learner scored out of fold too (Q14).
 
+    With several seeds, one stack is fitted for each and the scores are their means.
     Returns ``(meta_oof, coefficients, test_scores)``.
     """
     spark = prepared.sparkSession
-    oofs, tests = [], []
+    seeds = [seed] if isinstance(seed, int) else list(seed)
+    specs = {f"p_{kind}_{s}": (kind, (params or {}).get(kind), s) for s in seeds for kind in base_kinds}
+    base, models = oof_matrix(prepared, label, k, specs, fold, id_col, parallelism)
     test = prepared.where(F.col(label).isNull())
-    for kind in base_kinds:
-        o, ms = oof_predict(prepared, label, k, fold, kind, None, seed, id_col, f"p_{kind}", parallelism)
-        oofs.append(o)
-        tests.append(fold_mean_predict(ms, test, f"p_{kind}", [id_col]))
-    matrix = reduce(lambda a, b: a.join(b.drop(fold, label), id_col, "inner"), oofs)
-    cols = [f"p_{k_}" for k_ in base_kinds]
-    meta_in = prepare(matrix, cols, label)
-    meta_oof, _ = oof_predict(meta_in, label, k, fold, "lr", None, seed, id_col, "p_meta", parallelism)
-    meta_model = fit_model(meta_in, label, "lr")
-    coef = spark.createDataFrame(
-        [(c, float(w)) for c, w in zip(cols, meta_model.coefficients.toArray())] + [("intercept", float(meta_model.intercept))],
-        "term string, coefficient double",
+    for name, ms in models.items():
+        test = predict_mean_keep(ms, test, name)
+    test = Scratch(spark).save(test.select(id_col, label, *specs), "base_scores")
+
+    metas, coefs = {}, []
+    oof, meta_oofs = base, []
+    for s in seeds:
+        cols = [f"p_{kind}_{s}" for kind in base_kinds]
+        meta_in = prepare(base, cols, label, checkpoint=False)
+        meta_specs = {f"_meta_{s}": ("lr", None, s)}
+        scored, _ = oof_matrix(meta_in, label, k, meta_specs, fold, id_col, parallelism)
+        meta_oofs.append(scored.withColumnRenamed(f"_meta_{s}", "_meta"))
+        metas[s] = fit_model(meta_in, label, "lr")
+        terms = [*[f"p_{kind}" for kind in base_kinds], "intercept"]
+        coefs += list(zip(terms, [*map(float, metas[s].coefficients.toArray()), float(metas[s].intercept)]))
+        test = predict(metas[s], prepare(test, cols, label, checkpoint=False), f"_meta_{s}").drop(FEATURES)
+    oof = reduce(DataFrame.unionByName, meta_oofs)
+    if len(seeds) > 1:
+        oof = oof.groupBy(id_col, fold, label).agg(F.avg("_meta").alias("_meta"))
+    coef = spark.createDataFrame(coefs, "term string, coefficient double").groupBy("term").agg(
+        F.avg("coefficient").alias("coefficient")
     )
-    test_matrix = reduce(lambda a, b: a.join(b, id_col, "inner"), tests)
-    test_scores = predict(meta_model, prepare(test_matrix.withColumn(label, F.lit(None).cast("double")), cols, label), "p_meta")
-    return meta_oof, coef, test_scores.select(id_col, "p_meta")
+    test = test.withColumn("p_meta", _mean([f"_meta_{s}" for s in seeds]))
+    return oof.withColumnRenamed("_meta", "p_meta"), coef, test.select(id_col, "p_meta")
 
 
 def sample_params(space: Mapping[str, tuple], n_trials: int, seed: int = 42) -> list[dict]:
@@ -335,23 +458,53 @@ def sample_params(space: Mapping[str, tuple], n_trials: int, seed: int = 42) ->
     return trials
 
 
-def hyper_search(prepared: DataFrame, label: str, space: Mapping[str, tuple], n_trials: int, k: int, kind: str = "gbt",
-                 fold: str = "fold", seed: int = 42, parallelism: int = 4):
-    """Random search scored by fold-column cross-validation (``CrossValidator(foldCol=...)``).
+def hyper_search(prepared: DataFrame, label: str, space: Mapping[str, tuple], n_trials: int = 30, k: int = 5,
+                 kind: str = "gbt", fold: str = "fold", seed: int = 42, parallelism: int | None = None,
+                 id_col: str = "id", base: Mapping | None = None, grid: tuple[int, int] = (30, 70)):
+    """Random search over parameters and the decision threshold, judged by OOF accuracy.
 
-    Returns ``(trials_table, best_params)``; the seed is kept in the refit (Q18).
+    Every trial (``base`` parameters overlaid by its own) is fitted on each fold; its OOF
+    scores are compared with the thresholds ``grid[0]/100 ... grid[1]/100``, and the trial
+    counts with its best one (ties: the smaller).  A tolerance for early stopping is one more
+    parameter of the space (``validationTol``, with ``validationIndicatorCol`` in ``base``).
+    Returns ``(trials_table, best_params, best_threshold)``; first trial on ties.
     """
-    spark = prepared.sparkSession
-    est = make_estimator(kind, label, None, seed)
     trials = sample_params(space, n_trials, seed)
-    maps = [{est.getParam(k): v for k, v in t.items()} for t in trials]
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    # Materialised so CrossValidator's fold-range check only ever sees labelled rows.
-    lab = materialize(prepared.where(F.col(label).isNotNull()).withColumn(fold, F.col(fold).cast("int")), "cv_input")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=k, foldCol=fold,
-                        parallelism=parallelism, seed=seed)
-    cvm = cv.fit(lab)
-    rows = [(i, json.dumps(t, sort_keys=True), float(m), float(s)) for i, (t, m, s) in enumerate(zip(trials, cvm.avgMetrics, cvm.stdMetrics))]
-    table = spark.createDataFrame(rows, "trial int, params string, cv_accuracy double, cv_std double")
-    best = max(range(len(trials)), key=lambda i: (cvm.avgMetrics[i], -i))
-    return table, trials[best]
+    specs = {f"_t{i}": (kind, {**(base or {}), **t}, seed) for i, t in enumerate(trials)}
+    oof, _ = oof_matrix(prepared, label, k, specs, fold, id_col, parallelism)
+    lo, hi = grid
+    long = oof.select(label, F.posexplode(F.array(*specs)).alias("trial", "p"))
+    hist = long.groupBy("trial", grid_bucket("p", lo, hi).alias("_b")).agg(
+        F.count("*").alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_pos")
+    )  # at most trials x (hi - lo + 2) rows
+    g = hist.sparkSession.range(lo, hi + 1).select(F.col("id").cast("int").alias("g"))
+    right = F.when(F.col("_b") >= F.col("g"), F.col("_pos")).otherwise(F.col("_n") - F.col("_pos"))
+    acc = hist.crossJoin(F.broadcast(g)).groupBy("trial", "g").agg(
+        (F.sum(right).cast("double") / F.sum("_n")).alias("accuracy")
+    )
+    best_of = acc.groupBy("trial").agg(
+        F.min_by(F.struct("g", "accuracy"), F.struct(-F.col("accuracy"), F.col("g"))).alias("_best"),
+        F.max(F.when(F.col("g") == 50, F.col("accuracy"))).alias("accuracy_at_half"),
+    )
+    table = best_of.collect()  # one row per trial
+    table = sorted((r["trial"], json.dumps(trials[r["trial"]], sort_keys=True), r["_best"]["g"] / 100,
+                    r["_best"]["accuracy"], r["accuracy_at_half"]) for r in table)
+    best = max(table, key=lambda r: (r[3], -r[0]))
+    frame = prepared.sparkSession.createDataFrame(
+        [(*r, r[0] == best[0]) for r in table],
+        "trial int, params string, threshold double, oof_accuracy double, accuracy_at_half double, is_best boolean",
+    )
+    return frame, {**(base or {}), **trials[best[0]]}, best[2]
+
+
+def hyper_refit(prepared: DataFrame, label: str, params: Mapping, threshold: float = 0.5, k: int = 5, kind: str = "gbt",
+                fold: str = "fold", seed: int = 42, id_col: str = "id", parallelism: int | None = None) -> DataFrame:
+    """Searched parameters refitted fold by fold, the seed kept (Q18).
+
+    One row per row of ``prepared``: labelled rows carry their out-of-fold score, the others
+    the mean of the fold models (``is_oof`` tells which); ``predicted`` applies the threshold.
+    """
+    oof, models = oof_predict(prepared, label, k, fold, kind, params, seed, id_col, "p", parallelism)
+    test = fold_mean_predict(models, prepared.where(F.col(label).isNull()), "p", [id_col])
+    both = oof.select(id_col, "p", F.lit(True).alias("is_oof")).unionByName(test.withColumn("is_oof", F.lit(False)))
+    return both.withColumn("predicted", binarize("p", threshold))

@@ -190,11 +190,11 @@ def category_codes(spark, d):
 # ---------------------------------------------------------------- F: folds
 
 
-_STRAT_SQL = """SELECT id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('42|' || CAST(id AS VARCHAR)), id) - 1) % 5
+STRAT_SQL = """SELECT id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('42|' || CAST(id AS VARCHAR)), id) - 1) % 5
                   AS INTEGER) AS fold FROM cases WHERE split = 'train'"""
 
 
-@register("stratified_fold", _STRAT_SQL)
+@register("stratified_fold", STRAT_SQL)
 def stratified_fold(spark, d):
     """exact stratified round-robin folds over a seeded hash order."""
     train = cases(spark, d).where(F.col("split") == "train").select("id", "y")
@@ -212,7 +212,7 @@ def hash_fold(spark, d):
 
 @register(
     "fold_balance",
-    f"SELECT fold, y, count(*) AS n FROM ({_STRAT_SQL}) f GROUP BY fold, y",
+    f"SELECT fold, y, count(*) AS n FROM ({STRAT_SQL}) f GROUP BY fold, y",
 )
 def fold_balance(spark, d):
     """class balance of every fold."""

@@ -50,8 +50,11 @@ def test_stacking_and_search(spark):
     meta_oof, coef, test = ln.stacking(prep, "y", 3, ["lr", "rf"])
     assert meta_oof.count() == prep.where(F.col("y").isNotNull()).count()
     assert {r["term"] for r in coef.collect()} == {"p_lr", "p_rf", "intercept"}
-    table, best = ln.hyper_search(prep, "y", {"maxDepth": ("int", 2, 4)}, 2, 3, "gbt")
-    assert table.count() == 2 and "maxDepth" in best
+    table, best, threshold = ln.hyper_search(prep, "y", {"maxDepth": ("int", 2, 4)}, 2, 3, "gbt", base={"maxIter": 3})
+    rows = table.collect()
+    assert len(rows) == 2 and "maxDepth" in best and 0.3 <= threshold <= 0.7
+    assert [r for r in rows if r["is_best"]] == [max(rows, key=lambda r: (r["oof_accuracy"], -r["trial"]))]
+    assert all(r["oof_accuracy"] >= r["accuracy_at_half"] for r in rows)
 
 
 def test_pseudo_label_rows(spark):
@@ -81,3 +84,104 @@ def test_checkpoint_folder_must_be_named_off_local_mode():
 
     assert is_local_master("local[8]") and is_local_master("local")
     assert not is_local_master("local-cluster[3,2,1024]") and not is_local_master("yarn")
+
+
+X = ["x1", "x2", "x3"]
+FAST = {"maxIter": 3, "maxDepth": 3, "subsamplingRate": 0.8}
+
+
+def test_search_judges_by_the_accuracy_of_its_own_oof_scores(spark):
+    prep = _planted(spark, n=600)
+    table, best, threshold = ln.hyper_search(prep, "y", {"maxDepth": ("int", 2, 4)}, 3, 3, "gbt", base=FAST)
+    both = ln.hyper_refit(prep, "y", best, threshold, 3).toPandas()
+    y = prep.select("id", "y").toPandas()
+    merged = both.merge(y, on="id")
+    lab = merged[merged["y"].notna()]
+    assert len(both) == 600 and both["id"].is_unique and (lab["is_oof"]).all()
+    won = table.where("is_best").first()["oof_accuracy"]
+    assert abs((lab["predicted"] == lab["y"]).mean() - won) < 1e-9
+
+
+def test_bagging_is_the_mean_of_its_learners_and_learns(spark):
+    prep = _planted(spark, n=600)
+    oof, models = ln.seed_bagging(prep, "y", 3, ["gbt", "rf", "lr"], [1, 2], params={"gbt": FAST, "rf": {"numTrees": 5}},
+                                  weights={"lr": 2.0})
+    pdf = oof.toPandas()
+    assert np.allclose(pdf["p"], (pdf["p_gbt"] + pdf["p_rf"] + 2 * pdf["p_lr"]) / 4)
+    assert len(models) == 3 * (2 + 2 + 1) and ((pdf["p"] > 0.5) == pdf["y"]).mean() > 0.85
+
+
+def test_selection_and_ablation_tell_signal_from_noise(spark):
+    prep = _planted(spark)
+    ranking = spark.createDataFrame([("x1", 0.6), ("x2", 0.3), ("x3", 0.1)], "feature string, importance double")
+    got = ln.select_by_importance(prep, X, "y", 3, ranking, [0.7, 0.4], "lr").collect()
+    by_n = {r["n_features"]: r for r in got}
+    assert by_n[2]["features"] == ["x1", "x2"] and by_n[1]["features"] == ["x1"]
+    assert by_n[2]["cv_mean"] > by_n[1]["cv_mean"]
+    sets = {"all": X, "no_noise": ["x1", "x2"], "noise": ["x3"]}
+    auc = {r["feature_set"]: r["oof_auc"] for r in ln.ablation_table(prep, X, "y", 3, sets, "lr").collect()}
+    assert auc["all"] > 0.9 and auc["no_noise"] > 0.9 and 0.4 < auc["noise"] < 0.6
+    alone, _ = ln.oof_predict(ln.subset(prep, X, ["x1", "x2"]), "y", 3, "fold", "lr")
+    assert abs(ln.cv_report(alone, "y").first()["oof_auc"] - auc["no_noise"]) < 1e-9
+
+
+def test_pseudo_labels_are_searched_without_a_leak(spark):
+    prep = _planted(spark, n=600)
+    args = (prep, "y", 3, [(0.9, 0.1), (1.1, -0.1)], "lr")
+    table = ln.pseudo_label_search(*args, min_rows=5).collect()
+    assert [r["n_pseudo"] for r in table][0] == 0 and table[1]["n_pseudo"] > 5
+    assert table[2]["oof_accuracy"] is None and table[2]["n_pseudo"] == 0  # no row is that sure
+    chosen = [r for r in table if r["is_selected"]]
+    assert len(chosen) == 1 and chosen[0]["oof_accuracy"] == max(r["oof_accuracy"] for r in table[:2])
+    _, models = ln.oof_predict(prep, "y", 3, "fold", "lr")
+    few, n = ln.pseudo_label_fit(prep, "y", models, 0.9, 0.1, "lr", min_rows=10_000)
+    plain = ln.fit_model(prep, "y", "lr")
+    assert 5 < n < 10_000 and np.allclose(few.coefficients.toArray(), plain.coefficients.toArray())
+    more, _ = ln.pseudo_label_fit(prep, "y", models, 0.9, 0.1, "lr")
+    assert not np.allclose(more.coefficients.toArray(), plain.coefficients.toArray())
+
+
+def test_overfit_gap_and_early_stopping(spark):
+    prep = _planted(spark, n=600)
+    _, models = ln.oof_predict(prep, "y", 3, "fold", "gbt", {"maxIter": 8, "maxDepth": 5})
+    gap = {r["fold"]: r for r in ln.train_accuracy_gap(models, prep, "y").collect()}
+    assert set(gap) == {0, 1, 2}
+    lab = prep.where(F.col("y").isNotNull())
+    one = ln.predict(models[1], lab, "p").toPandas()
+    held = one["fold"] == 1
+    hit = (one["p"] >= 0.5) == (one["y"] == 1)
+    assert abs(gap[1]["valid_accuracy"] - hit[held].mean()) < 1e-9 and abs(gap[1]["train_accuracy"] - hit[~held].mean()) < 1e-9
+    assert all(r["gap"] > 0 for r in gap.values())
+    flagged = ln.with_validation_flag(prep, "id")
+    stopped = ln.fit_model(flagged, "y", "gbt", {"maxIter": 40, "maxDepth": 5, "validationIndicatorCol": "_is_val", "validationTol": 0.01})
+    assert len(stopped.trees) < 40
+
+
+def test_stack_averages_its_seeds(spark):
+    prep = _planted(spark, n=600)
+    params = {"rf": {"numTrees": 5}}
+    each = [ln.stacking(prep, "y", 3, ["lr", "rf"], seed=s, params=params)[2].toPandas().set_index("id")["p_meta"] for s in (1, 2)]
+    oof, coef, both = ln.stacking(prep, "y", 3, ["lr", "rf"], seed=[1, 2], params=params)
+    got = both.toPandas().set_index("id")["p_meta"]
+    assert np.allclose(got, (each[0] + each[1]).loc[got.index] / 2) and not np.allclose(each[0], each[1].loc[each[0].index])
+    assert coef.count() == 3 and oof.count() == prep.where(F.col("y").isNotNull()).count()
+
+
+def test_nominal_features_split_by_sets_and_are_bounded(spark):
+    import pytest
+
+    rows = [(i, "abcdefgh"[i % 8], int(i % 8 in (0, 3, 5)), i % 3) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, c string, y int, fold int")
+    prep = ln.prepare(df, ["c"], "y", fold="fold", keep=["id"], categorical=["c"])
+    assert set(prep.columns) == {"id", "fold", "y", "_features"}
+    oof, models = ln.oof_predict(prep, "y", 3, "fold", "rf", {"numTrees": 1, "maxDepth": 1})
+    assert ((oof.toPandas()["p"] > 0.5) == oof.toPandas()["y"]).all()  # one split tells {a, d, f} from the rest
+    with pytest.raises(ValueError):
+        ln.prepare(df, ["c"], "y", categorical=["c"], max_categories=3)
+
+
+def test_folds_are_read_alone(spark):
+    prep = _planted(spark, n=100)
+    part = ln.prepare(prep.drop("_features"), X, "y", fold="fold", keep=["id"])
+    plan = part.where(F.col("fold") != 1)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(fold" in plan
