@@ -156,7 +156,7 @@ def drift_chi2(
     tot = cells.groupBy("feature").agg(
         F.sum("_oa").alias("_ta"), F.sum("_ob").alias("_tb"), F.count(F.lit(1)).alias("_r")
     )
-    j = cells.join(tot, ["feature"], "inner")
+    j = cells.join(F.broadcast(tot), ["feature"], "inner")  # one row per requested column
     n = (F.col("_ta") + F.col("_tb")).cast("double")
     row = (F.col("_oa") + F.col("_ob")).cast("double")
     dof = (F.col("_r") - 1)
@@ -192,7 +192,7 @@ def drift_ks(
         F.count_if(_is(split, a)).alias("ca"), F.count_if(_is(split, b)).alias("cb")
     )
     cum = running_sums(counts, ["x"], ["ca", "cb"], by=["feature"])
-    tot = counts.groupBy("feature").agg(F.sum("ca").alias("_na"), F.sum("cb").alias("_nb"))
+    tot = cum.groupBy("feature").agg(F.max("cum_ca").alias("_na"), F.max("cum_cb").alias("_nb"))
     j = cum.join(F.broadcast(tot), ["feature"], "inner")  # one row per requested column
     share = lambda c, n: F.try_divide(F.col(c).cast("double"), F.col(n).cast("double"))
     gap = F.abs(share("cum_ca", "_na") - share("cum_cb", "_nb"))  # NULL where a split has no value

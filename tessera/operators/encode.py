@@ -23,7 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .groups import unpivot
+from ..session import materialize
+from .groups import join_back, unpivot
 from .ordered import dense_codes, running_sums
 
 
@@ -40,14 +41,10 @@ def _value_stats(df: DataFrame, target: str, cols: Sequence[str], extra: Sequenc
     )
 
 
-def _attach(df: DataFrame, stats: DataFrame, col: str, keys_extra: Sequence[str] = (), tag: str = "") -> DataFrame:
-    s = stats.where(F.col("feature") == col).drop("feature")
-    s = s.withColumnsRenamed({"value": f"_v{tag}", "_s": f"_s{tag}", "_n": f"_n{tag}"})
-    cond = F.col(col).cast("string") == F.col(f"_v{tag}")
-    for k in keys_extra:
-        s = s.withColumnRenamed(k, f"_{k}{tag}")
-        cond = cond & (F.col(k) == F.col(f"_{k}{tag}"))
-    return df.join(s, cond, "left").drop(f"_v{tag}", *[f"_{k}{tag}" for k in keys_extra])
+def _attach(df: DataFrame, stats: DataFrame, col: str, names: Sequence[str]) -> DataFrame:
+    """The row of ``stats`` fitted for a row's value of ``col``, by one join."""
+    s = stats.where(F.col("feature") == col).select(F.col("value").alias("_v"), *names)
+    return join_back(df.withColumn("_k", F.col(col).cast("string")), s.withColumnRenamed("_v", "_k"), ["_k"]).drop("_k")
 
 
 def target_encode(
@@ -64,27 +61,37 @@ def target_encode(
     """Add ``<col><suffix>`` for each column; see module doc for the modes."""
     if mode == "ordered":
         return _ordered(df, target, cols, suffix, seed, id_col, prior)
-    totals = _value_stats(df, target, cols)
+    if mode not in ("full", "loo", "kfold"):
+        raise ValueError(f"unknown mode {mode!r}")
+    # One aggregation serves all columns, the totals and the folds.
+    names = ["_s", "_n"]
+    if mode == "kfold":
+        per_fold = _value_stats(df, target, cols, [fold])
+        entry = F.struct(F.col(fold), F.struct("_s", "_n"))
+        fitted = per_fold.groupBy("feature", "value").agg(
+            F.sum("_s").alias("_s"), F.sum("_n").alias("_n"),
+            F.map_from_entries(F.collect_list(F.when(F.col(fold).isNotNull(), entry))).alias("_by_fold"),  # <= one entry a fold
+        )
+        names.append("_by_fold")
+    else:
+        fitted = _value_stats(df, target, cols)
+    fitted = materialize(fitted, "target_stats")
     out = df.crossJoin(F.broadcast(_prior(df, target))) if prior is None else df.withColumn("_prior", F.lit(float(prior)))
     labelled = F.col(target).isNotNull()
-    folds = _value_stats(df, target, cols, [fold]) if mode == "kfold" else None
+    n = F.col("_n").cast("double")
+    full_mean = F.try_divide(F.col("_s"), n)
+    if mode == "full":
+        enc = full_mean
+    elif mode == "loo":
+        enc = F.when(labelled, F.try_divide(F.col("_s") - F.col(target).cast("double"), n - 1)).otherwise(full_mean)
+    else:
+        own = F.try_element_at("_by_fold", F.col(fold))
+        s_other = F.col("_s") - F.coalesce(own["_s"], F.lit(0.0))
+        n_other = n - F.coalesce(own["_n"], F.lit(0)).cast("double")
+        enc = F.when(labelled, F.try_divide(s_other, n_other)).otherwise(full_mean)
     for c in cols:
-        out = _attach(out, totals, c, (), "t")
-        full_mean = F.try_divide(F.col("_st"), F.col("_nt").cast("double"))
-        if mode == "full":
-            enc = full_mean
-        elif mode == "loo":
-            own = F.col(target).cast("double")
-            enc = F.when(labelled, F.try_divide(F.col("_st") - own, (F.col("_nt") - 1).cast("double"))).otherwise(full_mean)
-        elif mode == "kfold":
-            out = _attach(out, folds, c, [fold], "f")
-            s_other = F.col("_st") - F.coalesce(F.col("_sf"), F.lit(0.0))
-            n_other = F.col("_nt") - F.coalesce(F.col("_nf"), F.lit(0))
-            enc = F.when(labelled, F.try_divide(s_other, n_other.cast("double"))).otherwise(full_mean)
-        else:
-            raise ValueError(f"unknown mode {mode!r}")
-        out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior")))
-        out = out.drop("_st", "_nt", "_sf", "_nf")
+        out = _attach(out, fitted, c, names)
+        out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior"))).drop(*names)
     return out.drop("_prior")
 
 
@@ -93,7 +100,7 @@ def _ordered(df, target, cols, suffix, seed, id_col, prior):
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
     out = df.withColumn("_h", h)
     out = out.crossJoin(F.broadcast(_prior(df, target))) if prior is None else out.withColumn("_prior", F.lit(float(prior)))
-    totals = _value_stats(df, target, cols)
+    totals = materialize(_value_stats(df, target, cols), "target_stats")
     for c in cols:
         lab = (
             out.where(F.col(target).isNotNull() & F.col(c).isNotNull())
@@ -106,10 +113,10 @@ def _ordered(df, target, cols, suffix, seed, id_col, prior):
             F.try_divide(F.col("cum__y") - F.col("_y"), (F.col("cum__one") - 1).cast("double")).alias("_ots"),
         )
         out = out.join(prev, F.col(id_col) == F.col("_oid"), "left").drop("_oid")
-        out = _attach(out, totals, c, (), "t")
-        full_mean = F.try_divide(F.col("_st"), F.col("_nt").cast("double"))
+        out = _attach(out, totals, c, ["_s", "_n"])
+        full_mean = F.try_divide(F.col("_s"), F.col("_n").cast("double"))
         enc = F.when(F.col(target).isNotNull(), F.col("_ots")).otherwise(full_mean)
-        out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior"))).drop("_ots", "_st", "_nt")
+        out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior"))).drop("_ots", "_s", "_n")
     return out.drop("_h", "_prior")
 
 
@@ -127,7 +134,7 @@ def group_target_stats(
         F.count(y).alias(f"{prefix}_known"),
         F.stddev_samp(y).alias(f"{prefix}_std"),
     )
-    out = df.join(stats, [key], "left")
+    out = join_back(df, stats, [key])
     return out.withColumns(
         {
             f"{prefix}_mean": F.coalesce(F.col(f"{prefix}_mean"), F.lit(float(default_mean))),
@@ -146,7 +153,7 @@ def label_encode(df: DataFrame, col: str, out: str | None = None, nan_text: bool
     key = F.coalesce(F.col(col).cast("string"), F.lit("nan")) if nan_text else F.col(col).cast("string")
     keyed = df.withColumn("_lk", key)
     codes = dense_codes(keyed, "_lk", (), "_code")
-    res = keyed.join(codes, ["_lk"], "left")
+    res = join_back(keyed, codes, ["_lk"])
     code = F.col("_code") if nan_text else F.coalesce(F.col("_code"), F.lit(-1))
     return res.withColumn(out, code).drop("_lk", "_code")
 

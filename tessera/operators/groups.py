@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import dense_codes, exact_median, exact_quantiles
+from .ordered import dense_codes, exact_median, exact_quantiles, running_sums
 
 _SALT = "_tsr_salt"
 
@@ -39,10 +39,28 @@ def fit_group_stats(df: DataFrame, keys, aggs: Mapping[str, Column]) -> DataFram
     return _non_null_keys(df, keys).groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def join_back(df: DataFrame, stats: DataFrame, keys, alone: Column | None = None) -> DataFrame:
+    """Left join of a fitted table whose keys are unique and not null.
+
+    Rows with a NULL key (or those that ``alone`` marks) match nothing; a salt made from
+    the row deals them out evenly, where a plain join would send them all to one task.
+    """
+    keys = _keys(keys)
+    if df.isStreaming:  # fitted tables of a stream are static and joined as they are
+        return df.join(stats, keys, "left")
+    for k in keys:
+        lost = F.col(k).isNull()
+        alone = lost if alone is None else alone | lost
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    salt = F.when(alone, F.pmod(F.xxhash64(*hashable), F.lit(1024)).cast("int") + 1).otherwise(F.lit(0))
+    res = df.withColumn(_SALT, salt).join(stats.withColumn(_SALT, F.lit(0)), [*keys, _SALT], "left")
+    return res.drop(_SALT)
+
+
 def apply_stats(df: DataFrame, stats: DataFrame, keys, defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Left-join a fitted table; optional defaults for unmatched rows."""
     keys = _keys(keys)
-    out = df.join(stats, keys, "left")
+    out = join_back(df, stats, keys)
     if defaults:
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items()})
     return out
@@ -73,14 +91,10 @@ def group_size(
     agg = F.count(F.col(count_col)) if count_col else F.count(F.lit(1))
     stats = fit_group_stats(src, keys, {out: agg})
     if sentinel is None:
-        return df.join(stats, keys, "left")
-    # rows of the sentinel (and of no key) match nothing: a salt deals them out evenly instead of to one task
-    alone = F.col(keys[0]).isNull() | (F.col(keys[0]) == F.lit(sentinel))
-    salt = F.when(alone, F.pmod(F.monotonically_increasing_id(), F.lit(1024)) + 1).otherwise(F.lit(0))
-    res = df.withColumn(_SALT, salt).join(
-        stats.withColumn(_SALT, F.lit(0).cast("bigint")), [*keys, _SALT], "left"
-    )
-    return res.drop(_SALT).withColumn(out, F.when(F.col(keys[0]) == F.lit(sentinel), F.lit(1)).otherwise(F.col(out)))
+        return join_back(df, stats, keys)
+    is_sentinel = F.coalesce(F.col(keys[0]) == F.lit(sentinel), F.lit(False))
+    res = join_back(df, stats, keys, is_sentinel)
+    return res.withColumn(out, F.when(F.col(keys[0]) == F.lit(sentinel), F.lit(1)).otherwise(F.col(out)))
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -110,7 +124,7 @@ def group_median(df: DataFrame, keys, value: str, out: str = "median", approx: b
 
 
 def with_group_median(df: DataFrame, keys, value: str, out: str, approx: bool = False) -> DataFrame:
-    return df.join(group_median(df, keys, value, out, approx), _keys(keys), "left")
+    return join_back(df, group_median(df, keys, value, out, approx), keys)
 
 
 def mode_table(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "mode") -> DataFrame:
@@ -144,7 +158,7 @@ def collapse_rare(df: DataFrame, col: str, min_count: int = 5, other: str = "RAR
     """Values seen fewer than ``min_count`` times (over ``df``) become ``other``."""
     out = out or col
     counts = value_counts(df, col, "_freq")
-    res = df.join(counts, [col], "left")
+    res = join_back(df, counts, [col])
     return res.withColumn(
         out, F.when(F.col(col).isNull(), F.lit(None)).when(F.col("_freq") >= min_count, F.col(col)).otherwise(F.lit(other))
     ).drop("_freq")
@@ -193,17 +207,24 @@ def dense_rank_in_group(df: DataFrame, keys, value: str, out: str = "dense_rank"
     """
     keys = _keys(keys)
     codes = dense_codes(_non_null_keys(df, keys), value, keys, out, start=1)
-    return df.join(codes, keys + [value], "left")
+    return join_back(df, codes, keys + [value])
 
 
 def average_rank_desc(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
-    """Descending rank with ties sharing the mean rank (``rank(ascending=False)``).
+    """Descending rank with ties sharing the mean rank (``rank(ascending=False)``); NULL has none."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(counts.withColumn("_neg", -F.col(value)), ["_neg"], ["_c"])
+    ranks = cum.select(value, (F.col("cum__c") - (F.col("_c") - 1) / 2.0).alias(out))
+    return join_back(df, ranks, [value])
 
-    For small tables only (feature importances): it uses an unpartitioned window.
-    """
-    w = Window.orderBy(F.col(value).desc())
-    ties = Window.partitionBy(value)
-    return df.withColumn(out, F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+
+def top_fraction(df: DataFrame, score: str, share: float, tiebreak: str) -> DataFrame:
+    """The ``int(n * share)`` rows of highest ``score`` (ties: smaller ``tiebreak``, which is unique)."""
+    ordered = df.withColumns({"_neg": F.coalesce(-F.col(score), F.lit(float("inf"))), "_one": F.lit(1)})
+    ranked = running_sums(ordered, ["_neg", tiebreak], ["_one"])
+    n = ranked.agg(F.count(F.lit(1)).alias("_n"))  # one row
+    kept = ranked.crossJoin(F.broadcast(n)).where(F.col("cum__one") <= F.floor(F.col("_n") * F.lit(share)))
+    return kept.select(*df.columns)
 
 
 def outlier_flag(df: DataFrame, col: str, k: float = 2.0, out: str = "is_outlier") -> DataFrame:
@@ -218,7 +239,7 @@ def outlier_flag(df: DataFrame, col: str, k: float = 2.0, out: str = "is_outlier
 def diff_from_group_mean(df: DataFrame, keys, value: str, out: str) -> DataFrame:
     keys = _keys(keys)
     stats = fit_group_stats(df, keys, {"_gm": F.avg(value)})
-    return df.join(stats, keys, "left").withColumn(out, F.col(value) - F.col("_gm")).drop("_gm")
+    return join_back(df, stats, keys).withColumn(out, F.col(value) - F.col("_gm")).drop("_gm")
 
 
 def top_k(df: DataFrame, score: str, k: int, tiebreak: Sequence[str]) -> DataFrame:

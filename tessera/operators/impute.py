@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .groups import _keys, group_median, mode_table
+from .groups import _keys, group_median, join_back, mode_table
 from ..session import materialize
 from .ordered import exact_median
 
@@ -35,7 +35,7 @@ def impute_group_median(
     """``fillna(groupby(keys)[value].transform('median'))``; unmatched groups stay NULL."""
     keys, out = _keys(keys), out or value
     med = group_median(fit_on if fit_on is not None else df, keys, value, "_gmed", approx)
-    return df.join(med, keys, "left").withColumn(out, F.coalesce(F.col(value), F.col("_gmed"))).drop("_gmed")
+    return join_back(df, med, keys).withColumn(out, F.coalesce(F.col(value), F.col("_gmed"))).drop("_gmed")
 
 
 def impute_sequential(df: DataFrame, value: str, levels: Sequence[Sequence[str]], out: str | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def impute_sequential(df: DataFrame, value: str, levels: Sequence[Sequence[str]]
     for keys in levels:
         keys = _keys(keys)
         med = group_median(cur, keys, "_v", "_gmed")
-        cur = cur.join(med, keys, "left").withColumn("_v", F.coalesce(F.col("_v"), F.col("_gmed"))).drop("_gmed")
+        cur = join_back(cur, med, keys).withColumn("_v", F.coalesce(F.col("_v"), F.col("_gmed"))).drop("_gmed")
     return cur.withColumn(out, F.col("_v")).drop("_v") if out != "_v" else cur
 
 
@@ -88,7 +88,9 @@ def impute_cascade(
         lvl = fitted.where(F.col("_lvl") == i).select(
             F.col("_key").alias(f"_k{i}"), F.lit(True).alias(f"_p{i}"), F.col("_m").alias(f"_m{i}")
         )
-        cur = cur.join(lvl, _level_key(keys) == F.col(f"_k{i}"), "left")
+        # only rows with a value to fill seek it
+        wanted = F.when(F.col(value).isNull(), _level_key(keys))
+        cur = join_back(cur.withColumn(f"_k{i}", wanted), lvl, [f"_k{i}"])
         p, m = F.col(f"_p{i}"), F.col(f"_m{i}")
         fill = F.when(p.isNotNull(), m) if fill is None else fill.when(p.isNotNull(), m)
     parts = [F.col(value), fill]

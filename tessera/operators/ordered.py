@@ -48,12 +48,14 @@ def running_sums(
     by: Sequence[str] = (),
     prefix: str = "cum_",
     num_partitions: int | None = None,
+    part: str | None = None,
 ) -> DataFrame:
     """Add ``prefix + v`` = inclusive running sum of ``v`` within ``by``, in ``order``.
 
     ROWS semantics: the order must be unique within ``by`` for a deterministic
     result (callers pre-aggregate ties or append a key).  ``values`` must be
-    non-null numerics.
+    non-null numerics.  ``part`` names a column for the number of the range partition a
+    row lies in: ``(by, part)`` is a key that no hot group can make large.
     """
     by, order, values = list(by), list(order), list(values)
     keys = by + order
@@ -136,7 +138,7 @@ def running_sums(
     summary = local_cum.where(F.col(_KIND) > 0).select(_PID, _KIND, *by, *cum_names).collect()
     offsets = _chain_offsets(summary, by, cum_names)
     rows = local_cum.where(F.col(_KIND) == 0)
-    out_cols = [c for c in ranged.columns if c != _PID]
+    out_cols = [F.col(c) for c in ranged.columns if c != _PID] + ([F.col(_PID).alias(part)] if part else [])
     if not offsets:
         return rows.select(*out_cols, *cum_names)
     off_schema = T.StructType(
@@ -213,8 +215,8 @@ def exact_quantiles(
     ignored.  A group whose values are all NULL is absent, or -- with
     ``keep_empty`` -- present with a NULL quantile (``groupby().median()``
     keeps such groups).  Work: one aggregation to distinct ``(by, value)``
-    counts, one :func:`running_sums`, one join with the (tiny per group) rank
-    targets.
+    counts, one :func:`running_sums`, one join with the rank targets on group and
+    range partition.
     """
     by = list(by)
     spark = df.sparkSession
@@ -225,9 +227,13 @@ def exact_quantiles(
         src = src.where(F.col(value).isNotNull())
     counts = src.groupBy(*by, value).agg(F.count(F.col(value)).alias("_c"))
     # NULL values sort first with weight 0, so they never take a rank.
-    cum = running_sums(counts, [value], ["_c"], by)
-    # Group sizes from the (materialised) cumulative table, not a second scan.
-    sizes = cum.groupBy(*by).agg(F.max("cum__c").alias("_n"))
+    cum = running_sums(counts, [value], ["_c"], by, part="_part")
+    # The ranks each range partition covers of each group: a row per group, and one more for
+    # every partition that a large group goes on into.
+    spans = cum.groupBy(*by, "_part").agg(
+        F.min(F.col("cum__c") - F.col("_c")).alias("_from"), F.max("cum__c").alias("_to")
+    )
+    sizes = spans.groupBy(*by).agg(F.max("_to").alias("_n"))
     prob_df = spark.createDataFrame([(float(p),) for p in probs], f"{prob_col} double")
     pos = F.col(prob_col) * (F.col("_n") - 1)
     targets = (
@@ -236,11 +242,17 @@ def exact_quantiles(
         .withColumn("_hi", F.ceil(pos))
         .withColumn("_frac", pos - F.floor(pos))
     )
+    within = lambda rank, start, stop: (start <= F.col(rank)) & (F.col(rank) < stop)
+    wanted = spans.join(targets, by, "inner") if by else spans.crossJoin(F.broadcast(targets))
+    wanted = wanted.where(
+        within("_lo", F.col("_from"), F.col("_to")) | within("_hi", F.col("_from"), F.col("_to"))
+    ).drop("_from", "_to", "_n")
 
-    # One pass: each distinct value is matched to the ranks it covers.
-    j = cum.join(targets, by, "inner") if by else cum.crossJoin(F.broadcast(targets))
-    lo_hit = (F.col("cum__c") - F.col("_c") <= F.col("_lo")) & (F.col("_lo") < F.col("cum__c"))
-    hi_hit = (F.col("cum__c") - F.col("_c") <= F.col("_hi")) & (F.col("_hi") < F.col("cum__c"))
+    # Each distinct value is matched to the ranks sought in its own range partition, so the
+    # rows of a large group are never brought together.
+    j = cum.join(wanted, [*by, "_part"], "inner")
+    lo_hit = within("_lo", F.col("cum__c") - F.col("_c"), F.col("cum__c"))
+    hi_hit = within("_hi", F.col("cum__c") - F.col("_c"), F.col("cum__c"))
     v = F.col(value).cast("double")
     both = (
         j.where(F.col(value).isNotNull() & (lo_hit | hi_hit))

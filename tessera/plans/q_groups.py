@@ -364,11 +364,9 @@ def top_k(spark, d):
     ["mean_price"],
 )
 def top_fraction(spark, d):
-    """O2: keep the top ``int(n * 0.6)`` of a ranked (small, fitted) table."""
+    """O2: keep the top ``int(n * 0.6)`` of a ranked table."""
     t = gr.fit_group_stats(cases(spark, d), "nation", {"mean_price": F.avg("price")})
-    w = Window.orderBy(F.col("mean_price").desc(), F.col("nation"))
-    ranked = t.withColumn("_rn", F.row_number().over(w)).withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy()))
-    return ranked.where(F.col("_rn") <= F.floor(F.col("_k") * 0.6)).select("nation", "mean_price")
+    return gr.top_fraction(t, "mean_price", 0.6, "nation")
 
 
 @register(
