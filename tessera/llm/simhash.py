@@ -219,6 +219,14 @@ def fingerprint_links(fps: DataFrame, scratch: Scratch, max_bits: int = 4, list_
     return edges
 
 
+def _rooted(fps: DataFrame, scratch: Scratch, max_bits: int, list_cap: int) -> DataFrame:
+    """``(fp, root)`` for each of the distinct fingerprints ``fp``: equal roots, same component."""
+    edges = scratch.save(fingerprint_links(fps, scratch, max_bits, list_cap), "links")
+    roots = connected_components(edges, scratch)
+    scratch.drop(edges)
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -242,12 +250,7 @@ def near_duplicates(
         docs.select(q(id_col).alias("doc_id"), fingerprint_column(q(text_col), width).alias("fp")), "simhash"
     )
     classes = scratch.save(signed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprints")
-    edges = scratch.save(fingerprint_links(classes.select("fp"), scratch, max_bits, list_cap), "links")
-    roots = connected_components(edges, scratch)
-    scratch.drop(edges)
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = classes.join(_rooted(classes.select("fp"), scratch, max_bits, list_cap), "fp")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = scratch.save(rooted.join(least, "root").select("fp", "component_id"), "components")
     scratch.drop(classes)
@@ -257,23 +260,29 @@ def near_duplicates(
 
 
 def keep_one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4, list_cap: int = 4096
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, all columns unchanged.
+    """One row of each component of near-duplicates, all columns unchanged.
 
-    An id stands for one document: of rows that repeat it, one stays (the one of
-    least text hash).  Of components whose ids are all null, the null id is the name.
+    It is the row of least id (a null id comes last), of equal ids that of least text
+    hash; of rows equal in both, any one.  Rows whose texts are not linked all stay, also
+    where they repeat an id or have none.
     """
-    named = near_duplicates(docs, id_col, text_col, width, max_bits)
-    keep = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    key, rank = fresh(docs, "kept_id", "rank_of_id")
-    keep = keep.withColumnRenamed("doc_id", key)
-    from pyspark.sql import Window
-
-    one = Window.partitionBy(q(id_col)).orderBy(F.xxhash64(q(text_col)))
-    return (
-        docs.join(keep, q(id_col).eqNullSafe(q(key)), "left_semi")
-        .withColumn(rank, F.row_number().over(one))
-        .where(q(rank) == 1)
-        .drop(rank)
+    spark = docs.sparkSession
+    ship_package(spark)
+    scratch = Scratch(spark)
+    # a row's name: whether it has an id, the id, and the text's hash
+    no_id, id_, hashed = names = fresh(docs, "kept_null", "kept_id", "kept_hash")
+    of_text = F.xxhash64(F.coalesce(q(text_col), F.lit("")), q(text_col).isNull())
+    blank = F.lit(0).cast(docs.select(q(id_col)).schema[0].dataType)
+    key = {no_id: q(id_col).isNull(), id_: F.coalesce(q(id_col), blank), hashed: of_text}
+    signed = docs.select(*[c.alias(n) for n, c in key.items()], fingerprint_column(q(text_col), width).alias("fp"))
+    # of equal fingerprints, then of a component, only the least name is carried on
+    least = F.min(F.struct(*names)).alias("least")
+    classes = scratch.save(signed.groupBy("fp").agg(least), "fingerprints")
+    rooted = classes.join(_rooted(classes.select("fp"), scratch, max_bits, list_cap), "fp")
+    kept = scratch.save(rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.*"), "kept")
+    scratch.drop(classes)
+    return docs.withColumns(key).join(kept, list(names), "left_semi").dropDuplicates(list(names)).select(
+        *[q(c) for c in docs.columns]
     )

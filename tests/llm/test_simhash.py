@@ -77,7 +77,20 @@ def test_one_of_each_stays(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_unlinked_texts_stay_where_ids_repeat_or_are_missing(spark):
+    texts = ["alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white"]
+    rows = [(i, t, 7, "c", 1) for i in (None, 4) for t in texts] * 2 + [(9, texts[0], 7, "c", 1), (None, None, 7, "c", 1)]
+    out = sh.keep_one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out if r["text"]) == sorted((4, t) for t in texts)
+    assert [r["doc_id"] for r in out if r["text"] is None] == [None] and len(out) == 4
+    no_ids = [(None, *r[1:]) for r in rows]
+    assert sorted(r["text"] or "" for r in sh.keep_one_of_each(spark.createDataFrame(no_ids, SCHEMA)).collect()) == sorted(["", *texts])
+    named = spark.createDataFrame([("b", texts[0]), ("a", texts[0]), (None, texts[0])], "doc_id string, text string")
+    assert [r["doc_id"] for r in sh.keep_one_of_each(named).collect()] == ["a"]
+
+
 def test_empty_table(spark):
+    assert sh.keep_one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
     assert sh.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
