@@ -65,7 +65,8 @@ def tokens(col) -> Column:
 
 def first_token(col, default: str = "Unknown") -> Column:
     """First whitespace token, ``default`` when there is none."""
-    return F.coalesce(F.try_element_at(tokens(col), F.lit(1)), F.lit(default))
+    first = F.regexp_extract(_c(col), "[^" + WS[1:-1] + "]+", 0)
+    return F.coalesce(F.nullif(first, F.lit("")), F.lit(default))
 
 
 def token_count(col) -> Column:

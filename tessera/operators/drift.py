@@ -304,11 +304,10 @@ def expected_rate(df: DataFrame, cat: str, target: str, split: str = "split", a:
     return r.withColumn("shift", F.col(f"expected_{b}") - F.col(f"expected_{a}"))
 
 
-def adjusted_threshold(shift: DataFrame, best: float, lo: float = 0.4, hi: float = 0.6) -> DataFrame:
-    """Prior-shift threshold: ``best + shift`` clipped to ``[lo, hi]``."""
-    return shift.select(
-        "shift", F.least(F.lit(hi), F.greatest(F.lit(lo), F.lit(best) + F.col("shift"))).alias("adjusted_threshold")
-    )
+def adjusted_threshold(shift: DataFrame, best: DataFrame, col: str, lo: float = 0.4, hi: float = 0.6) -> DataFrame:
+    """Prior-shift threshold: ``best + shift`` clipped to ``[lo, hi]``; ``best`` is one row with ``col``."""
+    clipped = F.least(F.lit(hi), F.greatest(F.lit(lo), F.col(col) + F.col("shift")))
+    return shift.crossJoin(F.broadcast(best.select(col))).select("shift", clipped.alias("adjusted_threshold"))
 
 
 def split_profile(df: DataFrame, alone_col: str, size_col: str, split: str = "split") -> DataFrame:

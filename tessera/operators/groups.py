@@ -97,13 +97,6 @@ def group_size(
     return res.withColumn(out, F.when(F.col(keys[0]) == F.lit(sentinel), F.lit(1)).otherwise(F.col(out)))
 
 
-def _all_present(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
-
-
 def multi_key_group_sizes(df: DataFrame, specs: Mapping[str, Sequence[str]], sentinels: Mapping[str, object] | None = None) -> DataFrame:
     """Several group sizes with different keys on one frame (no re-union)."""
     sentinels = sentinels or {}

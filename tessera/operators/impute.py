@@ -109,13 +109,6 @@ def _level_key(keys: Sequence[str]):
     return F.when(~F.exists(parts, lambda x: x.isNull()), F.to_json(parts))
 
 
-def _all_not_null(keys):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
-
-
 def impute_mode(df: DataFrame, col: str, fit_on: DataFrame | None = None, out: str | None = None) -> DataFrame:
     """``fillna(mode()[0])``: most frequent value over ``fit_on``, smallest on ties."""
     out = out or col

@@ -18,11 +18,6 @@ from pyspark.sql import functions as F
 from .ordered import running_sums
 
 
-def _grid(lo: int, hi: int, scale: int = 100) -> list[tuple[int, float]]:
-    """Integer grid ``i/scale`` for ``lo <= i <= hi`` (no float accumulation)."""
-    return [(i, i / scale) for i in range(lo, hi + 1)]
-
-
 def accuracy_by_fold(df: DataFrame, y: str, pred: str, fold: str = "fold") -> DataFrame:
     """Accuracy per fold plus the overall row (fold NULL) via ``rollup``."""
     return df.rollup(fold).agg(

@@ -18,11 +18,13 @@ from ..operators import encode as en
 from ..operators import folds as fo
 from ..operators import groups as gr
 from ..operators import impute as im
+from ..session import materialize
 from .tables import docs
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = docs(spark, sf_dir).withColumn("n_tokens", tx.token_count("text").cast("bigint")).drop("text")
+    x = materialize(x, "flagship")  # without the texts; every statistic below reads this narrow table
     x = gr.group_size(x, "source", "source_size")
     x = gr.group_size(x, "lang", "lang_size", sentinel="en")
     train = x.where(F.col("split") == "train")

@@ -632,9 +632,7 @@ def expected_rate(spark, d):
 def adjusted_threshold(spark, d):
     """Prior-shift adjusted threshold, clipped to [0.4, 0.6]."""
     shift = dr.expected_rate(cases(spark, d), "segment", "y")
-    best = me.best_threshold(_sweep(spark, d)).select(F.col("best_acc_threshold").alias("_t"))
-    j = shift.crossJoin(best)
-    return j.select("shift", F.least(F.lit(0.6), F.greatest(F.lit(0.4), F.col("_t") + F.col("shift"))).alias("adjusted_threshold"))
+    return dr.adjusted_threshold(shift, me.best_threshold(_sweep(spark, d)), "best_acc_threshold")
 
 
 @register(
