@@ -197,7 +197,7 @@ def dense_codes(
     """
     distinct = df.select(*by, col).where(F.col(col).isNotNull()).distinct()
     ranked = running_sums(distinct.withColumn("_one", F.lit(1)), [col], ["_one"], by)
-    return ranked.select(*by, col, (F.col("cum__one") - 1 + start).cast("int").alias(out))
+    return ranked.select(*by, col, (F.col("cum__one") - 1 + start).alias(out))
 
 
 def exact_quantiles(

@@ -242,7 +242,8 @@ def group_median_rows(spark, d):
 )
 def dense_rank_in_group(spark, d):
     """Dense rank within a group; NULL value -> NULL rank."""
-    return gr.dense_rank_in_group(cases(spark, d), "nation", "balance", "balance_rank").select("id", "balance_rank")
+    ranked = gr.dense_rank_in_group(cases(spark, d), "nation", "balance", "balance_rank")
+    return ranked.select("id", F.col("balance_rank").cast("int").alias("balance_rank"))
 
 
 @register(

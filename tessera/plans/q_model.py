@@ -173,7 +173,8 @@ def group_target_stats(spark, d):
 )
 def label_encode(spark, d):
     """Sorted distinct text values -> 0..k-1."""
-    return en.label_encode(cases(spark, d), "priority", "priority_code").select("id", "priority_code")
+    coded = en.label_encode(cases(spark, d), "priority", "priority_code")
+    return coded.select("id", F.col("priority_code").cast("int").alias("priority_code"))
 
 
 @register(
@@ -184,7 +185,8 @@ def label_encode(spark, d):
 )
 def category_codes(spark, d):
     """One dictionary per column fitted on both splits; NULL -> -1."""
-    return en.category_codes(docs(spark, d), ["lang", "source"]).select("id", "lang_code", "source_code")
+    coded = en.category_codes(docs(spark, d), ["lang", "source"])
+    return coded.select("id", *[F.col(c).cast("int").alias(c) for c in ("lang_code", "source_code")])
 
 
 # ---------------------------------------------------------------- F: folds
