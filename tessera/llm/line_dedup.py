@@ -27,6 +27,7 @@ from ..session import Scratch
 from .common import fresh, lower_ascii, q
 
 BLANKS = " \t\n\x0b\x0c\r"  # 0x20 and 0x09-0x0D
+ADDED = ("gone_id", "gone_text", "gone", "all_lines", "kept_lines")  # columns joined on; the last two stay
 
 
 def line_key(line):
@@ -39,12 +40,21 @@ def text_lines(text):
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def text_hash(text):
+    """Tells apart the rows of one id, or of none; a null text is as an empty one, with the same lines."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def hashed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``(doc_id, pos, h1, h2)`` of every line whose key has ``min_chars`` code points or more."""
-    lines = docs.select(q(id_col).alias("doc_id"), F.posexplode(text_lines(q(text_col))).alias("pos", "line"))
-    keyed = lines.select("doc_id", "pos", line_key(F.col("line")).alias("key"))
+    """``(doc_id, of_text, pos, h1, h2)`` of every line whose key has ``min_chars`` code points or more.
+
+    ``doc_id`` is the document that is counted, ``(doc_id, of_text)`` the row whose line it is.
+    """
+    of_text = text_hash(q(text_col)).alias("of_text")
+    lines = docs.select(q(id_col).alias("doc_id"), of_text, F.posexplode(text_lines(q(text_col))).alias("pos", "line"))
+    keyed = lines.select("doc_id", "of_text", "pos", line_key(F.col("line")).alias("key"))
     return keyed.where(F.char_length("key") >= min_chars).select(
-        "doc_id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2")
+        "doc_id", "of_text", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2")
     )
 
 
@@ -119,10 +129,10 @@ class LineRuns:
 
 
 def dropped_positions(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``(doc_id, gone)``: positions of the lines that a frequent key takes from a document other than its keeper."""
+    """``(doc_id, of_text, gone)``: a row's positions that frequent keys take, the document not being their keeper."""
     keys = frequent.select("h1", "h2", "keeper")
     hit = lines.join(keys, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    return hit.groupBy("doc_id").agg(F.collect_set("pos").alias("gone"))
+    return hit.groupBy("doc_id", "of_text").agg(F.collect_set("pos").alias("gone"))
 
 
 def drop_lines(docs: DataFrame, lines: DataFrame, frequent: DataFrame | None, id_col: str, text_col: str) -> DataFrame:
@@ -130,12 +140,13 @@ def drop_lines(docs: DataFrame, lines: DataFrame, frequent: DataFrame | None, id
 
     A document whose lines all go keeps an empty array.
     """
-    key, gone, all_, kept = fresh(docs, "gone_id", "gone", "all_lines", "kept_lines")
+    key, of_text, gone, all_, kept = fresh(docs, *ADDED)
     if frequent is None:
         joined = docs.withColumn(gone, F.lit(None).cast("array<int>"))
     else:
-        dropped = dropped_positions(lines, frequent).select(F.col("doc_id").alias(key), F.col("gone").alias(gone))
-        joined = docs.join(dropped, q(id_col).eqNullSafe(q(key)), "left").drop(key)
+        dropped = dropped_positions(lines, frequent).toDF(key, of_text, gone)
+        same_row = q(id_col).eqNullSafe(q(key)) & (text_hash(q(text_col)) == q(of_text))
+        joined = docs.join(dropped, same_row, "left").drop(key, of_text)
     split = joined.withColumn(all_, text_lines(q(text_col)))
     places = F.array_except(F.sequence(F.lit(0), F.size(q(all_)) - 1), q(gone))
     stay = F.when(q(gone).isNull(), q(all_)).otherwise(F.transform(places, lambda i: F.get(q(all_), i)))
@@ -157,13 +168,14 @@ def line_dedup(
     ``min_chars`` code points and is held by ``min_docs`` documents goes from all
     documents but the one of the largest id.  Documents enter the runs in
     ``batches`` batches by a hash of the id, so a repeated id counts as one document;
-    null ids together are one document of the lowest rank.  Null and empty texts
+    null ids together are one document of the lowest rank.  Each row loses lines of its
+    own text only, also where rows share an id or have none.  Null and empty texts
     have one empty line, which is never long enough to go.
     """
     scratch = Scratch(docs.sparkSession)
     lines = hashed_lines(docs, id_col, text_col, min_chars)
     batch = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(batches)).cast("int").alias("batch")
-    hashed = scratch.save(lines.select("doc_id", "pos", "h1", "h2", batch), "lines", partition_by=("batch",))
+    hashed = scratch.save(lines.select("*", batch), "lines", partition_by=("batch",))
     store = LineRuns(scratch, fanout)
     for i in range(batches):
         store.add(hashed.where(F.col("batch") == i).drop("batch"))
@@ -174,7 +186,7 @@ def line_dedup(
 
 def added_columns(docs: DataFrame) -> tuple[str, str]:
     """Names of the two columns that ``line_dedup`` adds to ``docs``."""
-    return fresh(docs, "gone_id", "gone", "all_lines", "kept_lines")[2:]
+    return fresh(docs, *ADDED)[-2:]
 
 
 def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -61,6 +61,18 @@ def test_texts_lose_their_lines_and_columns_stay(spark):
     assert all(r["n_chars"] == len(r["text"] or "") and r["gone"] == "g" for r in out.collect())
 
 
+def test_rows_that_share_an_id_or_have_none_lose_their_own_lines_only(spark):
+    common, other = "This line is held by very many documents", "Another line that many documents hold"
+    rows = [(i, f"{common}\n{other}") for i in range(10, 15)]
+    rows += [(d, t) for d in (None, 1) for t in (common, "a line that this row alone holds", f"mine\n{common}", None)]
+    rows += [(None, f"the first of a row without an id\n{other}\n{common}\nlast"), (1, f"{other}\nof the row of id 1 only")]
+    rows += [(14, f"row two of the keeper, whose lines stay\n{other}"), (1, common), (None, common)]
+    docs = spark.createDataFrame([(d, t, "g", 3, len(t or "")) for d, t in rows], SCHEMA)
+    assert digest(spark, ld.line_dedup(docs), docs) == brute(rows)
+    texts = [r["text"] for r in ld.without_frequent_lines(docs).collect()]
+    assert texts.count("a line that this row alone holds") == 2 and texts.count(None) == 2
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert ld.line_dedup(docs).count() == 0 and ld.without_frequent_lines(docs).count() == 0
