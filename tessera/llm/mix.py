@@ -5,6 +5,8 @@
    its size is read in floor(m) whole passes and one part of a pass, which ends
    inside one block: there documents are taken as long as they fit.  The block
    where it ends is found by summing blocks of blocks, so no task sums up a source.
+   Documents that don't fit are passed over: those of later blocks that do are taken
+   likewise, until what is left is below the least document left out.
 2. The quotas (blocks drawn from each source) are split among the output shards:
    a node of the tree that holds shards [lo, hi) divides its quota vector between
    its halves by one multivariate-hypergeometric draw, seeded by (seed, lo, hi).
@@ -13,6 +15,7 @@
    lost task is simply run again.
 3. A shard's share of a source is a range of that source's sequence of blocks, so
    shards are disjoint.  Documents are joined to blocks, and shuffled in their shard.
+   Documents taken beyond the block where a pass ends go to shards by their hash.
 
 What reaches the driver is one row per source (at most ``max_sources``).
 """
@@ -33,6 +36,7 @@ from .common import fresh, q
 PASSES = 3  # a document is taken at most so many times
 MOST_BLOCKS = 500_000_000  # of all sources; numpy's draw takes fewer than 10^9
 BLOCKS_TOGETHER = 1024
+PLACES = "array<struct<_pass:int,_shard:bigint>>"
 
 
 def word_count(text):
@@ -153,7 +157,7 @@ def _in_source(df: DataFrame, quota_rows: DataFrame, source_col: str) -> DataFra
 
 @dataclass
 class Mix:
-    """A drawn mix: the quotas, their blocks' places, and the documents taken from the last block of a pass."""
+    """A drawn mix: the quotas, their blocks' places, and the documents taken from the last block of a pass or beyond."""
 
     quota: Quota
     quota_rows: DataFrame
@@ -164,16 +168,19 @@ class Mix:
         """Rows of ``keyed`` (with ``_hash``) plus ``_source_size``, ``_target`` and ``_places`` (null if never drawn)."""
         rows = _in_source(keyed, self.quota_rows, source_col)
         rows = rows.join(self.places, ["_source", "_block"], "left").join(
-            self.chosen.withColumn("_taken", F.lit(True)), ["_source", "_hash"], "left"
+            self.chosen, ["_source", "_hash"], "left"
         )
         in_part = F.col("_part") - 1  # place of the block in which the last pass ends
         at = F.lit(-1).cast("bigint")
         for n in range(PASSES):
             at = F.when(F.col("_whole") == n, _position(F.col("_block"), F.col("_blocks"), n, self.quota.seed)).otherwise(at)
-        rows = rows.withColumn("_out", (at == in_part) & F.col("_taken").isNull())
+        rows = rows.withColumn("_out", (at == in_part) & F.col("_beyond").isNull())
         whole = F.filter("_places", lambda p: (p["_pass"] < F.col("_whole")) | ~F.col("_out"))
-        return rows.withColumn("_places", whole).drop(
-            "_source", "_block", "_blocks", "_whole", "_part", "_rest", "_taken", "_out"
+        shard = F.pmod(F.xxhash64(F.lit(self.quota.seed), F.lit("beyond"), "_hash"), F.lit(self.quota.shards))
+        alone = F.array(F.struct(F.col("_whole").cast("int").alias("_pass"), shard.alias("_shard")))
+        places = F.when(F.col("_beyond"), F.concat(F.coalesce(whole, F.array().cast(PLACES)), alone)).otherwise(whole)
+        return rows.withColumn("_places", places).drop(
+            "_source", "_block", "_blocks", "_whole", "_part", "_rest", "_beyond", "_out"
         )
 
 
@@ -232,16 +239,24 @@ def _quota_rows(spark: SparkSession, quota: Quota, rest: list[int]) -> DataFrame
 def _part_passes(
     sized: DataFrame, quota_rows: DataFrame, source_col: str, seed: int, scratch: Scratch
 ) -> tuple[list[tuple[int, int]], DataFrame]:
-    """Where each source's last, partial pass ends, and which documents of the block there are taken.
-
-    Sums of blocks, then of ``BLOCKS_TOGETHER`` of them: every window is over one
-    source's sums of blocks of blocks, or over the blocks of one such sum.
-    """
+    """Where each source's last, partial pass ends, and ``(_source, _hash, _beyond)``: which documents are taken there and beyond."""
     rows = _in_source(sized, quota_rows.where("_rest > 0"), source_col)
     at = F.lit(0).cast("bigint")
     for n in range(PASSES):
         at = F.when(F.col("_whole") == n, _position(F.col("_block"), F.col("_blocks"), n, seed)).otherwise(at)
     placed = rows.select("_source", "_rest", "_hash", "_size", at.alias("_at"))
+    ends = _ends(placed, scratch)
+    chosen = _last_documents(placed, ends, _fitting, scratch)
+    found = [(r["_source"], r["_at"] + 1) for r in ends.select("_source", "_at").collect()]  # one row per source
+    return found, _beyond(placed, ends, chosen, scratch)
+
+
+def _ends(placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(_source, _at, _left)``: the block in which the words of a source pass ``_rest``, and what is left before it.
+
+    Sums of blocks, then of ``BLOCKS_TOGETHER`` of them: every window is over one
+    source's sums of blocks of blocks, or over the blocks of one such sum.
+    """
     sums = scratch.save(placed.groupBy("_source", "_rest", "_at").agg(F.sum("_size").alias("_words")), "block-sums")
     wide = F.floor(F.col("_at") / BLOCKS_TOGETHER).cast("bigint")
     coarse = sums.groupBy("_source", "_rest", wide.alias("_wide")).agg(F.sum("_words").alias("_words"))
@@ -255,22 +270,67 @@ def _part_passes(
         .select("_source", "_at", (F.col("_rest") - F.col("_upto")).alias("_left")),
         "pass-ends",
     )
+    scratch.drop(sums)
+    return ends
+
+
+def _last_documents(placed: DataFrame, ends: DataFrame, fitting, scratch: Scratch) -> DataFrame:
+    """``(_source, _hash, _size)``: the documents taken from the block where each source ends."""
     last = placed.join(ends, ["_source", "_at"]).groupBy("_source", "_left", "_hash").agg(F.sum("_size").alias("_size"))
-    chosen = scratch.save(
-        last.groupBy("_source").applyInPandas(_fitting, "_source int, _hash long"), "last-documents"
+    return scratch.save(
+        last.groupBy("_source").applyInPandas(fitting, "_source int, _hash long, _size long"), "last-documents"
     )
-    found = [(r["_source"], r["_at"] + 1) for r in ends.select("_source", "_at").collect()]  # one row per source
-    return found, chosen
+
+
+def _beyond(placed: DataFrame, ends: DataFrame, chosen: DataFrame, scratch: Scratch) -> DataFrame:
+    """``chosen`` of the block where each pass ends, and the documents of later blocks that fit in what is left then.
+
+    Each round takes, in the blocks' order, documents that fit until one would not, and
+    leaves less than half of what it began with (see ``_largest_fitting``).
+    """
+
+    def later(rows: DataFrame, ends: DataFrame, chosen: DataFrame) -> DataFrame:
+        used = chosen.groupBy("_source").agg(F.sum("_size").alias("_used"))
+        left = (F.col("_left") - F.coalesce("_used", F.lit(0))).alias("_rest")
+        open_ = ends.join(used, "_source", "left").select("_source", F.col("_at").alias("_end"), left)
+        rows = rows.drop("_rest").join(open_, "_source").where("_at > _end and _size > 0 and _size <= _rest")
+        alike = rows.groupBy("_source", "_rest", "_hash", "_at").agg(F.sum("_size").alias("_size"))  # drawn together
+        return scratch.save(alike.where("_size <= _rest"), "later-documents")
+
+    taken = [chosen.select("_source", "_hash", F.lit(False).alias("_beyond"))]
+    rows = later(placed, ends, chosen)
+    while not rows.isEmpty():
+        ends = _ends(rows, scratch)
+        before = rows.join(ends.select("_source", F.col("_at").alias("_end")), "_source", "left")
+        before = before.where("_end is null or _at < _end").select("_source", "_hash", F.lit(True).alias("_beyond"))
+        chosen = _last_documents(rows, ends, _largest_fitting, scratch)
+        taken += [scratch.save(before, "later-blocks"), chosen.select("_source", "_hash", F.lit(True).alias("_beyond"))]
+        done, rows = rows, later(rows, ends, chosen)
+        scratch.drop(done, ends)
+    scratch.drop(rows)
+    whole = taken[0]
+    for part in taken[1:]:
+        whole = whole.union(part)
+    return whole
 
 
 def _fitting(block: pd.DataFrame) -> pd.DataFrame:
     """Documents of one block, in hash order, each taken if it still fits; what is left is below the least one left out."""
-    block = block.sort_values("_hash")
-    left, take = int(block["_left"].iloc[0]), []
+    return _first_fit(block.sort_values("_hash"))
+
+
+def _largest_fitting(block: pd.DataFrame) -> pd.DataFrame:
+    """The same, largest documents first: where not all fit, what is left is below half of what was."""
+    fits = block[block["_size"] <= block["_left"]]
+    return _first_fit(fits.sort_values(["_size", "_hash"], ascending=[False, True]))
+
+
+def _first_fit(block: pd.DataFrame) -> pd.DataFrame:
+    left, take = int(block["_left"].iloc[0]) if len(block) else 0, []
     for size in block["_size"]:
         take.append(size <= left)
         left -= int(size) if size <= left else 0
-    return block.loc[take, ["_source", "_hash"]]
+    return block.loc[np.array(take, dtype=bool), ["_source", "_hash", "_size"]]
 
 
 def mix_counts(
@@ -297,7 +357,7 @@ def mix_counts(
         F.col("_target").alias("target"),
         (F.col("_size") * copies).alias("taken"),
         copies.alias("copies"),
-        F.transform(F.coalesce("_places", F.array().cast("array<struct<_pass:int,_shard:bigint>>")), lambda p: p["_shard"]).alias("shards"),
+        F.transform(F.coalesce("_places", F.array().cast(PLACES)), lambda p: p["_shard"]).alias("shards"),
     )
 
 

@@ -75,6 +75,20 @@ def test_counts(spark):
     assert got[key].sort_values(key).values.tolist().__repr__() == again[key].sort_values(key).values.tolist().__repr__()
 
 
+def test_documents_that_do_not_fit_are_passed_over(spark):
+    rng = np.random.default_rng(3)
+    sizes = [("a", 45_000)] + [("a", 100)] * 400 + [("b", 100)] * 300  # the long one is above the target of a
+    sizes += [("c", int(n)) for n in 1 + rng.pareto(0.7, 500).clip(0, 20_000)]  # sizes of every order
+    rows = [(i, "w " * n, s, 1, 2, 3) for i, (s, n) in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    got = mix.mix_counts(docs, block_docs=8, shard_blocks=4).toPandas()
+    got["source"] = [sizes[i][0] for i in got["doc_id"]]
+    for _, part in got.groupby("source"):
+        least = part["size"][part["copies"] == part["copies"].min()].min()  # of those left out of the last pass
+        assert 0 <= part["target"].iloc[0] - part["taken"].sum() < least + 1
+    assert len({x for shards in got["shards"] for x in shards}) > 1 and (got["shards"].map(len) == got["copies"]).all()
+
+
 def test_mixed_rows_agree_with_the_counts(spark):
     docs = spark.createDataFrame(rows_of(), SCHEMA)
     options = {"block_docs": 8, "shard_blocks": 4}
