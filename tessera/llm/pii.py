@@ -13,10 +13,12 @@ Kinds, in the order in which a match is tried:
 * ``ip``: IPv4 addresses, octets up to 255;
 * ``ssn``: US social security numbers with a valid area, group and serial;
 * ``iban``: digits of account numbers whose remainder by 97 is right; check digits anew;
-* ``phone``: 7 to 15 digits behind a country code or with an area code; the code stays;
+* ``phone``: 7 to 15 digits behind a country code (one of the ITU's, told by the digits
+  alone) or with an area code; the country code stays;
 * ``card``: 13 to 19 digits with a right Luhn check digit.
 
-What looks alike but is not valid stays as it is.
+What looks alike but is not valid stays as it is; so do month-first dates beyond the 12th
+(``12/25/2020``; earlier ones are read day first) and numbers with ``(0)`` behind the code.
 """
 
 from __future__ import annotations
@@ -39,13 +41,21 @@ IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 AREA_PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
-CODE_PHONE = r"(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
+CODE_PHONE = r"(?<![\w+])\+\d{1,3}(?:[ .-]\d)?(?:[ .-]?\d{2,4}){2,5}(?!\w)"
+ONE_PHONE = r"(?<![\w.+-])(?<!\d )1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-]| \d)"
 PLAIN_PHONE = r"(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+SPACED_PHONE = r"(?<![\w.+-])(?<!\d )\d{3} \d{3}[ .-]\d{4}(?![\w-]| \d)"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
 
-ANY = "|".join((EMAIL, ISO_DATE, DAY_DATE, IPV4, SSN, IBAN, AREA_PHONE, CODE_PHONE, PLAIN_PHONE, CARD))
+ANY = "|".join((EMAIL, ISO_DATE, DAY_DATE, IPV4, SSN, IBAN, AREA_PHONE, CODE_PHONE, ONE_PHONE, PLAIN_PHONE, SPACED_PHONE, CARD))
 HINT = "[0-9@]"  # every kind has one of these
 
+# Country codes of ITU-T E.164, by their first digits; none begins another.
+COUNTRY_CODE = (
+    "^(?:1|7|20|27|2[1-689][0-9]|3[0-469]|3[578][0-9]|4[013-9]|42[0-9]|5[1-8]|5[09][0-9]|6[0-6]|6[7-9][0-9]"
+    "|8[1246]|8[035789][0-9]|9[0-58]|9[679][0-9])"
+)
+
 
 def _int(c):
     return c.cast("bigint")
@@ -195,7 +205,7 @@ def kind_of(m):
             ),
         )
         .when(m.rlike("^[A-Z]{2}"), F.when(mod97(turned) == 1, "iban"))
-        .when(m.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]\d{4}$"), F.when(n.between(7, 15), "phone"))
+        .when(m.rlike(r"^[+(]|^(1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}$"), F.when(n.between(7, 15), "phone"))
         .when(n.between(13, 19), F.when(luhn_digit(_without_last(digits, 1)) == F.right(digits, F.lit(1)), "card"))
     )
 
@@ -271,9 +281,10 @@ def _iban(m, key: str):
 
 
 def _phone(m, key: str):
-    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
-    rest = F.substr(m, F.char_length(code) + 1)
-    return F.concat(code, refill(rest, permute_digits(only_digits(rest), key, F.lit("phone"))))
+    digits = only_digits(m)
+    code = F.when(m.startswith("+"), F.regexp_extract(digits, COUNTRY_CODE, 0)).otherwise(F.regexp_extract(m, "^1(?=[ .-])", 0))
+    rest = F.substr(digits, F.char_length(code) + 1)
+    return refill(m, F.concat(code, permute_digits(rest, key, F.lit("phone"))))
 
 
 def _card(m, key: str):

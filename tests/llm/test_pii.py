@@ -80,6 +80,24 @@ def test_every_kind_keeps_its_format_and_can_be_undone(spark):
     assert re.fullmatch(r"mail [a-z]{2}\.\d{2}@mail9\.example\.com", got[7][0]) and "ab.55" not in got[7][0]
 
 
+def test_one_phone_number_has_one_pseudonym_in_every_notation(spark):
+    alike = {
+        "442079460958": ("44", ["+442079460958", "+44 20 7946 0958", "+44-20-7946-0958", "+44 2079460958", "+44 (20) 7946-0958"]),
+        "420601123456": ("420", ["+420601123456", "+420 601 123 456", "+420.601.123.456"]),
+        "33142685300": ("33", ["+33142685300", "+33 1 42 68 53 00"]),
+        "18005550199": ("1", ["+18005550199", "+1 800 555 0199", "1-800-555-0199", "1 800 555 0199", "1.800.555.0199", "+1 (800) 555-0199"]),
+        "5551234567": ("", ["555 123 4567", "555-123-4567", "555.123.4567", "(555) 123-4567", "555 123-4567"]),
+    }
+    for number, (code, texts) in alike.items():
+        got = run(spark, [f"call {t}, please" for t in texts])
+        assert all(kinds == ["phone"] for _, kinds in got)
+        assert [re.sub(r"\d", "0", t) for t, _ in got] == [re.sub(r"\d", "0", f"call {t}, please") for t in texts]
+        (new,) = {re.sub(r"\D", "", t) for t, _ in got}
+        assert new != number and new.startswith(code) and undo_digits(new[len(code) :], "phone") == number[len(code) :]
+    stay = ["100 200 30000", "rows 12 100 200 3000", "100 200 3000 40", "1 100 200 300"]
+    assert run(spark, stay) == [(t, []) for t in stay]
+
+
 def test_what_is_not_valid_stays(spark):
     texts = [
         "4111111111111112 and 12345", "2021-02-30 and 1700-01-01 and 2021-13-01", "300.1.1.1 and 1.2.3.4.5", "000-12-3456 666-12-3456",
