@@ -7,6 +7,10 @@ paragraph is reported if a family's probability is at least ``min_probability``
 one of the family's templates confirms it: enough of the template's word pairs are in the
 paragraph, or enough of the paragraph's are in the template.
 
+Within a paragraph, windows as long as a template (and a quarter) that hold enough of its
+word pairs are classified likewise, so a line of several notices gives each of their
+families.  Licences that follow one grant (*licensed under A or B*) are read as a grant each.
+
 The model is trained here, on the templates below with words dropped, replaced and
 put around them, and on a bounded sample of the corpus's own paragraphs (and of
 sentences that only talk of licences) as unknown ones.
@@ -14,9 +18,12 @@ sentences that only talk of licences) as unknown ones.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +35,9 @@ from .common import least_of, order_key, q
 
 WORD = re.compile(r"\w+")
 UNKNOWN = "unknown"
+GRANTS = {"licensed", "released", "available", "distributed"}  # before "under"
+JOINED = {"or", "and"}
+ALTERNATIVE_WORDS = 24  # how far behind a grant a joined licence is looked for
 
 # Notices and key sentences of widespread licences, by family.
 TEMPLATES = {
@@ -157,14 +167,97 @@ class LicenceModel:
         overlap = self.confirm(family, pairs_of(words))
         return (family if overlap >= self.min_overlap else UNKNOWN), float(p[best]), overlap
 
+    @cached_property
+    def _owners(self) -> dict[tuple[str, str], list[int]]:
+        """Word pair -> the numbers of the templates that have it."""
+        owners: dict[tuple[str, str], list[int]] = {}
+        for number, (_, pairs) in enumerate(self._numbered):
+            for p in pairs:
+                owners.setdefault(p, []).append(number)
+        return owners
+
+    @cached_property
+    def _numbered(self) -> list[tuple[str, set]]:
+        return [(family, pairs) for family in self.families[:-1] for pairs in self.templates[family]]
+
+    def windows(self, words: list[str]) -> list[tuple[str, float, float, int, int]]:
+        """(family, probability, overlap, first word, behind the last) of windows that a template confirms.
+
+        No two overlap: of those that do, the one with more of its template's word pairs
+        stays, then the likelier.
+        """
+        places: dict[int, list[tuple[int, tuple]]] = {}
+        for at, p in enumerate(zip(words, words[1:], strict=False)):
+            for number in self._owners.get(p, ()):
+                places.setdefault(number, []).append((at, p))
+        likely = []
+        for number, held in places.items():
+            family, template = self._numbered[number]
+            need = max(self.min_pairs, math.ceil(self.min_overlap * len(template)))
+            if len({p for _, p in held}) < need:
+                continue
+            reach, inside, first = len(template) + len(template) // 4 + 1, Counter(), 0
+            for at, p in held:
+                inside[p] += 1
+                # from the left go pairs out of reach, and those that the window holds again
+                while held[first][0] <= at - reach or inside[held[first][1]] > 1:
+                    inside[held[first][1]] -= 1
+                    if not inside[held[first][1]]:
+                        del inside[held[first][1]]
+                    first += 1
+                if len(inside) >= need:
+                    likely.append((len(inside), len(template), family, held[first][0], at + 2))
+        found = []
+        for shared, size, family, start, end in set(likely):
+            p = self.probabilities(words[start:end])
+            best = int(p[:-1].argmax())
+            if self.families[best] == family and p[best] >= self.min_probability:
+                found.append((-shared, -float(p[best]), start, end, family, shared / size))
+        kept: list[tuple[str, float, float, int, int]] = []
+        for _, p, start, end, family, overlap in sorted(found):
+            if all(end <= k[3] or k[4] <= start for k in kept):
+                kept.append((family, -p, overlap, start, end))
+        return sorted(kept, key=lambda k: k[3])
+
+    def alternatives(self, words: list[str]) -> list[tuple[str, float, float, int, int]]:
+        """As ``windows``: licences joined by *or* or *and* to the one that a grant names, each read behind that grant."""
+        found = []
+        for i in range(1, len(words)):
+            if words[i] != "under" or words[i - 1] not in GRANTS:
+                continue
+            for at in range(i + 1, min(len(words), i + ALTERNATIVE_WORDS)):
+                if words[at] in JOINED:
+                    alone = words[i - 1 : i + 1] + words[at + 1 : at + ALTERNATIVE_WORDS]
+                    for family, p, overlap, start, end in self.windows(alone):
+                        if start <= 1:  # the grant is part of it
+                            found.append((family, p, overlap, at + 1, at - 1 + end))
+        return found
+
+    def scan_line(self, line: str) -> list[tuple[str, float, float, int, int]]:
+        """(family, probability, overlap, start, end): the line's own family over the whole line, then all others in it."""
+        words = words_of(line)
+        if sum(p in self._owners for p in zip(words, words[1:], strict=False)) < self.min_pairs:
+            return []
+        family, probability, overlap = self.classify(line)
+        found = [(family, probability, overlap, 0, len(line))] if family != UNKNOWN else []
+        places = [(m.start(), m.end()) for m in WORD.finditer(line)]
+        words = [line[a:b].lower() for a, b in places]
+        inner = [w for w in self.windows(words) if w[0] != family]
+        seen = {family} | {w[0] for w in inner}
+        for w in self.alternatives(words):
+            if w[0] not in seen:
+                seen.add(w[0])
+                inner.append(w)
+        inner.sort(key=lambda w: w[3])
+        return found + [(f, p, o, places[a][0], places[b - 1][1]) for f, p, o, a, b in inner]
+
     def scan(self, text: str | None) -> list[dict]:
-        """The licence paragraphs of a whole text, with their places in code points."""
+        """The licence paragraphs of a whole text and the notices within them, with their places in code points."""
         found, at = [], 0
         for line in (text or "").split("\n"):
-            family, probability, overlap = self.classify(line)
-            if family != UNKNOWN:
+            for family, probability, overlap, start, end in self.scan_line(line):
                 found.append(
-                    {"family": family, "probability": probability, "overlap": overlap, "start": at, "end": at + len(line)}
+                    {"family": family, "probability": probability, "overlap": overlap, "start": at + start, "end": at + end}
                 )
             at += len(line) + 1
         return found

@@ -36,3 +36,20 @@ def test_whole_documents_and_edges(spark):
     want = [(1, "mit", [(7, 38)]), (2, "", []), (3, "", []), (4, "", []), (5, "mit", [(500_001, end)]), (None, "mit", [(0, 31)]), (1, "mit", [(0, 31)])]
     assert got == sorted(want, key=repr)
     assert lc.licence_scan(docs.limit(0)).count() == 0
+
+
+def test_dual_notices_and_texts_of_one_line_give_every_family(spark):
+    model = lc.train(lc.sample_paragraphs(read_table(spark, SF, "documents"), "doc_id", "text", 500))
+    families = lambda text: sorted({f["family"] for f in model.scan(text)})
+    assert families("Licensed under the Apache License, Version 2.0 or the MIT License") == ["apache-2.0", "mit"]
+    assert families("Released under the MIT License and the BSD 3-Clause License.") == ["bsd", "mit"]
+    notices = {f: lc.TEMPLATES[f][0] for f in ("apache-2.0", "gpl", "mit", "mpl-2.0")}
+    filler = "the story of the house goes on in the next part of the book " * 40
+    text = filler + filler.join(notices.values()) + filler
+    found = {f["family"]: text[f["start"] : f["end"]] for f in model.scan(text)}
+    assert sorted(found) == sorted(notices) and len(model.scan(text)) == 4
+    assert all(part in text and len(set(lc.words_of(part)) & set(lc.words_of(notices[f]))) >= 3 for f, part in found.items())
+    assert families(notices["gpl"] + " " + notices["mit"]) == ["gpl", "mit"]
+    for family, templates in lc.TEMPLATES.items():  # one notice is not taken for two
+        assert all(families(t) == [family] for t in templates)
+    assert all(families(t) == [] for t in [*lc.NOT_LICENCES, filler, " ".join(lc.NOT_LICENCES)])
