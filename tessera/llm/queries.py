@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest
+from .bpe import bpe_decode, bpe_encode
 from .common import crc_fold, read_table
 from .decontaminate import contaminated
+from .lexical import ranked_search
 from .licences import licence_scan
 from .line_dedup import added_columns, line_dedup
 from .mix import mix_counts
+from .phrases import collocations
 from .pii import pii_report
 from .quality import fit_quality, quality_score
 from .secrets import RULES, secret_scan
@@ -161,3 +164,88 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+i AS (
+  SELECT row_number() OVER () AS iid, item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+c AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM d),
+m AS (SELECT rid, doc_id, 100 - 75 + ((75 * len(ts) * nn) // ll) AS m FROM d, c),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM d)
+      WHERE t IN (SELECT t FROM i) GROUP BY rid, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY t, nn),
+s AS (
+  SELECT iid, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN p USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
+@_register("op11_lexical_search", _SEARCH_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's ten best documents of the whole table."""
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def _phrases_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    grams = " UNION ALL ".join(
+        f"SELECT lang, unnest(list_transform(range(1, len(ws) - {k} + 2), lambda i: ws[i:i + {k} - 1])) AS g FROM p" for k in range(1, 5)
+    )
+    return f"""
+WITH p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+f AS (SELECT lang, g, count(*) AS f FROM ({grams}) GROUP BY lang, g HAVING count(*) >= 30),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM c),
+scored AS (
+  SELECT cuts.lang, cuts.g, a, k, x.f AS l, y.f AS r, CAST((2000000 * CAST(a AS HUGEINT)) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1:k]
+  JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[k + 1:len(cuts.g)]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, s, max(a) AS longer FROM (
+    SELECT lang, a, unnest(list_concat(list_transform(range(1, len(g)), lambda i: g[i:i + 1]),
+      CASE WHEN len(g) = 4 THEN [g[1:3], g[2:4]] ELSE [] END)) AS s FROM c WHERE len(g) > 2) GROUP BY lang, s),
+kept AS (
+  SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, l, r, score
+  FROM best LEFT JOIN inner_ ON inner_.lang = best.lang AND inner_.s = best.g
+  WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT))
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n ON n.lang = kept.lang
+QUALIFY rank <= 2000
+"""
+
+
+@_register("op12_collocations", _phrases_sql())
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words."""
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+@_register("op13_bpe")
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts encoded and decoded by the 49k word vocabulary, as digests."""
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe_decode(bpe_encode(docs, vocabulary), vocabulary)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
