@@ -60,7 +60,7 @@ def term_weight(n_docs: int, df: int) -> int:
 
 def length_norms(lengths: list[int], n_docs: int, n_terms: int) -> np.ndarray:
     """``m`` of each document; Python's integers, as the product may pass 64 bits."""
-    return np.array([25 + (75 * n * n_docs) // n_terms for n in lengths], dtype=np.int64)
+    return np.array([25 + (75 * n * n_docs) // max(n_terms, 1) for n in lengths], dtype=np.int64)
 
 
 class Shard:
