@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,6 +128,33 @@ def ks_sf(d: float, n1: int, n2: int) -> float:
     return max(0.0, min(1.0, 2.0 * total))
 
 
+def ks_exact_sf(d: float, n1: int, n2: int) -> float:
+    """Exact two-sample KS p-value: the share of lattice paths that stray as far as ``d`` from the diagonal.
+
+    A path of n1 steps right and n2 steps up is one order of the pooled sample, all equally
+    likely.  The chance that a path through a point has strayed by then follows from the two
+    points before it, so all numbers stay between 0 and 1; points of one diagonal are done
+    at once.  Distances are compared as whole numbers.  Time grows with (n1 + n2) * n1.
+    """
+    if not n1 or not n2:
+        return float("nan")
+    n1, n2 = min(n1, n2), max(n1, n2)
+    least = round(d * n1 * n2)
+    if least <= 0:
+        return 1.0
+    strayed = np.zeros(n1 + 2)  # strayed[i + 1]: at (i, t - i)
+    for t in range(1, n1 + n2 + 1):
+        i = np.arange(max(0, t - n2), min(n1, t) + 1)
+        j = t - i
+        here = (strayed[i] * i + strayed[i + 1] * j) / t  # from (i - 1, j) and (i, j - 1)
+        strayed[i + 1] = np.where(np.abs(i * n2 - j * n1) >= least, 1.0, here)
+    return float(min(1.0, strayed[n1 + 1]))
+
+
+#: Sizes up to which KS p-values are exact.
+KS_EXACT_LIMIT = 10_000
+
+
 @F.pandas_udf(T.DoubleType())
 def _chi2_sf_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi2_sf(float(a), int(b)) if pd.notna(a) and pd.notna(b) else float("nan") for a, b in zip(x, dof)])
@@ -134,7 +162,8 @@ def _chi2_sf_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def _ks_sf_udf(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([ks_sf(float(a), int(b), int(c)) if pd.notna(a) else float("nan") for a, b, c in zip(d, n1, n2)])
+    sf = lambda a, b, c: (ks_exact_sf if max(b, c) <= KS_EXACT_LIMIT else ks_sf)(a, b, c)
+    return pd.Series([sf(float(a), int(b), int(c)) if pd.notna(a) else float("nan") for a, b, c in zip(d, n1, n2)])
 
 
 def drift_chi2(
@@ -184,7 +213,10 @@ def drift_chi2(
 def drift_ks(
     df: DataFrame, cols: Sequence[str], split: str = "split", a: str = "train", b: str = "test", with_pvalue: bool = False
 ) -> DataFrame:
-    """Two-sample KS statistic per numeric column: max |F_a(x) - F_b(x)| over distinct x."""
+    """Two-sample KS statistic per numeric column: max |F_a(x) - F_b(x)| over distinct x.
+
+    The p-value is exact where both splits have at most ``KS_EXACT_LIMIT`` values, else asymptotic.
+    """
     long = df.where(F.col(split).isin(a, b)).select(
         split, *[F.col(c).cast("double").alias(c) for c in cols]
     ).unpivot([split], list(cols), "feature", "x").where(F.col("x").isNotNull())

@@ -740,5 +740,5 @@ def predictions_by_threshold(spark, d):
     )
     path = fr.output_path(spark, "by_threshold")
     fr.write_partitioned(out, path, "threshold")
-    back = spark.read.schema("id BIGINT, label INT, threshold DOUBLE").parquet(path)
+    back = spark.read.schema("id BIGINT, label INT, threshold DOUBLE").parquet(fr.committed_path(spark, path))
     return back.select("id", "threshold", "label")

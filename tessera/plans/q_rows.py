@@ -41,7 +41,7 @@ def write_predictions(spark, d):
     pred = s.select("id", fx.binarize("p_a", 0.5).alias("label"))
     path = fr.output_path(spark, "predictions")
     fr.write_predictions(pred, path, "id", "label")
-    return fr.read_csv(spark, path, "id BIGINT, label INT")
+    return fr.read_csv(spark, fr.committed_path(spark, path), "id BIGINT, label INT")
 
 
 @register(

@@ -84,3 +84,40 @@ def test_one_sided_columns_give_null_not_an_error(spark):
     df = spark.createDataFrame([("train", 1.0, "k"), ("train", 2.0, None), ("test", None, None)], "split string, x double, k string")
     assert dr.drift_ks(df, ["x"]).collect()[0]["ks_stat"] is None
     assert dr.key_overlap_audit(df, ["k"]).collect()[0]["test_coverage_pct"] is None
+
+
+def test_exact_ks_is_the_share_of_lattice_paths():
+    from itertools import combinations
+
+    from tessera.operators.drift import ks_exact_sf
+
+    for n, m in ((1, 1), (3, 4), (5, 5), (4, 7)):
+        reached = []
+        for right in combinations(range(n + m), n):
+            i = j = most = 0
+            for step in range(n + m):
+                i, j = (i + 1, j) if step in right else (i, j + 1)
+                most = max(most, abs(i * m - j * n))
+            reached.append(most)
+        for least in range(n * m + 1):
+            share = sum(x >= least for x in reached) / len(reached)
+            assert abs(ks_exact_sf(least / (n * m), n, m) - share) < 1e-12
+
+
+def test_exact_ks_known_values():
+    """Complete separation has two of C(n + m, n) orders; published critical values for n = m."""
+    from math import comb
+
+    from tessera.operators.drift import ks_exact_sf
+
+    for n, m in ((5, 5), (8, 12), (20, 20)):
+        assert abs(ks_exact_sf(1.0, n, m) * comb(n + m, n) - 2) < 1e-9
+    assert ks_exact_sf(6 / 10, 10, 10) > 0.05 > ks_exact_sf(7 / 10, 10, 10)
+    assert ks_exact_sf(8 / 20, 20, 20) > 0.05 > ks_exact_sf(9 / 20, 20, 20)
+    assert ks_exact_sf(0.0, 4, 4) == 1.0
+
+
+def test_exact_and_asymptotic_ks_agree_on_large_samples():
+    from tessera.operators.drift import ks_exact_sf, ks_sf
+
+    assert abs(ks_exact_sf(0.05, 1500, 1800) - ks_sf(0.05, 1500, 1800)) < 0.002
