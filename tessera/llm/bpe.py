@@ -5,12 +5,12 @@ Arrow functions in tasks, without a shuffle.  The vocabulary is a ``tokenizers``
 with word ends (byte-level symbols, NFC, lower case, white space dropped), whose path is a
 parameter.  It is of a fixed size, is read once on the driver and broadcast.
 
-A word is held as contiguous arrays: the boundaries of its parts and the merge ranks of
-adjacent parts.  The least rank (the leftmost of equals) is found by a scan, its boundary
-deleted, and the ranks on both sides refreshed, until no pair has a rank.  Words of more
-than ``SHORT_WORD`` symbols take the same merges in the same order from a heap, since a
-scan per merge is quadratic.  Texts are whole; encoded words are kept in a dictionary of
-bounded size, which is emptied when full.
+Words are held as rows of contiguous arrays: their parts and the merge ranks of adjacent
+parts.  In each row the least rank (the leftmost of equals) is found by a scan, the boundary
+there deleted, and the ranks on both sides refreshed, until no pair has a rank; numpy does a
+step for all new words of some texts at once.  Words of more than ``SHORT_WORD`` bytes take
+the same merges in the same order from a heap, since a scan per merge is quadratic.  Texts
+are whole; encoded words are kept, and dropped when there are more than ``KEPT_WORDS``.
 
 Rows: a null text is an empty one (no ids); ids or decoded texts of equal rows are equal;
 an empty table gives an empty table; every other column stays, and a clash of names
@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterable
 
@@ -36,10 +37,10 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .common import fresh, q
 
-#: Words of more symbols are merged by a heap instead of scans.
+#: Words of more bytes are merged by a heap instead of scans.
 SHORT_WORD = 128
-#: Encoded words kept in a Python worker.
-KEPT_WORDS = 1 << 18
+#: Encoded words kept in a Python worker, and the characters of texts encoded together.
+KEPT_WORDS, TOGETHER = 1 << 18, 1 << 22
 #: Largest vocabulary file that is broadcast.
 LARGEST_FILE = 64 << 20
 
@@ -70,6 +71,19 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class _Numbers(dict):
+    """Words by the number in which they came; ``new`` holds those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Vocabulary:
     """Merge ranks and ids of a vocabulary file (its JSON text)."""
 
@@ -82,8 +96,15 @@ class Vocabulary:
             raise ValueError("a BPE vocabulary with an end of word suffix is needed")
         self.suffix = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(left, right): rank for rank, (left, right) in enumerate(pairs)}
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
+        keys = np.array([self.ids[left] * len(self.ids) + self.ids[right] for left, right in pairs], dtype=np.int64)
+        self._rank_order = np.argsort(keys, kind="stable")
+        self._pair_keys = keys[self._rank_order]
+        self._merged = np.array([self.ids[left + right] for left, right in pairs], dtype=np.int64)
+        self._inner, self._last = (
+            np.array([self.ids[x + end] for x in byte_symbols()], dtype=np.int64) for end in ("", self.suffix)
+        )
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         self.tokens: list[str | None] = [None] * (max([*self.ids.values(), *self.special.values()]) + 1)
         for token, i in (self.ids | self.special).items():
@@ -94,112 +115,157 @@ class Vocabulary:
         self._pieces = regex.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--{known}]+|[\p{{N}}--{known}]|[^\s[\p{{L}}\p{{N}}--{known}]]+", regex.V1
         )
-        self._blanks = regex.compile(r"\s+")
-        self._symbols = byte_symbols()
-        self._kept: dict[str, list[int]] = {}
-        self._kept_pieces: dict[str, list[int]] = {}
+        # the same for texts of ASCII letters only; there \s is the six blanks
+        self._ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+        self._later_lower = regex.compile("[" + "".join(LATER_LOWER) + "]")
+        self._forget()
+
+    def _forget(self) -> None:
+        self._kept = _Numbers()  # words by number
+        self._ends = np.zeros(1, np.int64)  # where each word's ids end in
+        self._word_ids = np.zeros(0, np.int32)
 
     def encode(self, text: str | None) -> list[int]:
-        """Token ids of a whole text; special tokens in it are one id each."""
-        out: list[int] = []
-        parts = self._special.split(text or "") if self._special else [text or ""]
-        for i, part in enumerate(parts):
-            if i % 2:  # the split's captured group: a special token
-                out.append(self.special[part])
-            elif part:
-                self._encode_plain(part, out)
+        return self.encode_all([text])[0].tolist()
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """Token ids of whole texts; special tokens in them are one id each."""
+        out, waiting, size = [], [], 0
+        for text in texts:
+            waiting.append(text or "")
+            size += len(waiting[-1])
+            if size >= TOGETHER:
+                out += self._encode_some(waiting)
+                waiting, size = [], 0
+        return out + self._encode_some(waiting)
+
+    def _encode_some(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self._kept) > KEPT_WORDS:
+            self._forget()
+        number = self._kept.__getitem__
+        words = [np.fromiter(map(number, self._words(t)), dtype=np.int64) for t in texts]
+        if self._kept.new:
+            ids, counts = self._encode_words(self._kept.new)
+            self._kept.new = []
+            self._word_ids = np.concatenate([self._word_ids, ids.astype(np.int32)])
+            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(counts)])
+        out = []
+        for w in words:
+            first, counts = self._ends[w], self._ends[w + 1] - self._ends[w]
+            upto = np.cumsum(counts)
+            places = np.arange(upto[-1] if len(w) else 0) + np.repeat(first - (upto - counts), counts)
+            out.append(self._word_ids[places])
+        return out
+
+    def _words(self, text: str) -> list[str]:
+        """A text's words, normalised (white space is in none), and special tokens, marked by a leading blank."""
+        if not self._special or not self._special.search(text):
+            return self._plain_words(text)
+        out = []
+        for i, part in enumerate(self._special.split(text)):
+            out += [" " + part] if i % 2 else self._plain_words(part)  # the split's group is a special token
         return out
 
-    def _encode_plain(self, text: str, out: list[int]) -> None:
-        kept = self._kept
-        # str.split also splits at U+001C to U+001F, which are no white space here
-        words = text.split() if not any(c in text for c in "\x1c\x1d\x1e\x1f") else self._blanks.split(text)
-        for word in words:
-            ids = kept.get(word)
-            if ids is None:
-                ids = self._encode_word(word)
-                if len(kept) >= KEPT_WORDS:
-                    kept.clear()
-                if len(word) <= SHORT_WORD:
-                    kept[word] = ids
-            out += ids
-
-    def _encode_word(self, word: str) -> list[int]:
-        """Ids of what stands between white space: normalised, cut into pieces, each piece merged."""
-        if not word.isascii():
-            word = unicodedata.normalize("NFC", word).replace("Σ", "σ")  # a sigma has no final form here
-            word = "".join(LATER_LOWER.get(c, c) for c in word)
-        word = word.lower()
-        if word.isascii() and word.isalpha():  # one piece
-            return self._encode_piece(word)
-        ids = []
-        for piece in self._pieces.findall(word):
-            ids += self._encode_piece(piece)
-        return ids
-
-    def _encode_piece(self, piece: str) -> list[int]:
-        ids = self._kept_pieces.get(piece)
-        if ids is None:
-            symbols = self._symbols
-            text = "".join([symbols[b] for b in piece.encode()])
-            bounds = self.merged(text) if len(text) <= SHORT_WORD else self.merged_by_heap(text)
-            text += self.suffix
-            ids = [self.ids[text[a:b]] for a, b in zip(bounds, bounds[1:])]
-            if len(self._kept_pieces) >= KEPT_WORDS:
-                self._kept_pieces.clear()
-            if len(piece) <= SHORT_WORD:
-                self._kept_pieces[piece] = ids
-        return ids
-
-    def merged(self, symbols: str) -> list[int]:
-        """Boundaries of a word's parts after all merges, by scans for the least adjacent rank."""
-        text = symbols + self.suffix
-        bounds = [*range(len(symbols)), len(text)]
-        none, get = len(self.ranks), self.ranks.get
-        ranks = [get((x, y), none) for x, y in zip(symbols, symbols[1:])]
-        if ranks:  # the last part has the word's end
-            ranks[-1] = get((symbols[-2], symbols[-1] + self.suffix), none)
-        while ranks:
-            least = min(ranks)
-            if least == none:
+    def _plain_words(self, text: str) -> list[str]:
+        if text.isascii():
+            return self._ascii_pieces.findall(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a sigma has no final form here
+        if self._later_lower.search(text):
+            text = text.translate({ord(c): x for c, x in LATER_LOWER.items()})
+        return self._pieces.findall(text.lower())
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one behind the other, and how many each has."""
+        raw = [w.encode() for w in words]
+        sizes = np.array([len(x) for x in raw])
+        found: list = [None] * len(words)
+        short = []
+        for i, (word, size) in enumerate(zip(words, sizes.tolist())):
+            if word[0] == " ":
+                found[i] = np.array([self.special[word[1:]]])
+            elif size > SHORT_WORD:
+                found[i] = self.merged_by_heap(raw[i])
+            else:
+                short.append(i)
+        short.sort(key=lambda i: len(raw[i]))
+        while short:  # words of similar length, so that rows are not much longer than words
+            width = max(8, 2 * len(raw[short[0]]))
+            block = [i for i in short if len(raw[i]) <= width]
+            short = short[len(block) :]
+            for i, ids in zip(block, self.merged([raw[i] for i in block])):
+                found[i] = ids
+        return np.concatenate(found), np.array([len(x) for x in found])
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge ranks of pairs of parts; ``len(self.ranks)`` where they have none (-1 is no part)."""
+        keys = left * len(self.ids) + right
+        at = np.minimum(np.searchsorted(self._pair_keys, keys), len(self._pair_keys) - 1)
+        known = (left >= 0) & (right >= 0) & (self._pair_keys[at] == keys)
+        return np.where(known, self._rank_order[at], len(self.ranks))
+
+    def merged(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of some words after all merges, by scans of each row for the least adjacent rank."""
+        sizes = np.array([len(w) for w in words])
+        width, none = int(sizes.max()), len(self.ranks)
+        flat = np.frombuffer(b"".join(words), dtype=np.uint8)
+        inside = np.arange(width) < sizes[:, None]
+        parts = np.full((len(words), width), -1, dtype=np.int64)
+        parts[inside] = self._inner[flat]
+        ends = np.cumsum(sizes) - 1
+        parts[np.arange(len(words)), sizes - 1] = self._last[flat[ends]]
+        ranks = np.full((len(words), width), none, dtype=np.int64)  # of each part and the next
+        ranks[:, :-1] = self._ranks_of(parts[:, :-1], parts[:, 1:])
+        done, rows = parts.copy(), np.arange(len(words))
+        while True:
+            at = ranks.argmin(axis=1)
+            least = ranks[np.arange(len(rows)), at]
+            more = least < none
+            done[rows[~more], : parts.shape[1]] = parts[~more]
+            done[rows[~more], parts.shape[1] :] = -1
+            if not more.any():
                 break
-            i = ranks.index(least)
-            del bounds[i + 1], ranks[i]
-            a, b = bounds[i], bounds[i + 1]
-            part = text[a:b]
-            if i < len(ranks):
-                ranks[i] = get((part, text[b : bounds[i + 2]]), none)
-            if i:
-                ranks[i - 1] = get((text[bounds[i - 1] : a], part), none)
-        return bounds
-
-    def merged_by_heap(self, symbols: str) -> list[int]:
-        """The same boundaries for a long word: pairs wait in a heap by rank, then place."""
-        text, n = symbols + self.suffix, len(symbols)
-        end = [*range(1, n), len(text)]  # of the part that starts here; 0: the start is merged away
-        before = list(range(-1, n - 1))  # start of the part before
-        get, heap = self.ranks.get, []
+            rows, parts, ranks, at, least = rows[more], parts[more], ranks[more], at[more], least[more]
+            row = np.arange(len(rows))
+            parts[row, at] = self._merged[least]
+            # every row loses a boundary, so all are one part narrower
+            columns = np.arange(parts.shape[1] - 1)
+            parts = np.take_along_axis(parts, columns + (columns > at[:, None]), axis=1)
+            ranks = np.take_along_axis(ranks, columns + (columns >= at[:, None]), axis=1)
+            padded = np.pad(parts, ((0, 0), (1, 1)), constant_values=-1)
+            ranks[row, at] = self._ranks_of(parts[row, at], padded[row, at + 2])
+            before = self._ranks_of(padded[row, at], parts[row, at])
+            ranks[row[at > 0], at[at > 0] - 1] = before[at > 0]
+        return [ids[ids >= 0] for ids in done]
+
+    def merged_by_heap(self, word: bytes) -> np.ndarray:
+        """The same ids for a long word: pairs wait in a heap by rank, then place."""
+        n = len(word)
+        part = [int(self._inner[x]) for x in word[:-1]] + [int(self._last[word[-1]])]
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        heap: list[tuple] = []
 
         def offer(a: int) -> None:
-            b = end[a]
-            if b < len(text):
-                r = get((text[a:b], text[b : end[b]]))
-                if r is not None:
-                    heapq.heappush(heap, (r, a, b, end[b]))
+            b = after[a]
+            if b >= 0:
+                rank = self.ranks.get((self.tokens[part[a]], self.tokens[part[b]]))
+                if rank is not None:
+                    heapq.heappush(heap, (rank, a, part[a], part[b]))
 
         for a in range(n):
             offer(a)
         while heap:
-            _, a, b, c = heapq.heappop(heap)
-            if end[a] != b or end[b] != c:  # a part of this pair has been merged since
+            rank, a, left, right = heapq.heappop(heap)
+            b = after[a]
+            if part[a] != left or b < 0 or part[b] != right:  # a part of this pair has been merged since
                 continue
-            end[a], end[b] = c, 0
-            if c < len(text):
-                before[c] = a
-                offer(a)
+            part[a], part[b] = int(self._merged[rank]), -1
+            after[a] = after[b]
+            if after[a] >= 0:
+                before[after[a]] = a
+            offer(a)
             if before[a] >= 0:
                 offer(before[a])
-        return [a for a in range(n) if end[a]] + [len(text)] if n else [0, len(text)]
+        return np.array([x for x in part if x >= 0])
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens' symbols, joined by blanks (special tokens as they are)."""
@@ -240,7 +306,7 @@ def bpe_encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         vocab = _vocabulary(content)
-        ids = [np.array(vocab.encode(t.as_py()), dtype=np.int32) for t in texts]
+        ids = vocab.encode_all(t.as_py() for t in texts)
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
