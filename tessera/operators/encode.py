@@ -120,6 +120,48 @@ def _ordered(df, target, cols, suffix, seed, id_col, prior):
     return out.drop("_h", "_prior")
 
 
+def ordered_statistics(df: DataFrame, target: str, cols: Sequence[str], orders: Sequence[int], id_col: str = "id",
+                       weight: float = 1.0, suffix: str = "_ots", trained: str | None = None) -> DataFrame:
+    """Ordered target statistics of several columns in several row orders, from one range-partitioned pass.
+
+    Adds ``<col><suffix><order>`` for each column and order: for a labelled row the mean
+    target of the earlier labelled rows of its value in that order, drawn to the prior by
+    ``weight`` rows; for any other row the mean of all labelled rows of its value, drawn
+    alike.  ``trained`` names a boolean column of the rows whose labels may be used (default:
+    all labelled).  A null value has the prior.  The prior is the mean of all labels used.
+    """
+    seen = F.col(target).isNotNull() if trained is None else F.col(target).isNotNull() & F.col(trained)
+    y = F.col(target).cast("double")
+    prior = df.where(seen).agg(F.avg(y)).first()[0] or 0.0  # one number
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.where(seen).select(F.col(id_col).alias("_id"), y.alias("_y"), F.inline(pairs)).where(F.col("value").isNotNull())
+    turns = long.select("*", F.explode(F.array(*map(F.lit, orders))).alias("_order"))
+    place = F.md5(F.concat_ws("|", F.col("_order").cast("string"), F.col("_id").cast("string")))
+    cum = running_sums(
+        turns.withColumn("_place", place).withColumn("_one", F.lit(1)),
+        ["_place", "_id"], ["_y", "_one"], by=["feature", "value", "_order"],
+    )
+
+    def drawn(total, n):
+        return (total + F.lit(weight * prior)) / (n + F.lit(weight))
+
+    names = [(c, o, f"{c}{suffix}{o}") for c in cols for o in orders]
+    own = cum.select("_id", "feature", "_order", drawn(F.col("cum__y") - F.col("_y"), F.col("cum__one") - 1).alias("_s"))
+    wide = own.groupBy("_id").agg(
+        *[F.max(F.when((F.col("feature") == c) & (F.col("_order") == o), F.col("_s"))).alias(f"_o{i}") for i, (c, o, _) in enumerate(names)]
+    )
+    totals = long.groupBy("feature", "value").agg(F.sum("_y").alias("_t"), F.count("*").alias("_n"))
+    totals = materialize(totals.select("feature", "value", drawn(F.col("_t"), F.col("_n")).alias("_all")), "target_stats")
+    out = df.join(wide, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    for j, c in enumerate(cols):
+        out = _attach(out, totals, c, ["_all"]).withColumnRenamed("_all", f"_a{j}")
+    values = {
+        name: F.coalesce(F.when(seen, F.col(f"_o{i}")).otherwise(F.col(f"_a{list(cols).index(c)}")), F.lit(float(prior)))
+        for i, (c, _, name) in enumerate(names)
+    }
+    return out.withColumns(values).drop(*[f"_o{i}" for i in range(len(names))], *[f"_a{j}" for j in range(len(cols))])
+
+
 def group_target_stats(
     df: DataFrame, target: str, key: str, prefix: str, default_mean: float = 0.5, default_std: float = 0.0
 ) -> DataFrame:
