@@ -217,7 +217,7 @@ def _pieces(runs: DataFrame, boundaries: list[tuple]) -> DataFrame:
 def _united(pieces: DataFrame, least: int) -> DataFrame:
     """One automaton for each range: counts summed over its pieces, rarer n-grams dropped."""
 
-    def unite(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def unite(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         whole = CountAutomaton.union([CountAutomaton.from_bytes(b) for b in pdf["automaton"]]).at_least(least)
         return pd.DataFrame({"part": [key[0]], "lang": [key[1]], "automaton": [whole.to_bytes()]})
 
@@ -270,7 +270,7 @@ class PhraseCounts:
     """Counts of all n-grams of at least ``least`` occurrences, as automata by prefix range."""
 
     def __init__(self, docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4, least: int = 30,
-                 filter_bits: int = 26, flush_words: int = 4_000_000, run_grams: int = 1 << 18, range_grams: int = 1 << 20):
+                 filter_bits: int = 26, flush_words: int = 4_000_000, run_grams: int = 1 << 18, range_grams: int = 1 << 18):
         spark = docs.sparkSession
         ship_package(spark)
         self.longest, self.least, self.scratch = longest, least, Scratch(spark)
@@ -299,7 +299,7 @@ class PhraseCounts:
         for n in range(1, self.longest):
             wanted = _routed(parts.where(F.size("words") == n), self.boundaries[n])
 
-            def compose(key, wanted: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            def compose(key: tuple, wanted: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
                 if not len(wanted) or not len(held):
                     return wanted.head(0).assign(a=0)[["lang", "words", "a"]].astype({"a": "int64"})
                 grams = [_tuple(x) for x in wanted["words"]]
