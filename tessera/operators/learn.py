@@ -144,13 +144,15 @@ def oof_matrix(
     parallelism: int | None = None,
     train_extra: Callable[[int], DataFrame] | None = None,
     features: Sequence[str] = (),
+    score_extra: Callable[[int], DataFrame] | None = None,
 ):
     """Out-of-fold scores of several learners side by side.
 
     ``specs`` maps a score column to ``(kind, params, seed)`` or ``(kind, params, seed,
     kept features)``; the last needs ``features``, the vector's names.  Each labelled row is
     scored by the models that did not see its fold.  ``train_extra(i)`` gives rows (such as
-    pseudo-labelled ones) that join the training rows of fold ``i`` and are never scored.
+    pseudo-labelled ones) that join the training rows of fold ``i``; ``score_extra(i)`` gives
+    rows that are scored with fold ``i``, beside its own.
     Returns ``(oof, models)``: ``oof`` has ``(id, fold, label, *specs)`` and is a written
     table; ``models`` maps a score column to its ``k`` models.
     """
@@ -171,7 +173,10 @@ def oof_matrix(
     fitted = dict(zip(jobs, _pool_map(fit_one, jobs, parallelism)))
     parts = []
     for i in range(k):
-        cur = lab.where(F.col(fold) == i).withColumn("_all", F.col(FEATURES))
+        cur = lab.where(F.col(fold) == i)
+        if score_extra is not None:
+            cur = cur.unionByName(score_extra(i).select(*cur.columns))
+        cur = cur.withColumn("_all", F.col(FEATURES))
         for name, spec in specs.items():
             cur = predict(fitted[name, i], view(cur.withColumn(FEATURES, F.col("_all")), spec), name)
         parts.append(cur.select(id_col, fold, label, *specs))
@@ -294,14 +299,23 @@ def seed_bagging(prepared: DataFrame, label: str, k: int, kinds: Sequence[str],
 
 def select_by_importance(prepared: DataFrame, features: Sequence[str], label: str, k: int, ranking: DataFrame,
                          ratios: Sequence[float], kind: str = "gbt", fold: str = "fold", id_col: str = "id",
-                         parallelism: int | None = None, params: Mapping | None = None) -> DataFrame:
-    """CV of the top ``int(n * ratio)`` features for each ratio; one row per ratio."""
+                         parallelism: int | None = None, params: Mapping | None = None, top: Sequence[int] = ()) -> DataFrame:
+    """CV of the most important features, one row per set; ``is_selected`` marks the winner.
+
+    The sets are all features, the first ``int(n * ratio)`` for each ratio, and the first
+    ``n`` for each of ``top``.  The best mean CV accuracy wins, the earlier set on ties.
+    """
     # one row per feature
     ordered = [r["feature"] for r in ranking.orderBy(F.col("importance").desc(), "feature").select("feature").collect()]
-    sets = {f"top_{i}": ordered[: max(1, int(len(ordered) * r))] for i, r in enumerate(ratios)}
+    sizes = [len(ordered), *(max(1, int(len(ordered) * r)) for r in ratios), *(min(max(1, n), len(ordered)) for n in top)]
+    sets = {f"{i}": ordered[:n] for i, n in enumerate(dict.fromkeys(sizes))}
     reps = ablation_table(prepared, features, label, k, sets, kind, fold, id_col, parallelism, params)
-    kept = F.create_map(*[x for n, fs in sets.items() for x in (F.lit(n), F.array(*map(F.lit, fs)))])
-    return reps.select("n_features", "cv_mean", "cv_std", kept[F.col("feature_set")].alias("features"))
+    rows = {r["feature_set"]: r for r in reps.collect()}  # one row per set
+    best = max(sets, key=lambda name: (rows[name]["cv_mean"], -int(name)))
+    return prepared.sparkSession.createDataFrame(
+        [(len(fs), rows[n]["cv_mean"], rows[n]["cv_std"], fs, n == best) for n, fs in sets.items()],
+        "n_features int, cv_mean double, cv_std double, features array<string>, is_selected boolean",
+    )
 
 
 def ablation_table(prepared: DataFrame, features: Sequence[str], label: str, k: int,
@@ -350,8 +364,12 @@ def pseudo_label_fit(prepared: DataFrame, label: str, models, hi: float, lo: flo
 
 def pseudo_label_search(prepared: DataFrame, label: str, k: int, bands: Sequence[tuple[float, float]], kind: str = "gbt",
                         fold: str = "fold", id_col: str = "id", min_rows: int = 1, parallelism: int | None = None,
-                        params: Mapping | None = None, labels_from: str = "fold") -> DataFrame:
-    """Score bands of pseudo-labels; every OOF score is taken on original rows only.
+                        params: Mapping | None = None, labels_from: str = "fold", extended: bool = False) -> DataFrame:
+    """Score bands of pseudo-labels; ``oof_accuracy`` and ``oof_auc`` are taken on original rows only.
+
+    ``extended``: the pseudo-labelled rows have folds too (by hash), train the models of the
+    other folds only, and are scored out of fold beside the original rows; ``ext_accuracy``
+    and ``ext_auc`` are over both (against the pseudo-labels, so they flatter a band).
 
     ``labels_from='fold'``: the labels added when fold ``i`` is scored come from the model
     that did not see fold ``i`` (no leak).  ``'all'``: from the mean of all fold models, most
@@ -375,24 +393,29 @@ def pseudo_label_search(prepared: DataFrame, label: str, k: int, bands: Sequence
         rep = cv_report(oof, label, "p", fold).select("oof_accuracy", "oof_auc").first()  # one row
         return float(rep["oof_accuracy"]), float(rep["oof_auc"])
 
-    rows = [(None, None, 0, *report(base_oof))]
+    rows = [(None, None, 0, *report(base_oof), *(report(base_oof) if extended else (None, None)))]
+    own = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(k))
     for (hi, lo), n in zip(bands, n_of):
         if n < min_rows:
-            rows.append((hi, lo, n, None, None))
+            rows.append((hi, lo, n, None, None, None, None))
             continue
 
-        def extra(i, hi=hi, lo=lo):
+        def sure(i, hi=hi, lo=lo):
             score = "_mean" if labels_from == "all" else names[i]
-            sure = scored.where(confident(score, hi, lo)).withColumn(label, binarize(score).cast("double"))
-            return sure.withColumn(fold, F.lit(-1))
-
-        oof, _ = oof_matrix(prepared, label, k, {"p": (kind, params, 42)}, fold, id_col, parallelism, extra)
-        rows.append((hi, lo, n, *report(oof)))
+            rows = scored.where(confident(score, hi, lo)).withColumn(label, binarize(score).cast("double"))
+            return rows.withColumn(fold, F.lit(-1))
+
+        extra, held = sure, None
+        if extended:
+            extra, held = (lambda i, sure=sure: sure(i).where(own != i)), (lambda i, sure=sure: sure(i).where(own == i))
+        oof, _ = oof_matrix(prepared, label, k, {"p": (kind, params, 42)}, fold, id_col, parallelism, extra, score_extra=held)
+        rows.append((hi, lo, n, *report(oof.where(F.col(fold) >= 0)), *(report(oof) if extended else (None, None))))
     scratch.drop(scored)
     best = max(range(len(rows)), key=lambda j: (rows[j][3] if rows[j][3] is not None else -1.0, -j))
     return spark.createDataFrame(
         [(*r, j == best) for j, r in enumerate(rows)],
-        "hi double, lo double, n_pseudo bigint, oof_accuracy double, oof_auc double, is_selected boolean",
+        "hi double, lo double, n_pseudo bigint, oof_accuracy double, oof_auc double, ext_accuracy double, ext_auc double, "
+        "is_selected boolean",
     )
 
 

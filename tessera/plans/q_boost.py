@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import boost as bo
+from ..operators import encode as en
 from ..operators import extra as ex
 from ..operators import folds as fo
 from ..operators import groups as gr
@@ -180,3 +181,44 @@ def fit_extra_trees(spark, d):
     numeric = [*NUMERIC, "nation"]
     forests = ex.fit_extra_trees(df, numeric, "y", n_trees=100, max_depth=6, min_leaf_rows=2, fold="fold", folds=range(K))
     return ex.forest_scores(df, numeric, forests, "fold").select("id", "y", "fold", "p")
+
+
+ORDERS = [1, 2]
+
+
+def _ordered_sql() -> str:
+    parts = []
+    for c in NOMINAL:
+        for o in ORDERS:
+            w = f"(PARTITION BY {c} ORDER BY md5('{o}|' || CAST(id AS VARCHAR)), id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+            parts.append(f"(coalesce(sum(y) OVER {w}, 0) + p) / (count(*) OVER {w} + 1) AS {c}_ots{o}")
+    names = [f"{c}_ots{o}" for c in NOMINAL for o in ORDERS]
+    means = ", ".join(f"coalesce((SELECT (sum(y) + p) / (count(*) + 1) FROM l WHERE l.{c} = t.{c}), p) AS {c}_ots{o}" for c in NOMINAL for o in ORDERS)
+    return f"""
+WITH t AS (SELECT id, y, nation, segment FROM cases),
+l AS (SELECT * FROM t WHERE y IS NOT NULL),
+p AS (SELECT avg(CAST(y AS DOUBLE)) AS p FROM l),
+seen AS (SELECT id, {", ".join(parts)} FROM l, p),
+other AS (SELECT id, {means} FROM t, p WHERE y IS NULL)
+SELECT id, {", ".join(names)} FROM seen UNION ALL SELECT id, {", ".join(names)} FROM other"""
+
+
+@register("ordered_statistics", _ordered_sql(), [f"{c}_ots{o}" for c in NOMINAL for o in ORDERS])
+def ordered_statistics(spark, d):
+    """E5: ordered target statistics of two columns in two row orders, from one range-partitioned pass."""
+    c = cases(spark, d).select("id", "y", *NOMINAL)
+    return en.ordered_statistics(c, "y", NOMINAL, ORDERS).select("id", *[f"{c}_ots{o}" for c in NOMINAL for o in ORDERS])
+
+
+@register("boost_ordered")
+def boost_ordered(spark, d):
+    """E5/L1: ordered boosting over ordered statistics, a model per row order; mean scores of all rows."""
+    df = ln.with_validation_flag(cases(spark, d).select("id", "y", *NUMERIC[:3], *NOMINAL), "id")
+    df = df.withColumn("trained", ~F.col("_is_val"))
+    df = Scratch(spark).save(en.ordered_statistics(df, "y", NOMINAL, ORDERS, trained="trained"), "ordered")
+    own = {o: (*NUMERIC[:3], *(f"{c}_ots{o}" for c in NOMINAL)) for o in ORDERS}
+    binner = bo.fit_bins(df.where(F.col("y").isNotNull()), sorted({f for fs in own.values() for f in fs}), (), MAX_BINS)
+    fit = bo.Boosting(df, binner, "y", "id", valid="_is_val")
+    params = bo.Params(rounds=500, num_leaves=8, max_depth=4, patience=20)
+    models = fit.fit([bo.Spec(params, order=o, features=own[o]) for o in ORDERS])
+    return bo.scored(df, binner, [m.best for m in models]).select("id", "y", "p")

@@ -46,6 +46,7 @@ SETS = {
     "no_balance": [f for f in FEATURES if f != "balance_f"],
 }
 RATIOS = [0.9, 0.8, 0.7, 0.6]
+TOP = 2
 
 
 def _features(spark, d):
@@ -201,10 +202,10 @@ def importance_check(spark, d):
 
 @register("select_by_importance")
 def select_by_importance(spark, d):
-    """Keep the top share of features by importance, CV each share."""
+    """CV of the top shares of features by importance and of a fixed number; the winner is marked."""
     prep = _prepared(spark, d)
     ranking = ln.importance_ranking(_importance(spark, prep))
-    return ln.select_by_importance(prep, FEATURES, "y", K, ranking, RATIOS, "gbt", params=GBT)
+    return ln.select_by_importance(prep, FEATURES, "y", K, ranking, RATIOS, "gbt", params=GBT, top=[TOP])
 
 
 @register("ablation_table")
@@ -224,8 +225,8 @@ def pseudo_label_fit(spark, d):
 
 @register("pseudo_label_search")
 def pseudo_label_search(spark, d):
-    """Pseudo-label bands scored on original rows only; baseline is a row."""
-    return ln.pseudo_label_search(_prepared(spark, d), "y", K, BANDS, "gbt", min_rows=MIN_PSEUDO, params=GBT)
+    """Pseudo-label bands scored on original rows, and on the extended ones; baseline is a row."""
+    return ln.pseudo_label_search(_prepared(spark, d), "y", K, BANDS, "gbt", min_rows=MIN_PSEUDO, params=GBT, extended=True)
 
 
 @register("stacking_fit")

@@ -31,6 +31,51 @@ def scan_schema(spark, d):
     return cases(spark, d)
 
 
+# columns of the case table as text: whole numbers, fractions, dates, words, and mixes of them
+TEXT_COLUMNS = {
+    "id": "CAST(id AS {text})",
+    "outcome": "CASE WHEN y IS NULL THEN 'NaN' ELSE CAST(y AS {text}) END",
+    "price": "CAST(price AS {text})",
+    "balance": "CAST(balance AS {text})",
+    "whole_or_fraction": "CASE WHEN id % 1000 = 3 THEN '0.5' ELSE CAST(id AS {text}) END",
+    "late_word": "CASE WHEN id = (SELECT max(id) FROM cases) THEN 'last' ELSE CAST(id AS {text}) END",
+    "is_first_class": "CASE WHEN pclass = 1 THEN 'True' WHEN pclass = 2 THEN 'False' ELSE 'N/A' END",
+    "flag_or_number": "CASE WHEN pclass = 1 THEN 'True' ELSE CAST(pclass AS {text}) END",
+    "segment": "segment",
+    "day": "CASE WHEN pclass = 5 THEN '' ELSE concat('2024-0', CAST(pclass AS {text}), '-15') END",
+    "no_day": "CASE WHEN id % 1000 = 3 THEN '2024-02-30' ELSE '2024-02-28' END",
+    "nothing": "CASE WHEN pclass = 1 THEN 'null' ELSE '' END",
+}
+
+
+def _infer_sql() -> str:
+    tokens = ", ".join("'" + t + "'" for t in fr.NULL_TOKENS)
+    columns = ", ".join(f"{e.format(text='VARCHAR')} AS {c}" for c, e in TEXT_COLUMNS.items())
+    each = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, bit_or(m) AS marks, count(*) AS n, count(*) FILTER (WHERE m = 0) AS n_missing FROM (
+            SELECT CASE WHEN {c} IS NULL OR {c} IN ({tokens}) THEN 0
+              WHEN regexp_full_match({c}, '[ \\t]*[+-]?[0-9]+[ \\t]*') AND try_cast({c} AS BIGINT) IS NOT NULL THEN 1
+              WHEN regexp_full_match({c}, '[ \\t]*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?[ \\t]*') THEN 2
+              WHEN {c} IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false') THEN 4
+              WHEN regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND try_cast({c} AS DATE) IS NOT NULL THEN 8
+              ELSE 16 END AS m FROM t)"""
+        for c in TEXT_COLUMNS
+    )
+    return f"""WITH t AS (SELECT {columns} FROM cases), u AS ({each})
+        SELECT feature, CASE WHEN marks = 1 THEN 'bigint' WHEN marks IN (0, 2, 3) THEN 'double' WHEN marks = 4 THEN 'boolean'
+          WHEN marks = 8 THEN 'date' ELSE 'string' END AS type, n, n_missing FROM u"""
+
+
+@register("infer_types", _infer_sql().replace("\\\\", "\\"))
+def infer_types(spark, d):
+    """Types of text columns from all rows in one pass, as a schema-less CSV reader needs them."""
+    c = cases(spark, d)
+    last = c.agg(F.max("id")).first()[0]  # one number
+    texts = {name: e.format(text="STRING").replace("(SELECT max(id) FROM cases)", str(last)) for name, e in TEXT_COLUMNS.items()}
+    text = c.select(*[F.expr(e).alias(name) for name, e in texts.items()])
+    return fr.infer_types(text).withColumnRenamed("column", "feature")
+
+
 @register(
     "write_predictions",
     "SELECT id, CAST(p_a >= 0.5 AS INTEGER) AS label FROM scores WHERE split = 'test'",

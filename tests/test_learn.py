@@ -118,6 +118,9 @@ def test_selection_and_ablation_tell_signal_from_noise(spark):
     by_n = {r["n_features"]: r for r in got}
     assert by_n[2]["features"] == ["x1", "x2"] and by_n[1]["features"] == ["x1"]
     assert by_n[2]["cv_mean"] > by_n[1]["cv_mean"]
+    assert [r["n_features"] for r in got if r["is_selected"]] == [max(got, key=lambda r: (r["cv_mean"], r["n_features"]))["n_features"]]
+    fixed = ln.select_by_importance(prep, X, "y", 3, ranking, [], "lr", top=[1]).collect()
+    assert [(r["n_features"], r["is_selected"]) for r in fixed] == [(3, True), (1, False)]
     sets = {"all": X, "no_noise": ["x1", "x2"], "noise": ["x3"]}
     auc = {r["feature_set"]: r["oof_auc"] for r in ln.ablation_table(prep, X, "y", 3, sets, "lr").collect()}
     assert auc["all"] > 0.9 and auc["no_noise"] > 0.9 and 0.4 < auc["noise"] < 0.6
@@ -133,6 +136,10 @@ def test_pseudo_labels_are_searched_without_a_leak(spark):
     assert table[2]["oof_accuracy"] is None and table[2]["n_pseudo"] == 0  # no row is that sure
     chosen = [r for r in table if r["is_selected"]]
     assert len(chosen) == 1 and chosen[0]["oof_accuracy"] == max(r["oof_accuracy"] for r in table[:2])
+    both = ln.pseudo_label_search(*args, min_rows=5, labels_from="all", extended=True).collect()
+    assert (both[0]["ext_accuracy"], both[0]["ext_auc"]) == (both[0]["oof_accuracy"], both[0]["oof_auc"])
+    assert both[1]["ext_accuracy"] > both[1]["oof_accuracy"]  # pseudo-labels agree with the models that gave them
+    assert both[2]["ext_accuracy"] is None and table[1]["ext_accuracy"] is None
     _, models = ln.oof_predict(prep, "y", 3, "fold", "lr")
     few, n = ln.pseudo_label_fit(prep, "y", models, 0.9, 0.1, "lr", min_rows=10_000)
     plain = ln.fit_model(prep, "y", "lr")
