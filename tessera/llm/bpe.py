@@ -40,7 +40,7 @@ from .common import fresh, q
 #: Words of more bytes are merged by a heap instead of scans.
 SHORT_WORD = 128
 #: Encoded words kept in a Python worker, and the characters of texts encoded together.
-KEPT_WORDS, TOGETHER = 1 << 18, 1 << 22
+KEPT_WORDS, TOGETHER = 1 << 18, 1 << 20
 #: Largest vocabulary file that is broadcast.
 LARGEST_FILE = 64 << 20
 
