@@ -127,3 +127,13 @@ def test_permutation_of_a_small_domain(spark):
 def test_report_and_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pii_report(docs, KEY).count() == 0
+
+
+def test_long_chains_neither_crash_nor_change(spark):
+    """Texts of 200,000 characters that repeat what a pattern repeats."""
+    n = 100_000
+    texts = ["x@" + "a." * n + "1", "a." * n, "a@" * n, "1." * n, "1 " * n, "1-" * n, "+1" * n, "DE00" + " ABCD" * (n // 2), "x" * (2 * n) + "@", "(12)" * (n // 2)]
+    got = run(spark, texts)
+    assert len(got) == len(texts) and got[0] == (texts[0], []) and got[1] == (texts[1], [])
+    (one, kinds), = run(spark, ["a@" + "b." * 120 + "com and a@b.com1"])
+    assert kinds == ["email", "email"] and one.endswith("@b.com1") and "@" + "b." * 120 + "com" in one
