@@ -45,6 +45,7 @@ from .ordered import running_sums
 
 SCALE = float(1 << 24)  # sums are whole numbers of 1 / SCALE
 MARGIN_ROUNDS = 25
+TASK_MARGINS = 200_000  # rows x models that are worth a task
 MOST_SUMS = 20_000_000  # (model, leaf, feature, bin) sums in one pass
 MOST_BINS = 254
 BINS = "_bins"
@@ -312,10 +313,15 @@ class _Growing:
         self.queue: list[tuple[float, int]] = []
         self.leaves = 1
 
-    def offer(self, node: int, sums: np.ndarray) -> None:
-        """A node's sums are known: it joins the queue if it can be split."""
+    def deepest(self, node: int) -> bool:
+        return self.p.max_depth is not None and self.depth[node] >= self.p.max_depth
+
+    def offer(self, node: int, sums: np.ndarray | None) -> None:
+        """A node's sums are known: it joins the queue if it can be split (without sums it cannot)."""
+        if sums is None:
+            return
         self.sums[node], self.total[node] = sums, sums[0].sum(axis=0)
-        if self.p.max_depth is not None and self.depth[node] >= self.p.max_depth:
+        if self.deepest(node):
             return
         self.split[node] = best_split(sums, self.sizes, self.nominal, self.p, self.used)
         if self.split[node] is not None:
@@ -339,8 +345,11 @@ class _Growing:
         return not self.queue or self.leaves >= self.p.num_leaves
 
     def expand(self) -> list[int]:
-        """Give children to the best waiting leaves, no more than could still be taken; the ones to sum."""
-        wanted = []
+        """Give children to the best waiting leaves, no more than could still be taken; the ones to sum.
+
+        Children that no split could follow (of the last split, or at the greatest depth) need no sums.
+        """
+        wanted, last = [], self.p.num_leaves - self.leaves == 1
         for _, node in heapq.nsmallest(self.p.num_leaves - self.leaves, self.queue):
             if self.left[node] >= 0:
                 continue
@@ -354,9 +363,19 @@ class _Growing:
                 self.split.append(None)
                 self.chosen.append(False)
             self.left[node], self.right[node] = len(self.left) - 2, len(self.left) - 1
-            wanted.append(self.left[node] if s.left[2] <= s.right[2] else self.right[node])
+            if not last and not self.deepest(self.left[node]):
+                wanted.append(self.left[node] if s.left[2] <= s.right[2] else self.right[node])
         return wanted
 
+    def advance(self) -> list[int]:
+        """Grow as far as the sums at hand allow; the nodes to sum next, none when the tree is done."""
+        while True:
+            self.choose()
+            if self.done:
+                return []
+            if wanted := self.expand():
+                return wanted
+
     def summed(self, node: int, sums: np.ndarray) -> None:
         """Sums of a smaller child: its sibling's are the parent's minus these."""
         parent = max(self.left.index(node) if node in self.left else -1, self.right.index(node) if node in self.right else -1)
@@ -446,9 +465,7 @@ class Boosting:
             while True:
                 requests = {}
                 for i, g in growing.items():
-                    g.choose()
-                    if not g.done:
-                        wanted = g.expand()
+                    if wanted := g.advance():
                         requests[i] = (g.tree(every_split=True), [g.numbers[w] for w in wanted], wanted)
                 if not requests:
                     break
@@ -480,10 +497,13 @@ class Boosting:
 
     def _rows_of(self, spec: Spec, what: str = "n"):
         """Training rows of a model (``what='pos'``: their labels' sum)."""
+        return sum(r[what] for r in self._grouped() if r["fold"] != spec.fold_out and not r["valid"])
+
+    def _grouped(self) -> list:
         if self._counts is None:
             grouped = self.rows.groupBy("fold", "valid").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
             self._counts = grouped.collect()  # two rows per fold
-        return sum(r[what] for r in self._counts if r["fold"] != spec.fold_out and not r["valid"])
+        return self._counts
 
     def _set_blocks(self, table, specs, views, models, recent, trees: dict[int, Tree]) -> None:
         """Values of ordered models' new trees for the rows of each block: from the blocks before it."""
@@ -508,9 +528,9 @@ class Boosting:
 
     def _note(self, model: Ensemble, losses: np.ndarray) -> None:
         (train, n_train), (valid, n_valid) = losses
-        model.train_loss.append(train / SCALE / n_train if n_train else float("nan"))
+        model.train_loss.append(float(train / SCALE / n_train) if n_train else float("nan"))
         if n_valid:
-            model.valid_loss.append(valid / SCALE / n_valid)
+            model.valid_loss.append(float(valid / SCALE / n_valid))
 
     def _stops(self, model: Ensemble, p: Params) -> bool:
         if model.rounds >= p.rounds:
@@ -537,6 +557,9 @@ class Boosting:
                 column = pa.array([row.tobytes() for row in margins], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:5], column], names)
 
+        if first:  # small tables in few tasks: a pass takes as long as starting them
+            rows = sum(r["n"] for r in self._grouped())
+            table = table.coalesce(max(1, -(-rows * n_models // TASK_MARGINS)))
         out = table.mapInArrow(move, "y double, key long, fold int, valid boolean, bins binary, margins binary")
         saved = self.scratch.save(out, "margins")
         shared.destroy()

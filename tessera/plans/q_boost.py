@@ -7,6 +7,8 @@ is grown on, accuracies over a given table of staged scores -- has a twin.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators import boost as bo
@@ -26,10 +28,11 @@ NUMERIC = ["pclass", "price", "balance", "cust_size"]
 NOMINAL = ["nation", "segment"]
 FEATURES = [*NUMERIC, *NOMINAL]
 MAX_BINS = 64
-#: Rounds are a limit: models stop after 50 rounds without a better validation loss.
-BOOST = bo.Params(rounds=500, learning_rate=0.1, num_leaves=16, max_depth=4, l1=0.1, l2=0.1, row_fraction=0.8,
-                  feature_fraction=0.8, patience=50)
-SEARCHED = bo.Params(rounds=60, max_depth=4, patience=10)
+#: Rounds are a limit: models stop after 50 rounds without a better validation loss (10 where only the scores count).
+LONG = bo.Params(rounds=500, learning_rate=0.1, num_leaves=16, max_depth=4, l1=0.1, l2=0.1, row_fraction=0.8,
+                 feature_fraction=0.8, patience=50)
+BOOST = replace(LONG, patience=10)
+SEARCHED = bo.Params(rounds=60, max_depth=4, patience=5)
 SPACE = {
     "num_leaves": ("int", 4, 16, 4),
     "learning_rate": ("logfloat", 0.03, 0.3),
@@ -38,7 +41,7 @@ SPACE = {
     "l2": ("float", 0.0, 1.0, 0.1),
     "row_fraction": ("float", 0.6, 1.0, 0.1),
 }
-TRIALS, BATCH = 30, 10
+TRIALS, BATCH = 30, 15
 VALID = "conv(substr(md5(concat('7|v|', CAST(id AS STRING))), 1, 8), 16, 10) % 1000 < 200"
 VALID_SQL = "CAST(('0x' || substr(md5('7|v|' || CAST(id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 < 200"
 
@@ -72,7 +75,7 @@ def boost_oof(spark, d):
 @register("boost_rounds")
 def boost_rounds(spark, d):
     """Rounds grown and kept by each fold's model, and the validation losses at both."""
-    _, _, models = _fold_models(spark, d)
+    _, _, models = _fold_models(spark, d, LONG)
     rows = [(m.fold_out, m.rounds, m.best_round, m.valid_loss[m.best_round], m.valid_loss[-1]) for m in models]
     return spark.createDataFrame(rows, "fold int, rounds int, best_round int, best_loss double, last_loss double")
 
@@ -219,6 +222,6 @@ def boost_ordered(spark, d):
     own = {o: (*NUMERIC[:3], *(f"{c}_ots{o}" for c in NOMINAL)) for o in ORDERS}
     binner = bo.fit_bins(df.where(F.col("y").isNotNull()), sorted({f for fs in own.values() for f in fs}), (), MAX_BINS)
     fit = bo.Boosting(df, binner, "y", "id", valid="_is_val")
-    params = bo.Params(rounds=500, num_leaves=8, max_depth=4, patience=20)
+    params = bo.Params(rounds=500, num_leaves=8, max_depth=4, patience=10)
     models = fit.fit([bo.Spec(params, order=o, features=own[o]) for o in ORDERS])
     return bo.scored(df, binner, [m.best for m in models]).select("id", "y", "p")
