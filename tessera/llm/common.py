@@ -51,6 +51,14 @@ def bounded_labelled_ids(labels: DataFrame, id_col: str, label_col: str, is_held
     return least_of(rated, order, rows).orderBy(order_key(order), "_id").limit(rows)
 
 
+def one_text_per_id(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(_id, _text, _y)`` of the sampled ids: of rows that share an id the text of least hash, so no more rows than ids."""
+    texts = docs.select(q(id_col).alias("_id"), q(text_col).alias("_text"))
+    least = F.struct(F.xxhash64("_text"), F.col("_text"))
+    # broadcast: a bounded number of pairs of numbers
+    return texts.join(F.broadcast(ids), "_id").groupBy("_id", "_y").agg(F.min_by("_text", least).alias("_text"))
+
+
 HASH_BITS = 31
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship_package
-from .common import bounded_labelled_ids, q
+from .common import bounded_labelled_ids, one_text_per_id, q
 
 # Insults with no harmless everyday sense, English.
 INSULTS = ["idiot", "moron", "imbecile", "scum", "stupid", "pathetic", "worthless", "disgusting", "loser"]
@@ -133,7 +133,7 @@ def features(lexicon: Lexicon, text: str | None) -> tuple[float, float, float]:
     if not found:
         return 0.0, 0.0, 0.0
     total = sum(w for _, _, w in found)
-    words = folded.count(" ") + 1
+    words = len(folded.split())
     return float(np.log1p(total)), max(w for _, _, w in found), float(np.log1p(100 * total / words))
 
 
@@ -246,18 +246,18 @@ def fit_toxicity(
 
     The bound makes everything that reaches the driver bounded: the sampled ids, the
     ``max_candidates`` strongest tokens and, of each sampled text, which of them it
-    holds.  Near-copies among the sampled texts (equal least shingle hash) count once.
+    holds.  Rows that share an id count as one (the text of least hash), and so do
+    near-copies among the sampled texts (equal least shingle hash); null ids have no label.
     Without labelled rows, or with one class only, the fixed insults score alone.
     """
     spark = docs.sparkSession
     ship_package(spark)
     scratch = Scratch(spark)
     ids = bounded_labelled_ids(labels, id_col, label_col, is_held_out, sample_rows)
-    texts = docs.select(q(id_col).alias("_id"), q(text_col).alias("_text")).join(F.broadcast(ids), "_id")
-    # broadcast: at most sample_rows pairs of numbers
-    sample = scratch.save(
-        texts.withColumn("_key", _least_shingle(F.col("_text"))).dropDuplicates(["_key"]).select("_text", "_y"), "sample"
-    )
+    texts = one_text_per_id(docs, ids, id_col, text_col).withColumn("_key", _least_shingle(F.col("_text")))
+    # of near-copies the one of least label and text hash, whatever the partitioning
+    first = F.min_by(F.struct("_text", "_y"), F.struct("_y", F.xxhash64("_text"), "_text")).alias("first")
+    sample = scratch.save(texts.groupBy("_key").agg(first).select("first._text", "first._y"), "sample")
     share = sample.agg(F.avg("_y")).first()[0]
     weights = {word: 4.0 for word in INSULTS}
     if share is None or share in (0.0, 1.0):

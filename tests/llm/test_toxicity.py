@@ -58,3 +58,21 @@ def test_without_labels_or_rows_the_fixed_list_scores(spark):
     assert low < 0.3 <= high
     one = spark.createDataFrame([(1, 0), (None, 1), (2, None)], "doc_id long, toxic int")
     assert tx.fit_toxicity(spark.createDataFrame([(1, "a", 0.0, 0)], DOCS), one, crc_fold(4, 2)).scores(["a"])[0] < 0.3
+
+
+def test_the_model_does_not_depend_on_the_partitioning(spark):
+    """Near-copies with different labels, ids with several rows, null ids."""
+    rows, labels = corpus(spark, 300)
+    copies = [(i + 10_000, *r) for i, *r in rows] + rows[:50] + [(None, *r[1:]) for r in rows]
+    more = spark.createDataFrame(rows + copies, DOCS)
+    both = spark.createDataFrame(labels + [(i + 10_000, 1 - y) for i, y in labels], "doc_id long, toxic int")
+    models = [tx.fit_toxicity(more.repartition(n), both.repartition(n), crc_fold(4, 2), sample_rows=250) for n in (1, 5, 8)]
+    for m in models[1:]:
+        assert m.lexicon.weights == models[0].lexicon.weights and (m.coefficients == models[0].coefficients).all()
+
+
+def test_length_is_the_number_of_words():
+    lexicon = tx.Lexicon({"trash": 2.0})
+    words = ["trash", *["calm"] * 30]
+    spaced, lined = (tx.features(lexicon, sep.join(words)) for sep in (" ", "\n"))
+    assert spaced == lined == tx.features(lexicon, "  \n ".join(words))
