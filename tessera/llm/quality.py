@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship_package
-from .common import bounded_labelled_ids, q
+from .common import bounded_labelled_ids, one_text_per_id, q
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|\n")
 CAPITALS, CAPITAL, REPEAT, LINE = "<capitals>", "<capital>", "<repeat>", "<line>"
@@ -82,7 +82,8 @@ class WordVectors:
 
     def rows(self, words: list[str]) -> np.ndarray:
         get, first, n = self.row_of.get, len(self.matrix), self.buckets
-        return np.array([r if (r := get(w)) is not None else first + len(w) % n for w in words], dtype=np.int64)
+        digest = xxhash.xxh64_intdigest
+        return np.array([r if (r := get(w)) is not None else first + digest(w) % n for w in words], dtype=np.int64)
 
     def pooled(self, text: str | None) -> np.ndarray:
         """The text's features."""
@@ -252,15 +253,15 @@ def fit_quality(
     """The model, from at most ``sample_rows`` labelled rows outside the held-out fold.
 
     The driver receives the vocabulary, its vectors and one row of features for each
-    sampled text, all bounded by the parameters.  Without labelled rows every score is
+    sampled text, all bounded by the parameters; rows that share an id count as one (the
+    text of least hash), null ids have no label.  Without labelled rows every score is
     0.5; with one class only, that class's share.
     """
     spark = docs.sparkSession
     ship_package(spark)
     scratch = Scratch(spark)
     ids = bounded_labelled_ids(labels, id_col, label_col, is_held_out, sample_rows)
-    texts = docs.select(q(id_col).alias("_id"), q(text_col).alias("_text")).join(F.broadcast(ids), "_id")
-    # broadcast: at most sample_rows pairs of numbers
+    texts = one_text_per_id(docs, ids, id_col, text_col).select("_id", "_text", "_y")
     sample = scratch.save(texts.repartition(SAMPLE_PARTS, "_id"), "sample")
     share = sample.agg(F.avg("_y")).first()[0]
     if share is None or share in (0.0, 1.0):

@@ -40,3 +40,25 @@ def test_temperature_is_chosen_on_rows_kept_out():
     net = ql.train_network(x, y)
     p = net.probabilities(x)
     assert ((p > 0.5) == (y == 1)).mean() > 0.85 and net.temperature > 0
+
+
+def test_unseen_words_have_vectors_of_their_own(spark):
+    docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
+    model = ql.fit_quality(docs, labels, crc_fold(3, 1), sample_rows=200)
+    words = ["alphq", "omegq", "kappq", "sigmq"]
+    assert len(set(model.vectors.rows(words).tolist())) == 4
+
+
+def test_rows_that_share_an_id_count_once(spark):
+    from tessera.llm.common import bounded_labelled_ids, one_text_per_id
+
+    rows = [(1 + i % 2, f"text {i}", "x", i) for i in range(400)] + [(None, "t", "x", 0), (3, None, "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text string, _y int")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (None, 1)], "doc_id long, quality int")
+    ids = bounded_labelled_ids(labels, "doc_id", "quality", lambda c: c < 0, 10)
+    got = [sorted(map(tuple, one_text_per_id(docs.repartition(n), ids, "doc_id", "text").select("_id", "_y", "_text").collect())) for n in (1, 7)]
+    assert [r[:2] for r in got[0]] == [(1, 0), (2, 1), (3, 1)] and got[0] == got[1]
+    model = ql.fit_quality(docs, labels, lambda c: c < 0)
+    assert ((model.scores(["a", None]) >= 0) & (model.scores(["a", None]) <= 1)).all()
+    empty = docs.limit(0)
+    assert list(ql.fit_quality(empty, labels, lambda c: c < 0).scores(["a"])) == [0.5]
