@@ -38,21 +38,25 @@ def _register(name: str, sql: str | None = None):
 
 @_register("op1_mix")
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of the sources takes of each document, beside the source's target."""
     return mix_counts(read_table(spark, sf_dir, "documents"))
 
 
 @_register("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's fingerprint and the least doc_id of its near-duplicates; one row per row, null ids and repeated rows included."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 @_register("op3_pii")
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data under pseudonyms, and how much of each kind it held; null texts stay null."""
     return pii_report(read_table(spark, sf_dir, "documents"), key="registered-query")
 
 
 @_register("op4_ann")
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th one; vectors that are null, zero or not finite take no part."""
     return nearest(read_table(spark, sf_dir, "embeddings"), lambda c: c % 20 == 0)
 
 
@@ -85,6 +89,7 @@ FROM t LEFT JOIN byd ON t.doc_id = byd.doc_id"""
 
 @_register("op5_secrets", _secrets_sql())
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text, by kind and span; a null text is an empty one, equal rows have equal spans."""
     found = secret_scan(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
@@ -111,6 +116,7 @@ FROM marked GROUP BY doc_id
 
 @_register("op6_line_dedup", _LINES_SQL)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before and after frequent ones are dropped; a null or empty text is one empty line."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     all_, kept = added_columns(docs)
     n, left = F.size(all_).cast("bigint"), F.size(kept).cast("bigint")
@@ -124,6 +130,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op7_licences")
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences found in every text, with their spans; a null or empty text has none."""
     found = licence_scan(read_table(spark, sf_dir, "documents"))
     spans = F.transform("found", lambda f: F.concat_ws(":", f["family"], f["start"].cast("string"), f["end"].cast("string")))
     best = F.array_max(F.transform("found", lambda f: F.struct(f["probability"], f["family"])))
@@ -135,6 +142,7 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by a model of labelled rows outside the held-out fold; null and empty texts score as clean ones."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = crc_fold(4, 2)
     model = fit_toxicity(docs, labels, held_out)
@@ -149,6 +157,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by a model of labelled rows outside the held-out fold; null and empty texts are scored alike."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = crc_fold(3, 1)
     model = fit_quality(docs, labels, held_out)
@@ -163,6 +172,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item, with the item and its score; empty tables give no rows."""
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
