@@ -1,10 +1,11 @@
 """Phrase collocations: fixed word sequences that occur together more often than apart.
 
-Counts of n-grams are held by weighted acyclic automata (``automata.CountAutomaton``).  For
-each length from 1 to ``longest`` words:
+Counts of n-grams are held by weighted acyclic automata (``automata.CountAutomaton``).  Texts
+are first written as streams of word numbers, of a bounded number of words of one language
+each, with a dictionary of their own.  Then, for each length from 1 to ``longest`` words:
 
-1. each task counts the n-grams of a bounded number of words and builds an automaton from
-   every run of sorted n-grams (``runs``);
+1. each task counts a stream's n-grams and builds an automaton from every run of sorted
+   n-grams (``runs``);
 2. prefix ranges of about ``range_grams`` n-grams are chosen from a sample of the runs (the
    sample shapes the ranges only); runs are cut at their ends;
 3. the pieces of a range are united, equal n-grams' counts summed, and n-grams below
@@ -89,77 +90,86 @@ def _holds(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-class _Counter:
-    """Counts the n-grams of some texts of one language."""
-
-    def __init__(self, lang: str, n: int, tables: list[np.ndarray], bits: int):
-        self.lang, self.n, self.tables, self.bits = lang, n, tables, bits
-        self.numbers, self.texts = _Numbers(), []
-
-    def add(self, text: str | None) -> int:
-        parts = (text or "").encode().translate(_TO_WORDS).replace(b"\n", b" \n ").split(b" ")
-        parts.append(b"\n")
-        ids = np.fromiter(map(self.numbers.__getitem__, parts), dtype=np.int32, count=len(parts))
-        self.texts.append(ids[ids > 0])
-        return len(parts)
-
-    def counted(self) -> tuple[list[bytes], np.ndarray, np.ndarray, int]:
-        """Words in byte order, distinct sorted n-grams, their counts, and the number of words."""
-        stream = np.concatenate(self.texts) if self.texts else np.zeros(0, np.int32)
-        total = int((stream > 1).sum())
-        found = list(self.numbers)[2:]
-        hashes = word_hashes(self.lang, found) if self.tables else np.zeros(len(found), np.uint64)
-        kept = _holds(self.tables[0], hashes, self.bits) if self.tables else np.ones(len(found), dtype=bool)
-        places = sorted(np.flatnonzero(kept).tolist(), key=found.__getitem__)
-        label = np.full(len(found) + 2, -1, dtype=np.int64)
-        label[np.array(places, dtype=np.int64) + 2] = np.arange(len(places))
-        hashed = np.concatenate([np.zeros(2, np.uint64), hashes])
-        stream, n = stream.astype(np.int64), self.n
-        starts = np.flatnonzero(label[stream] >= 0)
-        for k in range(1, n):
-            starts = starts[starts < len(stream) - k]
-            starts = starts[label[stream[starts + k]] >= 0]
-        if n > 2:  # both parts of one word less must be frequent
-            for shift in (0, 1):
-                part = gram_hashes([hashed[stream[starts + shift + k]] for k in range(n - 1)])
-                starts = starts[_holds(self.tables[1], part, self.bits)]
-        rows = np.stack([label[stream[starts + k]] for k in range(n)], axis=1)
-        rows, counts = summed(rows, np.ones(len(rows), np.int64), len(places) + 1)
-        return [found[i] for i in places], rows, counts, total
-
-
-def _runs(docs: DataFrame, n: int, tables: list, bits: int, flush_words: int, run_grams: int) -> DataFrame:
-    """Automata of the n-grams counted in each task, ``run_grams`` sorted n-grams each."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-
-    def flushed(counters):
-        out = []
-        for lang, counter in counters.items():
-            words, rows, counts, total = counter.counted()
-            for i in range(0, max(len(rows), 1), run_grams):  # a run without n-grams still carries the words' number
-                run = CountAutomaton.build(words, rows[i : i + run_grams], counts[i : i + run_grams])
-                size = len(rows[i : i + run_grams])
-                step = max(1, -(-size // MARKS))
-                marks = [[words[w].decode() for w in row] for row in rows[i : i + size][step // 2 :: step].tolist()]
-                out.append((lang, marks, size, 0 if i else total, run.to_bytes()))
-        names = ["lang", "marks", "n", "total", "automaton"]
-        kinds = [pa.string(), pa.list_(pa.list_(pa.string())), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
+_STREAM = "lang string, words binary, ids binary"
 
-    def count(batches):
-        counters, size = {}, 0
+
+def _streams(docs: DataFrame, flush_words: int) -> DataFrame:
+    """Texts as numbers of words: a dictionary (joined by line feeds) and numbers; 1 ends a piece, words begin at 2."""
+
+    def flushed(parts):
+        langs = list(parts)
+        words = [b"\n".join(list(parts[lang][0])[2:]) for lang in langs]
+        ids = [np.concatenate(parts[lang][1]).tobytes() for lang in langs]
+        columns = [pa.array(langs, pa.string()), pa.array(words, pa.binary()), pa.array(ids, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "words", "ids"])
+
+    def encode(batches):
+        parts, size = {}, 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if lang not in counters:
-                    counters[lang] = _Counter(lang, n, shared.value, bits)
-                size += counters[lang].add(text.as_py())
+                numbers, found = parts.setdefault(lang, (_Numbers(), []))
+                words = (text.as_py() or "").encode().translate(_TO_WORDS).replace(b"\n", b" \n ").split(b" ")
+                words.append(b"\n")
+                ids = np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words))
+                found.append(ids[ids > 0])
+                size += len(words)
                 if size >= flush_words:
-                    yield flushed(counters)
-                    counters, size = {}, 0
-        if counters:
-            yield flushed(counters)
+                    yield flushed(parts)
+                    parts, size = {}, 0
+        if parts:
+            yield flushed(parts)
+
+    return docs.mapInArrow(encode, _STREAM)
+
+
+def _counted(lang: str, found: list[bytes], stream: np.ndarray, n: int, tables: list[np.ndarray], bits: int):
+    """Words in byte order, a stream's distinct sorted n-grams and their counts."""
+    hashes = word_hashes(lang, found) if tables else np.zeros(len(found), np.uint64)
+    kept = _holds(tables[0], hashes, bits) if tables else np.ones(len(found), dtype=bool)
+    places = sorted(np.flatnonzero(kept).tolist(), key=found.__getitem__)
+    label = np.full(len(found) + 2, -1, dtype=np.int64)
+    label[np.array(places, dtype=np.int64) + 2] = np.arange(len(places))
+    hashed = np.concatenate([np.zeros(2, np.uint64), hashes])
+    labels = label[stream]
+    starts = np.flatnonzero(labels >= 0)
+    for k in range(1, n):
+        starts = starts[starts < len(stream) - k]
+        starts = starts[labels[starts + k] >= 0]
+    if n > 2:  # both parts of one word less must be frequent
+        for shift in (0, 1):
+            part = gram_hashes([hashed[stream[starts + shift + k]] for k in range(n - 1)])
+            starts = starts[_holds(tables[1], part, bits)]
+    rows = np.stack([labels[starts + k] for k in range(n)], axis=1)
+    rows, counts = summed(rows, np.ones(len(rows), np.int64), len(places) + 1)
+    return [found[i] for i in places], rows, counts
+
+
+def _runs(streams: DataFrame, n: int, tables: list, bits: int, run_grams: int) -> DataFrame:
+    """Automata of each stream's n-grams, ``run_grams`` sorted n-grams each."""
+    shared = streams.sparkSession.sparkContext.broadcast(tables)
+
+    def count(batches):
+        for batch in batches:
+            for lang, words, ids in zip(*(batch.column(i) for i in range(3))):
+                stream = np.frombuffer(ids.as_buffer(), dtype=np.int32)
+                found = words.as_py().split(b"\n") if len(words.as_buffer()) else []
+                total = int((stream > 1).sum())
+                yield _as_runs(lang.as_py(), total, *_counted(lang.as_py(), found, stream, n, shared.value, bits), run_grams)
+
+    return streams.mapInArrow(count, _RUN)
+
 
-    return docs.mapInArrow(count, _RUN)
+def _as_runs(lang: str, total: int, words: list[bytes], rows: np.ndarray, counts: np.ndarray, run_grams: int) -> pa.RecordBatch:
+    out = []
+    for i in range(0, max(len(rows), 1), run_grams):  # a run without n-grams still carries the words' number
+        run = CountAutomaton.build(words, rows[i : i + run_grams], counts[i : i + run_grams])
+        size = len(rows[i : i + run_grams])
+        step = max(1, -(-size // MARKS))
+        marks = [[words[w].decode() for w in row] for row in rows[i : i + size][step // 2 :: step].tolist()]
+        out.append((lang, marks, size, 0 if i else total, run.to_bytes()))
+    names = ["lang", "marks", "n", "total", "automaton"]
+    kinds = [pa.string(), pa.list_(pa.list_(pa.string())), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
 
 
 def _tuple(words) -> tuple[bytes, ...]:
@@ -277,9 +287,10 @@ class PhraseCounts:
         texts = docs.select(F.coalesce(q(lang_col), F.lit("und")).alias("lang"), q(text_col).alias("text"))
         self.united: dict[int, DataFrame] = {}
         self.boundaries: dict[int, list[tuple]] = {}
+        streams = self.scratch.save(_streams(texts, flush_words), "streams")
         tables: list[np.ndarray] = []
         for n in range(1, longest + 1):
-            runs = self.scratch.save(_runs(texts, n, tables, filter_bits, flush_words, run_grams), f"runs-{n}")
+            runs = self.scratch.save(_runs(streams, n, tables, filter_bits, run_grams), f"runs-{n}")
             if n == 1:
                 self.totals = self.scratch.save(runs.groupBy("lang").agg(F.sum("total").alias("n")), "words")
             self.boundaries[n] = _boundaries(runs, range_grams)
@@ -288,6 +299,7 @@ class PhraseCounts:
             if n < longest:
                 # the words' table and the newest one
                 tables = [*tables[:1], _bit_table(self.united[n], filter_bits)]
+        self.scratch.drop(streams)
 
     def grams(self, n: int) -> DataFrame:
         """lang, words, a: all frequent n-grams of ``n`` words."""
