@@ -280,7 +280,7 @@ class PhraseCounts:
     """Counts of all n-grams of at least ``least`` occurrences, as automata by prefix range."""
 
     def __init__(self, docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4, least: int = 30,
-                 filter_bits: int = 26, flush_words: int = 4_000_000, run_grams: int = 1 << 18, range_grams: int = 1 << 18):
+                 filter_bits: int = 26, flush_words: int = 2_000_000, run_grams: int = 1 << 18, range_grams: int = 1 << 18):
         spark = docs.sparkSession
         ship_package(spark)
         self.longest, self.least, self.scratch = longest, least, Scratch(spark)
