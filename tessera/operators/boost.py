@@ -24,7 +24,10 @@ Shape of a fit:
   doubling size in that order, a tree's leaf sums are taken by block in one more pass, and a
   row moves by the values of all blocks before its own;
 * margins are written with the table every ``MARGIN_ROUNDS`` rounds, so tasks replay only the
-  trees since then, and a lost executor re-reads files.
+  trees since then, and a lost executor re-reads files.  A row of that table is a block of
+  many cases, as arrays;
+* a tree is replayed by bit masks: each feature's bin leaves some leaves open, the one open for
+  all features is the row's (:class:`Routes`).  Margins are only taken of rows that are summed.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +48,9 @@ from .metrics import grid_bucket
 from .ordered import running_sums
 
 SCALE = float(1 << 24)  # sums are whole numbers of 1 / SCALE
-MARGIN_ROUNDS = 25
-TASK_MARGINS = 200_000  # rows x models that are worth a task
+MARGIN_ROUNDS = 8
+TASK_MARGINS = 500_000  # rows x models that are worth a task
+BLOCK_ROWS = 1 << 14  # cases of a block; sums of hessians and row counts of one share a double (see ``_histogram``)
 MOST_SUMS = 20_000_000  # (model, leaf, feature, bin) sums in one pass
 MOST_BINS = 254
 BINS = "_bins"
@@ -76,8 +81,9 @@ class Binner:
         out = np.empty((len(columns[0]), len(self.features)), dtype=np.uint8)
         for i, (name, column) in enumerate(zip(self.features, columns)):
             if name in self.categories:
-                codes = {c: j for j, c in enumerate(self.categories[name])}
-                out[:, i] = [codes.get(x, len(codes)) for x in column.to_pylist()]  # an unknown category counts as missing
+                kinds = self.categories[name]
+                found = pc.index_in(column, value_set=pa.array(kinds, column.type), skip_nulls=True)
+                out[:, i] = found.fill_null(len(kinds)).to_numpy(zero_copy_only=False)  # an unknown category counts as missing
             else:
                 x = column.to_numpy(zero_copy_only=False).astype(np.float64)
                 bins = np.searchsorted(np.array(self.ends[name]), x, side="left")
@@ -194,19 +200,100 @@ class Ensemble:
     def best(self) -> Ensemble:
         return self.truncated(self.best_round)
 
-    def margins(self, bins: np.ndarray) -> np.ndarray:
-        return self.base + sum((t.scores(bins) for t in self.trees), np.zeros(len(bins)))
+    def margins(self, bins: np.ndarray, routes: Routes | None = None) -> np.ndarray:
+        return self.base + (routes or Routes(self.trees)).scores(codes_of(bins))
 
-    def staged(self, bins: np.ndarray) -> np.ndarray:
+    def staged(self, bins: np.ndarray, routes: Routes | None = None) -> np.ndarray:
         """Margins after 0, 1, ..., all trees (rows x rounds + 1)."""
-        steps = [np.zeros(len(bins)), *(t.scores(bins) for t in self.trees)]
+        steps = [np.zeros(len(bins)), *(routes or Routes(self.trees)).steps(codes_of(bins))]
         return self.base + np.cumsum(np.stack(steps, axis=1), axis=1)
 
 
+_SEQUENCE = np.uint64(0x03F79D71B4CB0A89)  # de Bruijn: its products with powers of two differ in their upper six bits
+
+
+class Routes:
+    """Trees laid out for many rows: the leaves that each bin of each feature leaves open, as bits.
+
+    As many trees as have 64 leaves together share a word; a tree of more leaves is walked node by node.
+    """
+
+    def __init__(self, trees: Sequence[Tree]):
+        self.packs: list[tuple] = []  # (words: features x bins, [(tree, shift, leaves, the node of each product)])
+        width = 1 + max((int(t.feature.max()) for t in trees), default=0)
+        taken = 64
+        for tree in trees:
+            ends = np.flatnonzero(tree.left < 0)
+            if len(ends) > 64:
+                self.packs.append((None, [(tree, 0, 0, None)]))
+                taken = 64
+                continue
+            if taken + len(ends) > 64:
+                self.packs.append((np.full((width, tree.goes_left.shape[1]), 2**64 - 1, dtype=np.uint64), []))
+                taken = 0
+            words, members = self.packs[-1]
+            under = [0] * len(tree.left)
+            for place, node in enumerate(ends.tolist()):
+                under[node] = 1 << (taken + place)
+            for node in range(len(under) - 1, -1, -1):  # children are numbered after their parent
+                if tree.left[node] >= 0:
+                    left, right = under[tree.left[node]], under[tree.right[node]]
+                    under[node] = left | right
+                    words[tree.feature[node]] &= np.where(tree.goes_left[node], np.uint64(~right & (2**64 - 1)), np.uint64(~left & (2**64 - 1)))
+            nodes = np.zeros(64, dtype=np.int64)
+            nodes[((np.uint64(1) << np.arange(len(ends), dtype=np.uint64)) * _SEQUENCE) >> np.uint64(58)] = ends
+            members.append((tree, taken, len(ends), nodes))
+            taken += len(ends)
+
+    def _found(self, codes: np.ndarray):
+        """(tree, the node of each product, the product of each row); without products the rows' leaves."""
+        for words, members in self.packs:
+            if words is None:
+                yield members[0][0], None, members[0][0].leaves(codes.T)
+                continue
+            open_leaves = words[0][codes[0]]
+            for f in range(1, len(words)):
+                open_leaves &= words[f][codes[f]]
+            for tree, shift, n, nodes in members:
+                one = (open_leaves >> np.uint64(shift)) & np.uint64(2**n - 1)
+                yield tree, nodes, ((one * _SEQUENCE) >> np.uint64(58)).view(np.int64)
+
+    def leaves(self, codes: np.ndarray):
+        """Each tree's leaves of the rows (``codes``: features x rows)."""
+        for _, nodes, at in self._found(codes):
+            yield at if nodes is None else nodes[at]
+
+    def steps(self, codes: np.ndarray, blocks: np.ndarray | None = None):
+        """Each tree's values of the rows; ``blocks`` as in :meth:`Tree.scores`."""
+        for tree, nodes, at in self._found(codes):
+            if tree.by_block is None or blocks is None:
+                yield tree.value[at] if nodes is None else tree.value[nodes][at]
+            else:
+                leaves = at if nodes is None else nodes[at]
+                yield np.where(blocks >= 0, tree.by_block[leaves, blocks], tree.value[leaves])
+
+    def scores(self, codes: np.ndarray, blocks: np.ndarray | None = None) -> np.ndarray:
+        return sum(self.steps(codes, blocks), np.zeros(codes.shape[1]))
+
+
+def codes_of(bins: np.ndarray) -> np.ndarray:
+    """Bins as features x rows, ready to index by."""
+    return np.ascontiguousarray(bins.T, dtype=np.intp)
+
+
+def flat_bytes(column: pa.Array) -> np.ndarray:
+    """All bytes of a binary column without nulls, in place."""
+    if not len(column):
+        return np.zeros(0, dtype=np.uint8)
+    _, ends, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(ends, dtype=kind)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, dtype=np.uint8)
+
+
 def bins_of(column: pa.Array, n_features: int) -> np.ndarray:
     """A binary column of bins as a matrix (rows x features)."""
-    flat = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8)
-    return flat.reshape(-1, n_features)
+    return flat_bytes(column).reshape(-1, n_features)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -442,7 +529,7 @@ class Boosting:
         orders = [None if s.order is None else (s.order, self._rows_of(s)) for s in specs]
         views = [(s.fold_out, o) for s, o in zip(specs, orders)]
         table = self._with_margins(self.rows, views, [(m.base, m.trees) for m in models], first=True)
-        recent: list[list[Tree]] = [[] for _ in specs]
+        recent: list[list[Tree]] = [[] for _ in specs]  # the trees that the written margins lack
         active, written, turn = [True] * len(specs), 0, 0
         while any(active):
             # one pass for the losses of the trees so far and the sums of every root
@@ -452,7 +539,7 @@ class Boosting:
                 if active[i]
             }
             roots = {i: (_stump(n_bins), [0]) for i in growing}
-            sums, losses = self._summed(table, specs, views, models, recent, roots, n_features, n_bins)
+            sums, losses = self._summed(table, specs, views, models, recent, roots, n_features, n_bins, with_losses=True)
             for i in list(growing):
                 self._note(models[i], losses[i])
                 growing[i].offer(0, sums[i][0])
@@ -538,35 +625,27 @@ class Boosting:
         return p.patience is not None and bool(model.valid_loss) and model.rounds - model.best_round >= p.patience
 
     def _with_margins(self, table: DataFrame, views: list[tuple], steps: list[tuple], first: bool = False) -> DataFrame:
-        """The table with every model's margins, moved on by base and trees, written."""
-        shared = self.spark.sparkContext.broadcast([(*v, *s) for v, s in zip(views, steps)])
+        """The table with every model's margins, moved on by base and trees, written in blocks of rows."""
+        shared = self.spark.sparkContext.broadcast([(*v, base, Routes(trees)) for v, (base, trees) in zip(views, steps)])
         n_features, n_models = len(self.binner.features), len(steps)
-        names = ["y", "key", "fold", "valid", "bins", "margins"]
 
         def move(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                bins = bins_of(batch.column(4), n_features)
-                margins = np.zeros((len(bins), n_models)) if first else _margins(batch.column(5), n_models)
-                keys, folds = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-                is_valid = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-                for m, (fold_out, order, base, trees) in enumerate(shared.value):
-                    blocks = _blocks(keys, _seen(folds, fold_out) & ~is_valid, order)
-                    margins[:, m] += base + sum((t.scores(bins, blocks) for t in trees), np.zeros(len(bins)))
-                column = pa.array([row.tobytes() for row in margins], pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns[:5], column], names)
+            for block in _packed(batches, n_features, shared.value) if first else _unpacked(batches, n_features, n_models):
+                for m, (_, _, base, routes) in enumerate(shared.value):
+                    block.margins[m] += base + routes.scores(block.codes, block.blocks_of(m))
+                yield block.record()
 
         if first:  # small tables in few tasks: a pass takes as long as starting them
             rows = sum(r["n"] for r in self._grouped())
             table = table.coalesce(max(1, -(-rows * n_models // TASK_MARGINS)))
-        out = table.mapInArrow(move, "y double, key long, fold int, valid boolean, bins binary, margins binary")
-        saved = self.scratch.save(out, "margins")
+        # not compressed: a task's share of the files is then as large in memory as on disk
+        saved = self.scratch.save(table.mapInArrow(move, _BLOCK), "margins", compression="none")
         shared.destroy()
         return saved
 
-    def _summed(self, table: DataFrame, specs, views, models, recent, requests: Mapping, n_features: int, n_bins: int, by_block: bool = False):
-        """Sums of the requested nodes of each model, and its losses, in one pass.
+    def _summed(self, table: DataFrame, specs, views, models, recent, requests: Mapping, n_features: int, n_bins: int, by_block: bool = False,
+                with_losses: bool = False):
+        """Sums of the requested nodes of each model, and (``with_losses``) its losses, in one pass.
 
         ``by_block``: by the rows' block instead of their features' bins.
         """
@@ -574,7 +653,10 @@ class Boosting:
         width = len(self.binner.features)
         for i, request in requests.items():
             p = specs[i].params
-            work.append((i, *views[i], recent[i], request[0], request[1], at, p.seed, models[i].rounds, p.row_fraction))
+            place = np.full(len(request[0].left), -1)
+            place[request[1]] = np.arange(len(request[1]))
+            work.append((i, views[i][0], Routes(recent[i]), Routes([request[0]]), place, len(request[1]), at, p.seed, models[i].rounds,
+                         p.row_fraction))
             at += len(request[1]) * n_features * n_bins
         if at > MOST_SUMS:
             raise ValueError(f"{at} sums in one pass: fewer models, leaves, features or bins are needed (limit {MOST_SUMS})")
@@ -584,31 +666,27 @@ class Boosting:
         def collect(batches):
             sums = np.zeros((slots, 3), dtype=np.int64)
             losses = np.zeros((n_models, 2, 2), dtype=np.int64)
-            offsets = np.arange(n_features) * n_bins
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                y = batch.column(0).to_numpy()
-                keys, folds = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-                is_valid = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-                bins, margins = bins_of(batch.column(4), width), _margins(batch.column(5), n_models)
-                for m, fold_out, order, trees, tree, nodes, begin, seed, turn, fraction in shared.value:
-                    seen = _seen(folds, fold_out)
-                    blocks = _blocks(keys, seen & ~is_valid, order)
-                    margin = margins[:, m] + sum((t.scores(bins, blocks) for t in trees), np.zeros(len(y)))
-                    loss = np.rint((np.logaddexp(0, margin) - y * margin) * SCALE).astype(np.int64)
-                    for kind, rows in enumerate((seen & ~is_valid, seen & is_valid)):
-                        losses[m, kind] += (loss[rows].sum(), rows.sum())
-                    place = np.full(len(tree.left), -1)
-                    place[nodes] = np.arange(len(nodes))
-                    place = place[tree.leaves(bins)]
-                    rows = seen & ~is_valid & (place >= 0) & _drawn(keys, seed, turn, fraction)
-                    p = sigmoid(margin[rows])
-                    value = blocks[rows, None] if by_block else bins[rows]
-                    slot = (place[rows, None] * (n_features * n_bins) + offsets + value).ravel()
-                    size = len(nodes) * n_features * n_bins
-                    for j, x in enumerate((np.rint((p - y[rows]) * SCALE), np.rint(p * (1 - p) * SCALE), np.ones(len(p)))):
-                        sums[begin : begin + size, j] += np.bincount(slot, np.repeat(x, n_features), size).astype(np.int64)
+            for block in _unpacked(batches, width, n_models):
+                for m, fold_out, routes, tree, place, n_nodes, begin, seed, turn, fraction in shared.value:
+                    trained, held = block.seen(fold_out)
+                    blocks = block.blocks_of(m)
+                    margin = None
+                    if with_losses:
+                        margin = block.margins[m] + routes.scores(block.codes, blocks)
+                        for kind, rows in enumerate((trained, held)):
+                            x, y = margin[rows], block.y[rows]
+                            loss = np.rint((np.logaddexp(0, x) - y * x) * SCALE).astype(np.int64)
+                            losses[m, kind] += (loss.sum(), len(loss))
+                    at = place[next(tree.leaves(block.codes))]
+                    rows = np.flatnonzero(trained & (at >= 0) & block.drawn(seed, turn, fraction))
+                    codes = block.codes[:, rows]
+                    if margin is None:
+                        margin = block.margins[m][rows] + routes.scores(codes, None if blocks is None else blocks[rows])
+                    else:
+                        margin = margin[rows]
+                    size = n_nodes * n_features * n_bins
+                    found = sums[begin : begin + size].reshape(n_nodes, n_features, n_bins, 3)
+                    found += _histogram(at[rows], blocks[None, rows] if by_block else codes, block.y[rows], sigmoid(margin), n_nodes, n_bins)
             used = np.flatnonzero(sums[:, 2])
             lost = losses.reshape(-1, 2)
             found = np.flatnonzero(lost[:, 1])
@@ -625,11 +703,95 @@ class Boosting:
         losses = np.zeros((n_models * 2, 2), dtype=np.int64)
         losses[-1 - slot[slot < 0]] = values[slot < 0][:, [0, 2]]
         out = {}
-        for i, _, _, _, _, nodes, begin, *_ in work:
-            out[i] = sums[begin : begin + len(nodes) * n_features * n_bins].reshape(len(nodes), n_features, n_bins, 3)
+        for i, _, _, _, _, n_nodes, begin, *_ in work:
+            out[i] = sums[begin : begin + n_nodes * n_features * n_bins].reshape(n_nodes, n_features, n_bins, 3)
         return out, losses.reshape(n_models, 2, 2)
 
 
+_BLOCK = "y binary, key binary, fold binary, valid binary, bins binary, margins binary, blocks binary"
+
+
+class _Block:
+    """Some rows as arrays: bins as features x rows, margins (and blocks of ordered models) as models x rows."""
+
+    def __init__(self, y, key, fold, valid, bins, margins, blocks):
+        self.y, self.key, self.fold, self.valid, self.bins, self.margins, self.blocks = y, key, fold, valid, bins, margins, blocks
+        self.codes = bins.astype(np.intp)
+        self._kept: dict = {}
+
+    def record(self) -> pa.RecordBatch:
+        parts = [self.y, self.key, self.fold, self.valid, self.bins, self.margins, self.blocks]
+        names = [c.split()[0] for c in _BLOCK.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names)
+
+    def blocks_of(self, m: int) -> np.ndarray | None:
+        """The block of each row in an ordered model; None for other models."""
+        return self.blocks[m].astype(np.int64) if len(self.blocks) and self.blocks[m, 0] != _UNORDERED else None
+
+    def seen(self, fold_out: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Training and validation rows of a model."""
+        if ("seen", fold_out) not in self._kept:
+            seen = _seen(self.fold, fold_out)
+            self._kept["seen", fold_out] = seen & ~self.valid, seen & self.valid
+        return self._kept["seen", fold_out]
+
+    def drawn(self, seed: int, turn: int, fraction: float) -> np.ndarray:
+        if (seed, turn, fraction) not in self._kept:
+            self._kept[seed, turn, fraction] = _drawn(self.key, seed, turn, fraction)
+        return self._kept[seed, turn, fraction]
+
+
+def _packed(batches, n_features: int, views):
+    """Blocks of rows, from batches of the written rows."""
+    held, size = [], 0
+
+    def block(parts):
+        y, key, fold, valid, bins = (np.concatenate(x) for x in zip(*parts))
+        ordered = [
+            np.full(len(y), _UNORDERED) if order is None else _blocks(key, _seen(fold, fold_out) & ~valid, order) for fold_out, order, *_ in views
+        ]
+        blocks = np.array(ordered if any(v[1] for v in views) else [], dtype=np.int8)
+        return _Block(y, key, fold, valid, np.ascontiguousarray(bins.T), np.zeros((len(views), len(y))), blocks)
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK_ROWS):
+            part = batch.slice(start, BLOCK_ROWS)
+            if size + part.num_rows > BLOCK_ROWS:
+                yield block(held)
+                held, size = [], 0
+            columns = [part.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            held.append((*columns[:3], columns[3].astype(bool), bins_of(part.column(4), n_features)))
+            size += part.num_rows
+    if held:
+        yield block(held)
+
+
+def _unpacked(batches, n_features: int, n_models: int):
+    """The blocks of the written table."""
+    kinds = [np.float64, np.int64, np.int32, bool, np.uint8, np.float64, np.int8]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            y, key, fold, valid, bins, margins, blocks = (np.frombuffer(c[i].as_buffer(), dtype=t) for c, t in zip(batch.columns, kinds))
+            yield _Block(y, key, fold, valid, bins.reshape(n_features, -1), margins.reshape(n_models, -1).copy(), blocks.reshape(-1, len(y)))
+
+
+def _histogram(place: np.ndarray, codes: np.ndarray, y: np.ndarray, p: np.ndarray, n_nodes: int, n_bins: int) -> np.ndarray:
+    """Sums (g, h, n) of at most ``BLOCK_ROWS`` rows by node, feature and bin.
+
+    Each h is at most a quarter of ``SCALE``, so the h of a block sum to less than 2 ** 37:
+    above that, the same double counts the rows.
+    """
+    g, h = np.rint((p - y) * SCALE), np.rint(p * (1 - p) * SCALE) + 2.0**37
+    out = np.empty((n_nodes, len(codes), n_bins, 3), dtype=np.int64)
+    start = place * n_bins
+    for f, code in enumerate(codes):
+        slot = start + code
+        out[:, f, :, 0] = np.bincount(slot, g, n_nodes * n_bins).reshape(n_nodes, n_bins)
+        both = np.bincount(slot, h, n_nodes * n_bins).astype(np.int64).reshape(n_nodes, n_bins)
+        out[:, f, :, 1], out[:, f, :, 2] = both & (2**37 - 1), both >> 37
+    return out
+
+
 def _stump(n_bins: int) -> Tree:
     """A tree that is one leaf of value 0."""
     one, zero = np.full(1, -1), np.zeros(1)
@@ -642,6 +804,7 @@ def _seen(folds: np.ndarray, fold_out: int | None) -> np.ndarray:
 
 #: Blocks of an ordered model: the first holds about 2 ** FIRST_BLOCK rows, each later one as many as all before it.
 BLOCKS, FIRST_BLOCK = 48, 4
+_UNORDERED = -2  # in place of the blocks of a model without order
 
 
 def row_order(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -661,35 +824,35 @@ def _blocks(keys: np.ndarray, trained: np.ndarray, order: tuple[int, int] | None
     return np.where(trained, np.clip(np.floor(place) - FIRST_BLOCK + 1, 0, BLOCKS - 1).astype(np.int64), -1)
 
 
-def _margins(column: pa.Array, n_models: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, n_models).copy()
+# ---------------------------------------------------------------- using models
 
 
-# ---------------------------------------------------------------- using models
+def _routed(models: Sequence[Ensemble]) -> list[tuple[Ensemble, Routes]]:
+    return [(m, Routes(m.trees)) for m in models]
 
 
 def scored(df: DataFrame, binner: Binner, models: Sequence[Ensemble], out: str = "p") -> DataFrame:
     """``df`` with the mean probability of ``models``."""
-    shared = df.sparkSession.sparkContext.broadcast(list(models))
+    shared = df.sparkSession.sparkContext.broadcast(_routed(models))
     n = len(binner.features)
 
     def score(bins: pa.Array) -> pa.Array:
         x = bins_of(bins, n)
-        return pa.array(np.mean([sigmoid(m.margins(x)) for m in shared.value], axis=0))
+        return pa.array(np.mean([sigmoid(m.margins(x, r)) for m, r in shared.value], axis=0))
 
     return binner.transform(df).withColumn(out, F.arrow_udf(score, "double")(BINS)).drop(BINS)
 
 
 def scored_out_of_fold(df: DataFrame, binner: Binner, models: Sequence[Ensemble], fold: str, out: str = "p") -> DataFrame:
     """Each row's probability by the model that did not see its fold; the mean of all for rows of no such fold."""
-    shared = df.sparkSession.sparkContext.broadcast(list(models))
+    shared = df.sparkSession.sparkContext.broadcast(_routed(models))
     n = len(binner.features)
 
     def score(bins: pa.Array, folds: pa.Array) -> pa.Array:
         x, own = bins_of(bins, n), folds.to_numpy(zero_copy_only=False)
-        p = np.stack([sigmoid(m.margins(x)) for m in shared.value])
+        p = np.stack([sigmoid(m.margins(x, r)) for m, r in shared.value])
         out = p.mean(axis=0)
-        for i, m in enumerate(shared.value):
+        for i, (m, _) in enumerate(shared.value):
             out[own == m.fold_out] = p[i][own == m.fold_out]
         return pa.array(out)
 
@@ -699,17 +862,17 @@ def scored_out_of_fold(df: DataFrame, binner: Binner, models: Sequence[Ensemble]
 
 def staged_losses(df: DataFrame, binner: Binner, models: Sequence[Ensemble], label: str) -> DataFrame:
     """(model, round, loss, n): the mean log loss of labelled rows after every number of trees, from one scan."""
-    shared = df.sparkSession.sparkContext.broadcast(list(models))
+    shared = df.sparkSession.sparkContext.broadcast(_routed(models))
     n = len(binner.features)
 
     def losses(batches):
-        total = [np.zeros(m.rounds + 1, dtype=np.int64) for m in shared.value]
+        total = [np.zeros(m.rounds + 1, dtype=np.int64) for m, _ in shared.value]
         rows = 0
         for batch in batches:
             y, x = batch.column(0).to_numpy()[:, None], bins_of(batch.column(1), n)
             rows += len(x)
-            for t, m in zip(total, shared.value):
-                margin = m.staged(x)
+            for t, (m, routes) in zip(total, shared.value):
+                margin = m.staged(x, routes)
                 t += np.rint((np.logaddexp(0, margin) - y * margin) * SCALE).astype(np.int64).sum(axis=0)
         which = np.repeat(np.arange(len(total)), [len(t) for t in total])
         at = np.concatenate([np.arange(len(t)) for t in total])
@@ -730,23 +893,23 @@ def staged_histogram(df: DataFrame, binner: Binner, trials: Sequence[Sequence[En
     its fold; a model that stopped before a round stays at its last.  Bucket b holds scores
     from b / 100 to below (b + 1) / 100 (the first all below, the last all from its start).
     """
-    shared = df.sparkSession.sparkContext.broadcast([list(ms) for ms in trials])
+    shared = df.sparkSession.sparkContext.broadcast([_routed(ms) for ms in trials])
     n, (lo, hi) = len(binner.features), grid
     width = hi - lo + 2
     cuts = np.arange(lo, hi + 1) / 100
 
     def count(batches):
-        longest = [max(m.rounds for m in ms) for ms in shared.value]
+        longest = [max(m.rounds for m, _ in ms) for ms in shared.value]
         at = [np.arange(0, r + every, every).clip(max=r) for r in longest]
         sums = [np.zeros((len(a), width, 2), dtype=np.int64) for a in at]
         for batch in batches:
             y, folds, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), bins_of(batch.column(2), n)
             for t, ms in enumerate(shared.value):
-                for m in ms:
+                for m, routes in ms:
                     own = folds == m.fold_out
                     if not own.any():
                         continue
-                    p = sigmoid(m.staged(x[own]))[:, at[t].clip(max=m.rounds)]
+                    p = sigmoid(m.staged(x[own], routes))[:, at[t].clip(max=m.rounds)]
                     bucket = np.searchsorted(cuts, p, side="right")
                     slot = (bucket + width * np.arange(len(at[t]))).ravel()
                     for j, weight in enumerate((np.ones(own.sum()), y[own])):

@@ -94,9 +94,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return os.path.join(self.root, f"{name}-{uuid.uuid4().hex}")
 
-    def save(self, df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def save(self, df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
         path = self.path(name)
-        writer = df.write.mode("error")
+        writer = df.write.mode("error").options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)

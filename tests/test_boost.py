@@ -292,3 +292,47 @@ def test_a_row_moves_by_rows_before_it_only(spark):
             want = -0.1 * (p - y)[before].sum() / (p * (1 - p))[before].sum() if before.any() else 0.0
             assert tree.by_block[leaf, block] == pytest.approx(want, abs=1e-5)
     assert order[last] == order.max() and (order >= 0).all()
+
+
+def test_routes_lead_to_the_trees_leaves():
+    rng = np.random.default_rng(3)
+    trees = []
+    for leaves in (1, 5, 16, 40, 64, 70):  # several in one word, one in a word, one too large for it
+        left, right, feature, ends = [-1], [-1], [0], [0]
+        while len(ends) < leaves:
+            node = ends.pop(rng.integers(len(ends)))
+            left[node], right[node], feature[node] = len(left), len(left) + 1, int(rng.integers(4))
+            ends += [left[node], right[node]]
+            left, right, feature = left + [-1, -1], right + [-1, -1], feature + [0, 0]
+        n = len(left)
+        parts = [np.array(feature), rng.random((n, 9)) < 0.5, np.array(left), np.array(right), rng.normal(size=n), np.zeros(n), np.zeros(n, int), np.zeros(n)]
+        trees.append(bo.Tree(*parts))
+    bins = rng.integers(0, 9, (500, 4)).astype(np.uint8)
+    routes = bo.Routes(trees)
+    for tree, found in zip(trees, routes.leaves(bo.codes_of(bins)), strict=True):
+        assert found.tolist() == tree.leaves(bins).tolist()
+    assert routes.scores(bo.codes_of(bins)).tolist() == sum((t.scores(bins) for t in trees), np.zeros(500)).tolist()
+
+
+def test_a_pass_reads_blocks_of_rows(planted, monkeypatch):
+    """The table of a fit has a row per block of cases, whatever their number."""
+    seen = []
+    save = bo.Boosting._with_margins
+    monkeypatch.setattr(bo.Boosting, "_with_margins", lambda *a, **k: seen.append(save(*a, **k)) or seen[-1])
+    planted[3].fit([bo.Spec(bo.Params(rounds=0))])
+    assert "blocks" in seen[0].columns
+
+
+def test_histogram_sums_are_exact():
+    rng = np.random.default_rng(5)
+    n = bo.BLOCK_ROWS
+    place, codes = rng.integers(0, 2, n), rng.integers(0, 3, (2, n))
+    y, p = np.zeros(n), np.full(n, 0.5)  # the greatest hessians
+    got = bo._histogram(place, codes, y, p, 2, 3)
+    for node in range(2):
+        for f in range(2):
+            for b in range(3):
+                rows = int(((place == node) & (codes[f] == b)).sum())
+                assert got[node, f, b].tolist() == [rows * 2**23, rows * 2**22, rows]
+    whole = bo._histogram(np.zeros(n, int), np.zeros((1, n), int), y, p, 1, 1)
+    assert whole.ravel().tolist() == [n * 2**23, n * 2**22, n]
