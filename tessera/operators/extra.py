@@ -7,7 +7,8 @@ All trees (of all folds) grow together over one written table.  A level takes tw
 2. rows and positives on the left of each of these thresholds; the node takes the feature
    whose threshold lowers the Gini impurity most.
 
-A pass assigns rows to nodes by replaying the trees so far, so nothing is kept per row.
+A pass assigns rows to nodes by replaying the trees so far, so nothing is kept per row.  A task
+sorts a tree's rows by node and gives one row per (tree, node, feature).
 Draws depend on the seed, tree, node and feature, and sums are whole numbers, so a seed gives
 the same trees in every partitioning.  The driver receives one row per (node, feature).
 """
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import Scratch, ship_package
 
 MOST_SUMS = 20_000_000  # (tree, node, feature) rows of one pass
+BLOCK_ROWS = 1 << 17  # rows that a tree takes together
 
 
 @dataclass
@@ -58,6 +60,50 @@ def _matrix(columns: Sequence[pa.Array]) -> np.ndarray:
     return np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in columns], axis=1)
 
 
+_JOIN = {"min": min, "max": max, "sum": lambda a, b: a + b}
+
+
+def _blocks(batches):
+    """Labels, folds and features of some ``BLOCK_ROWS`` rows at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.columns[2:])))
+        size += batch.num_rows
+        if size >= BLOCK_ROWS:
+            yield tuple(np.concatenate(x) for x in zip(*held))
+            held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def _accumulated(batches, work, per_batch, aggregates: dict[str, str]):
+    """``per_batch`` of each tree's nodes and their rows, a row per slot for the whole task."""
+    joins = [_JOIN[f] for f in aggregates.values()]
+    found: dict[int, list] = {}
+    for y, folds, x in _blocks(batches):
+        seen: dict[int | None, tuple] = {}
+        for tree, nodes in work:
+            if tree.fold_out not in seen:
+                rows = slice(None) if tree.fold_out is None else folds != tree.fold_out
+                seen[tree.fold_out] = x[rows], y[rows]
+            own, labels = seen[tree.fold_out]
+            leaf = tree.leaves(own)
+            # rows by leaf; short numbers are sorted in linear time
+            order = np.argsort(leaf.astype(np.uint16) if len(tree.left) < 1 << 16 else leaf, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(leaf, minlength=len(tree.left)))])
+            for node, entries in nodes.items():
+                here = order[ends[node] : ends[node + 1]]
+                if not len(here):
+                    continue
+                for slot, *values in per_batch(own[here], labels[here], entries):
+                    old = found.get(slot)
+                    found[slot] = values if old is None else [join(a, b) for join, a, b in zip(joins, old, values)]
+    kinds = [pa.int64() if f == "sum" else pa.float64() for f in aggregates.values()]
+    columns = list(zip(*found.values())) if found else [[] for _ in kinds]
+    arrays = [pa.array(list(found), pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds))]
+    yield pa.RecordBatch.from_arrays(arrays, ["slot", *aggregates])
+
+
 class _Levels:
     """The passes over the table."""
 
@@ -66,29 +112,9 @@ class _Levels:
 
     def _pass(self, trees: list[RandomTree], work: dict, per_batch, aggregates: dict[str, str]) -> dict[int, tuple]:
         """``per_batch`` of each tree and its rows, aggregated by slot."""
-        shared = self.spark.sparkContext.broadcast([(t, trees[t], nodes) for t, nodes in work.items()])
-        names = ["slot", *aggregates]
-        kinds = [pa.int64(), *(pa.float64() if f in ("min", "max") else pa.int64() for f in aggregates.values())]
-
-        def run(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                y, folds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                x = _matrix(batch.columns[2:])
-                found = []
-                for _, tree, nodes in shared.value:
-                    rows = np.ones(len(y), dtype=bool) if tree.fold_out is None else folds != tree.fold_out
-                    leaf = tree.leaves(x)
-                    for node, entries in nodes.items():
-                        here = rows & (leaf == node)
-                        if here.any():
-                            found += per_batch(x[here], y[here], entries)
-                columns = list(zip(*found)) if found else [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-        schema = ", ".join(f"{n} {'double' if k == pa.float64() else 'long'}" for n, k in zip(names, kinds))
-        parts = self.table.mapInArrow(run, schema)
+        shared = self.spark.sparkContext.broadcast([(trees[t], nodes) for t, nodes in work.items()])
+        schema = ", ".join(["slot long", *(f"{n} {'long' if f == 'sum' else 'double'}" for n, f in aggregates.items())])
+        parts = self.table.mapInArrow(lambda batches: _accumulated(batches, shared.value, per_batch, aggregates), schema)
         grouped = parts.groupBy("slot").agg(*[getattr(F, f)(n).alias(n) for n, f in aggregates.items()]).toArrow()
         shared.destroy()
         return {row[0]: row[1:] for row in zip(*(c.to_pylist() for c in grouped.columns))}

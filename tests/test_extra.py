@@ -58,3 +58,14 @@ def test_pure_and_constant_tables_stay_leaves(spark):
     flat = spark.createDataFrame([(i, 1.0, i % 2) for i in range(20)], "id long, a double, y int")
     tree = ex.fit_extra_trees(flat, ["a"], "y", 2, 3)[None][0]
     assert tree.left == [-1] and tree.probabilities(np.ones((2, 1))).tolist() == [0.5, 0.5]
+
+
+def test_a_task_gives_each_sum_once():
+    import pyarrow as pa
+
+    tree = ex.RandomTree(0, [0, 0, 0], [0.5, 0.0, 0.0], [1, -1, -1], [2, -1, -1], [6, 0, 0], [3, 0, 0])
+    rows = [([1, 0, 1], [0, 1, 2], [0.0, 0.25, 1.0]), ([0, 1], [1, 1], [0.5, np.nan])]
+    batches = [pa.RecordBatch.from_arrays([pa.array(y), pa.array(f, pa.int32()), pa.array(x)], ["y", "fold", "x0"]) for y, f, x in rows]
+    ranges = ex._accumulated(iter(batches), [(tree, {1: [(7, 0)], 2: [(8, 0)]})], lambda x, y, e: [(s, float(x[:, f].min()), int(y.sum())) for s, f in e], {"low": "min", "pos": "sum"})
+    (got,) = [b.to_pylist() for b in ranges]
+    assert [r["slot"] for r in got] == [7, 8] and got[0] == {"slot": 7, "low": 0.25, "pos": 0} and got[1]["pos"] == 2
