@@ -44,6 +44,8 @@ from .common import least_of, q
 SAMPLED_RUNS, MOST_RANGES = 2048, 100_000
 #: Sampled n-grams of a run.
 MARKS = 16
+#: N-grams whose parts a task looks up together.
+FILTERED = 1 << 17
 
 # A-Z becomes a-z, piece ends become line feeds, tabs become blanks.
 _TO_WORDS = bytes(
@@ -127,7 +129,7 @@ def _counted(lang: str, found: list[bytes], stream: np.ndarray, n: int, tables:
     hashes = word_hashes(lang, found) if tables else np.zeros(len(found), np.uint64)
     kept = _holds(tables[0], hashes, bits) if tables else np.ones(len(found), dtype=bool)
     places = sorted(np.flatnonzero(kept).tolist(), key=found.__getitem__)
-    label = np.full(len(found) + 2, -1, dtype=np.int64)
+    label = np.full(len(found) + 2, -1, dtype=np.int32)
     label[np.array(places, dtype=np.int64) + 2] = np.arange(len(places))
     hashed = np.concatenate([np.zeros(2, np.uint64), hashes])
     labels = label[stream]
@@ -137,9 +139,16 @@ def _counted(lang: str, found: list[bytes], stream: np.ndarray, n: int, tables:
         starts = starts[labels[starts + k] >= 0]
     if n > 2:  # both parts of one word less must be frequent
         for shift in (0, 1):
-            part = gram_hashes([hashed[stream[starts + shift + k]] for k in range(n - 1)])
-            starts = starts[_holds(tables[1], part, bits)]
-    rows = np.stack([labels[starts + k] for k in range(n)], axis=1)
+            kept = [np.zeros(0, dtype=starts.dtype)]
+            for i in range(0, len(starts), FILTERED):
+                some = starts[i : i + FILTERED]
+                part = gram_hashes([hashed[stream[some + shift + k]] for k in range(n - 1)])
+                kept.append(some[_holds(tables[1], part, bits)])
+            starts = np.concatenate(kept)
+    rows = np.empty((len(starts), n), dtype=np.int64)
+    for k in range(n):
+        rows[:, k] = labels[starts + k]
+    del labels, starts, hashed
     rows, counts = summed(rows, np.ones(len(rows), np.int64), len(places) + 1)
     return [found[i] for i in places], rows, counts
 

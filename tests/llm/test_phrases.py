@@ -118,3 +118,21 @@ def test_equal_states_are_shared():
     rows = np.array([(i, j) for i in range(100) for j in range(100, 110)])
     a = CountAutomaton.build([f"{i:03}".encode() for i in range(110)], rows, np.ones(len(rows), int), block=64)
     assert len(a.firsts[1]) - 1 == 1 and len(a.labels[1]) == 10
+
+
+def test_parts_are_looked_up_in_bounded_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from tessera.llm import phrases as ph
+
+    n, bits = 1_000_000, 12
+    words = [b"%d" % i for i in range(50)]
+    stream = np.random.default_rng(0).integers(2, 52, n).astype(np.int32)
+    full, none = np.full(1 << (bits - 6), 2**64 - 1, dtype=np.uint64), np.zeros(1 << (bits - 6), dtype=np.uint64)
+    tracemalloc.start()
+    assert len(ph._counted("en", words, stream, 4, [full, none], bits)[1]) == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * n
