@@ -19,3 +19,17 @@ def test_hash_fold_deterministic(spark):
     a = fo.hash_fold(df, "id", 5, 1).toPandas().sort_values("id")["fold"].tolist()
     b = fo.hash_fold(df, "id", 5, 1).toPandas().sort_values("id")["fold"].tolist()
     assert a == b and set(a) <= set(range(5))
+
+
+def test_stratified_fold_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(2000).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"))
+    out = fo.stratified_fold(df.mapInArrow(counted, "id long, y int"), "y", "id", 3, 42)
+    sizes = {(r["y"], r["fold"]): r["count"] for r in out.groupBy("y", "fold").count().collect()}
+    assert sorted(sizes.values()) == [222, 222, 223, 444, 444, 445] and seen.value == 2000

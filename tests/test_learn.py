@@ -192,3 +192,32 @@ def test_folds_are_read_alone(spark):
     part = ln.prepare(prep.drop("_features"), X, "y", fold="fold", keep=["id"])
     plan = part.where(F.col("fold") != 1)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(fold" in plan
+
+
+def test_categories_are_found_in_one_pass(spark):
+    import pytest
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("id", "cast(id % 2 AS int) AS y", "cast(id % 7 AS string) AS a", "cast(id % 3 AS int) AS b")
+    df = df.mapInArrow(counted, df.schema)
+    prep = ln.prepare(df, ["a", "b"], "y", categorical=["a", "b"])
+    assert seen.value == 2000  # the dictionaries' pass and the written one
+    rows = {(r["a"], r["b"]): tuple(r[ln.FEATURES].toArray()) for r in prep.select("a", "b", ln.FEATURES).collect()}
+    assert rows["6", 2] == (6.0, 2.0) and ln._categories(prep) == 7
+    with pytest.raises(ValueError, match="categories"):
+        ln.prepare(df, ["a", "b"], "y", categorical=["a", "b"], max_categories=5)
+
+
+def test_fewer_fits_at_once_on_more_rows(spark, monkeypatch):
+    prep = spark.range(100).selectExpr("id", "if(id < 60, 1.0, null) AS y")
+    assert ln._fits_at_once(prep, "y", None) == 8
+    monkeypatch.setattr(ln, "ROWS_AT_ONCE", 150)
+    assert ln._fits_at_once(prep, "y", None) == 2 and ln._fits_at_once(prep, "y", 5) == 5
+    monkeypatch.setattr(ln, "ROWS_AT_ONCE", 10)
+    assert ln._fits_at_once(prep, "y", None) == 1
