@@ -133,7 +133,7 @@ def _counted(lang: str, found: list[bytes], stream: np.ndarray, n: int, tables:
     label[np.array(places, dtype=np.int64) + 2] = np.arange(len(places))
     hashed = np.concatenate([np.zeros(2, np.uint64), hashes])
     labels = label[stream]
-    starts = np.flatnonzero(labels >= 0)
+    starts = np.flatnonzero(labels >= 0).astype(np.int32)
     for k in range(1, n):
         starts = starts[starts < len(stream) - k]
         starts = starts[labels[starts + k] >= 0]
@@ -145,10 +145,10 @@ def _counted(lang: str, found: list[bytes], stream: np.ndarray, n: int, tables:
                 part = gram_hashes([hashed[stream[some + shift + k]] for k in range(n - 1)])
                 kept.append(some[_holds(tables[1], part, bits)])
             starts = np.concatenate(kept)
-    rows = np.empty((len(starts), n), dtype=np.int64)
+    rows = np.empty((len(starts), n), dtype=np.int32)
     for k in range(n):
         rows[:, k] = labels[starts + k]
-    del labels, starts, hashed
+    del labels, starts, hashed, hashes, label
     rows, counts = summed(rows, np.ones(len(rows), np.int64), len(places) + 1)
     return [found[i] for i in places], rows, counts
 
@@ -208,27 +208,26 @@ def _pieces(runs: DataFrame, boundaries: list[tuple]) -> DataFrame:
     def cut(batches):
         ends = shared.value
         for batch in batches:
-            parts, langs, data = [], [], []
-            for lang, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                run = CountAutomaton.from_bytes(blob)
+            for lang, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                run = CountAutomaton.from_bytes(blob.as_py())
                 if not run.words:
                     continue
                 rows, _ = run.listed()
                 first, last = ((lang, run.grams(rows[i : i + 1])[0]) for i in (0, len(rows) - 1))
                 at, upto = bisect_right(ends, first), bisect_right(ends, last)
                 if at == upto:
-                    pieces = [blob]
+                    pieces = [blob.as_py()]
                 else:
                     gram = lambda i, run=run, rows=rows: run.grams(rows[i : i + 1])[0]
                     places = [bisect_left(range(len(rows)), g, key=gram) for _, g in ends[at:upto]]
                     pieces = [a.to_bytes() if a.words else None for a in run.cut(places)]
-                for i, piece in enumerate(pieces):
-                    if piece is not None:
-                        parts.append(at + i)
-                        langs.append(lang)
-                        data.append(piece)
-            columns = [pa.array(parts, pa.int32()), pa.array(langs, pa.string()), pa.array(data, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "lang", "automaton"])
+                kept = [i for i, piece in enumerate(pieces) if piece is not None]
+                columns = [
+                    pa.array([at + i for i in kept], pa.int32()),
+                    pa.array([lang] * len(kept), pa.string()),
+                    pa.array([pieces[i] for i in kept], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "lang", "automaton"])  # a run at a time
 
     return runs.select("lang", "automaton").mapInArrow(cut, _PIECE)
 
@@ -247,21 +246,19 @@ def _bit_table(united: DataFrame, bits: int) -> np.ndarray:
     """The bit table of all n-grams of the automata: ORed in Spark, at most 2 ** bits / 64 numbers."""
 
     def set_bits(batches):
+        slots = np.zeros(1 << (bits - 6), dtype=np.uint64)
         for batch in batches:
-            slots = {}
-            for lang, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                a = CountAutomaton.from_bytes(blob)
+            for lang, blob in zip(batch.column(1).to_pylist(), batch.column(2)):
+                a = CountAutomaton.from_bytes(blob.as_py())
                 rows, _ = a.listed()
                 hashes = word_hashes(lang, a.words)
                 for at in _probes(gram_hashes([hashes[c] for c in rows.T]), bits):
                     at = np.unique(at)
                     first = np.flatnonzero(np.diff(at >> 6, prepend=-1))
                     ones = np.uint64(1) << (at & 63).astype(np.uint64)
-                    found = np.bitwise_or.reduceat(ones, first) if len(at) else ones
-                    for slot, value in zip((at[first] >> 6).tolist(), found.tolist()):
-                        slots[slot] = slots.get(slot, 0) | value
-            values = np.array(list(slots.values()), dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(slots), pa.int64()), pa.array(values)], ["slot", "ones"])
+                    slots[at[first] >> 6] |= np.bitwise_or.reduceat(ones, first) if len(at) else ones
+        held = np.flatnonzero(slots)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(slots[held].view(np.int64))], ["slot", "ones"])
 
     found = united.mapInArrow(set_bits, "slot long, ones long").groupBy("slot").agg(F.expr("bit_or(ones)").alias("ones")).toArrow()
     table = np.zeros(1 << (bits - 6), dtype=np.uint64)
@@ -274,8 +271,8 @@ def _listed(united: DataFrame) -> DataFrame:
 
     def list_grams(batches):
         for batch in batches:
-            for lang, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                a = CountAutomaton.from_bytes(blob)
+            for lang, blob in zip(batch.column(1).to_pylist(), batch.column(2)):
+                a = CountAutomaton.from_bytes(blob.as_py())
                 rows, counts = a.listed()
                 words = pa.array([w.decode() for w in a.words], pa.string()).take(pa.array(rows.ravel()))
                 ends = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())

@@ -136,3 +136,11 @@ def test_parts_are_looked_up_in_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 40 * n
+
+
+def test_counted_ngrams_take_four_bytes_a_word():
+    from tessera.llm.phrases import _counted
+
+    words, rows, counts = _counted("en", [b"b", b"a"], np.array([3, 2, 3, 2, 1], dtype=np.int32), 2, [], 26)
+    assert rows.dtype == np.int32
+    assert words == [b"a", b"b"] and rows.tolist() == [[0, 1], [1, 0]] and counts.tolist() == [2, 1]
