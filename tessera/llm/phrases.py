@@ -28,6 +28,7 @@ task.  Ties in score and count rank by the phrase's UTF-8 bytes.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -51,6 +52,14 @@ FILTERED = 1 << 17
 _TO_WORDS = bytes(
     c + 32 if 65 <= c <= 90 else 10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256)
 )
+#: Rows of these tables hold up to megabytes: row groups end at 8 MB, asked after each row (Parquet's own default is every
+#: 100 rows), so that neither a writer nor a reader's batch holds a whole file; such values don't repeat.
+_WIDE_ROWS = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+    "parquet.enable.dictionary": "false",
+}
 _RUN = "lang string, marks array<array<string>>, n long, total long, automaton binary"
 _PIECE = "part int, lang string, automaton binary"
 _GRAMS = "lang string, words array<string>, a long"
@@ -163,22 +172,21 @@ def _runs(streams: DataFrame, n: int, tables: list, bits: int, run_grams: int) -
                 stream = np.frombuffer(ids.as_buffer(), dtype=np.int32)
                 found = words.as_py().split(b"\n") if len(words.as_buffer()) else []
                 total = int((stream > 1).sum())
-                yield _as_runs(lang.as_py(), total, *_counted(lang.as_py(), found, stream, n, shared.value, bits), run_grams)
+                yield from _as_runs(lang.as_py(), total, *_counted(lang.as_py(), found, stream, n, shared.value, bits), run_grams)
 
     return streams.mapInArrow(count, _RUN)
 
 
-def _as_runs(lang: str, total: int, words: list[bytes], rows: np.ndarray, counts: np.ndarray, run_grams: int) -> pa.RecordBatch:
-    out = []
+def _as_runs(lang: str, total: int, words: list[bytes], rows: np.ndarray, counts: np.ndarray, run_grams: int) -> Iterator[pa.RecordBatch]:
+    names = ["lang", "marks", "n", "total", "automaton"]
+    kinds = [pa.string(), pa.list_(pa.list_(pa.string())), pa.int64(), pa.int64(), pa.binary()]
     for i in range(0, max(len(rows), 1), run_grams):  # a run without n-grams still carries the words' number
-        run = CountAutomaton.build(words, rows[i : i + run_grams], counts[i : i + run_grams])
+        run = CountAutomaton.build(words, rows[i : i + run_grams], counts[i : i + run_grams]).to_bytes()
         size = len(rows[i : i + run_grams])
         step = max(1, -(-size // MARKS))
         marks = [[words[w].decode() for w in row] for row in rows[i : i + size][step // 2 :: step].tolist()]
-        out.append((lang, marks, size, 0 if i else total, run.to_bytes()))
-    names = ["lang", "marks", "n", "total", "automaton"]
-    kinds = [pa.string(), pa.list_(pa.list_(pa.string())), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
+        values = (lang, marks, size, 0 if i else total, run)
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names)  # a run at a time
 
 
 def _tuple(words) -> tuple[bytes, ...]:
@@ -286,21 +294,21 @@ class PhraseCounts:
     """Counts of all n-grams of at least ``least`` occurrences, as automata by prefix range."""
 
     def __init__(self, docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4, least: int = 30,
-                 filter_bits: int = 26, flush_words: int = 2_000_000, run_grams: int = 1 << 18, range_grams: int = 1 << 18):
+                 filter_bits: int = 26, flush_words: int = 2_000_000, run_grams: int = 1 << 16, range_grams: int = 1 << 17):
         spark = docs.sparkSession
         ship_package(spark)
         self.longest, self.least, self.scratch = longest, least, Scratch(spark)
         texts = docs.select(F.coalesce(q(lang_col), F.lit("und")).alias("lang"), q(text_col).alias("text"))
         self.united: dict[int, DataFrame] = {}
         self.boundaries: dict[int, list[tuple]] = {}
-        streams = self.scratch.save(_streams(texts, flush_words), "streams")
+        streams = self.scratch.save(_streams(texts, flush_words), "streams", **_WIDE_ROWS)
         tables: list[np.ndarray] = []
         for n in range(1, longest + 1):
-            runs = self.scratch.save(_runs(streams, n, tables, filter_bits, run_grams), f"runs-{n}")
+            runs = self.scratch.save(_runs(streams, n, tables, filter_bits, run_grams), f"runs-{n}", **_WIDE_ROWS)
             if n == 1:
                 self.totals = self.scratch.save(runs.groupBy("lang").agg(F.sum("total").alias("n")), "words")
             self.boundaries[n] = _boundaries(runs, range_grams)
-            self.united[n] = self.scratch.save(_united(_pieces(runs, self.boundaries[n]), least), f"counts-{n}")
+            self.united[n] = self.scratch.save(_united(_pieces(runs, self.boundaries[n]), least), f"counts-{n}", **_WIDE_ROWS)
             self.scratch.drop(runs)
             if n < longest:
                 # the words' table and the newest one

@@ -144,3 +144,31 @@ def test_counted_ngrams_take_four_bytes_a_word():
     words, rows, counts = _counted("en", [b"b", b"a"], np.array([3, 2, 3, 2, 1], dtype=np.int32), 2, [], 26)
     assert rows.dtype == np.int32
     assert words == [b"a", b"b"] and rows.tolist() == [[0, 1], [1, 0]] and counts.tolist() == [2, 1]
+
+
+def test_wide_rows_are_written_in_small_row_groups(spark, monkeypatch):
+    """Automata and streams of megabytes: neither a writer nor a reader holds a whole file of them."""
+    import pyarrow.parquet as pq
+
+    groups = []
+
+    class Kept(ph.Scratch):
+        def save(self, df, name="table", *args, **options):
+            out = super().save(df, name, *args, **options)
+            for path in out.inputFiles() if name.startswith(("streams", "runs", "counts")) else []:
+                meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+                groups.extend(meta.row_group(i).num_rows for i in range(meta.num_row_groups))
+            return out
+
+    monkeypatch.setattr(ph, "Scratch", Kept)
+    monkeypatch.setattr(ph, "_WIDE_ROWS", {**ph._WIDE_ROWS, "parquet.block.size": "1"})
+    rows = corpus()
+    assert found(spark, rows, least=3, top=50, flush_words=300, run_grams=40, range_grams=50) == brute(rows, 3, 50)
+    assert len(groups) > 50 and max(groups) == 1
+
+
+def test_runs_leave_a_task_one_at_a_time():
+    rows = np.array([(i, i + 1) for i in range(10)], dtype=np.int32)
+    batches = list(ph._as_runs("en", 11, [b"%02d" % i for i in range(11)], rows, np.ones(10, np.int64), 4))
+    assert [b.num_rows for b in batches] == [1, 1, 1]
+    assert [b.column(2)[0].as_py() for b in batches] == [4, 4, 2] and [b.column(3)[0].as_py() for b in batches] == [11, 0, 0]
