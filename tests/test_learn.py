@@ -174,6 +174,16 @@ def test_stack_averages_its_seeds(spark):
     assert coef.count() == 3 and oof.count() == prep.where(F.col("y").isNotNull()).count()
 
 
+def test_stack_fits_unseeded_learners_once(spark, monkeypatch):
+    prep = _planted(spark, n=300)
+    fitted, fit = [], ln.fit_model
+    monkeypatch.setattr(ln, "fit_model", lambda df, label, kind, *rest: fitted.append(kind) or fit(df, label, kind, *rest))
+    oof, _, test = ln.stacking(prep, "y", 3, ["lr", "rf"], seed=[1, 2], params={"rf": {"numTrees": 2}})
+    # a base fit of "lr" for each fold; meta-learners for each seed: one for each fold and one on all rows
+    assert fitted.count("rf") == 2 * 3 and fitted.count("lr") == 3 + 2 * 3 + 2
+    assert oof.columns == ["id", "fold", "y", "p_meta"] and test.columns == ["id", "p_meta"]
+
+
 def test_nominal_features_split_by_sets_and_are_bounded(spark):
     import pytest
 
