@@ -231,3 +231,37 @@ def test_fewer_fits_at_once_on_more_rows(spark, monkeypatch):
     assert ln._fits_at_once(prep, "y", None) == 2 and ln._fits_at_once(prep, "y", 5) == 5
     monkeypatch.setattr(ln, "ROWS_AT_ONCE", 10)
     assert ln._fits_at_once(prep, "y", None) == 1
+
+
+def test_fits_on_the_same_folds_read_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(300).selectExpr("id", "cast(id % 3 AS int) AS fold", "cast(id % 7 AS double) AS a", "cast(id % 2 AS int) AS y")
+    prep = ln.prepare(df.mapInArrow(counted, df.schema), ["a"], "y", checkpoint=False)
+    specs = {f"p{s}": ("gbt", FAST, s) for s in range(3)}
+    oof, _ = ln.oof_matrix(prep, "y", 3, specs, parallelism=2)
+    assert seen.value == 3 * 300 + 3 * 300  # each fold's training rows, and each fold's scored rows
+    assert oof.count() == 300
+
+
+def test_shared_training_rows_are_released(spark, monkeypatch):
+    import pytest
+
+    prep, frames, fit = _planted(spark, n=200), [], ln.fit_model
+
+    def watched(train, label, kind, *rest):
+        frames.append((train, train.storageLevel.useMemory))
+        return fit(train, label, kind, *rest)
+
+    monkeypatch.setattr(ln, "fit_model", watched)
+    ln.oof_matrix(prep, "y", 3, {"a": ("lr", None, 1), "b": ("lr", {"regParam": 0.1}, 1)})
+    assert len(frames) == 6 and all(kept for _, kept in frames)
+    assert set(frames[0][0].columns) == {"y", ln.FEATURES}
+    with pytest.raises(ValueError, match="unknown learner"):
+        ln.oof_matrix(prep, "y", 3, {"a": ("lr", None, 1), "b": ("no", None, 1)}, parallelism=1)
+    assert not any(train.storageLevel.useMemory for train, _ in frames)
