@@ -25,7 +25,8 @@ Shape of a fit:
   row moves by the values of all blocks before its own;
 * margins are written with the table every ``MARGIN_ROUNDS`` rounds, so tasks replay only the
   trees since then, and a lost executor re-reads files.  A row of that table is a block of
-  many cases, as arrays;
+  many cases, as arrays of ``BLOCK_BYTES`` at most.  Margins of models that have stopped are
+  left out once they are half of them;
 * a tree is replayed by bit masks: each feature's bin leaves some leaves open, the one open for
   all features is the row's (:class:`Routes`).  Margins are only taken of rows that are summed.
 """
@@ -51,6 +52,17 @@ SCALE = float(1 << 24)  # sums are whole numbers of 1 / SCALE
 MARGIN_ROUNDS = 8
 TASK_MARGINS = 500_000  # rows x models that are worth a task
 BLOCK_ROWS = 1 << 14  # cases of a block; sums of hessians and row counts of one share a double (see ``_histogram``)
+BLOCK_BYTES = 4 << 20  # a block's margins: it has the fewer cases, the more models there are
+#: A row of blocks takes megabytes: row groups end at 8 MB, asked after each row (Parquet asks every 100 rows only), so that
+#: neither a writer nor a reader's batch holds a task's whole file.  Not compressed: a share of the files is then as large in
+#: memory as on disk.
+_WIDE_ROWS = {
+    "compression": "none",
+    "parquet.block.size": str(8 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+    "parquet.enable.dictionary": "false",
+}
 MOST_SUMS = 20_000_000  # (model, leaf, feature, bin) sums in one pass
 MOST_BINS = 254
 BINS = "_bins"
@@ -530,6 +542,7 @@ class Boosting:
         views = [(s.fold_out, o) for s, o in zip(specs, orders)]
         table = self._with_margins(self.rows, views, [(m.base, m.trees) for m in models], first=True)
         recent: list[list[Tree]] = [[] for _ in specs]  # the trees that the written margins lack
+        held = list(range(len(specs)))  # models whose margins are written
         active, written, turn = [True] * len(specs), 0, 0
         while any(active):
             # one pass for the losses of the trees so far and the sums of every root
@@ -539,7 +552,7 @@ class Boosting:
                 if active[i]
             }
             roots = {i: (_stump(n_bins), [0]) for i in growing}
-            sums, losses = self._summed(table, specs, views, models, recent, roots, n_features, n_bins, with_losses=True)
+            sums, losses = self._summed(table, held, specs, views, models, recent, roots, n_features, n_bins, with_losses=True)
             for i in list(growing):
                 self._note(models[i], losses[i])
                 growing[i].offer(0, sums[i][0])
@@ -556,20 +569,25 @@ class Boosting:
                         requests[i] = (g.tree(every_split=True), [g.numbers[w] for w in wanted], wanted)
                 if not requests:
                     break
-                sums, _ = self._summed(table, specs, views, models, recent, requests, n_features, n_bins)
+                sums, _ = self._summed(table, held, specs, views, models, recent, requests, n_features, n_bins)
                 for i, (_, _, wanted) in requests.items():
                     for node, s in zip(wanted, sums[i]):
                         growing[i].summed(node, s)
             grown = {i: g.tree() for i, g in growing.items()}
-            self._set_blocks(table, specs, views, models, recent, {i: t for i, t in grown.items() if orders[i]})
+            self._set_blocks(table, held, specs, views, models, recent, {i: t for i, t in grown.items() if orders[i]})
             for i, tree in grown.items():
                 models[i].trees.append(tree)
                 recent[i].append(tree)
             turn += 1
-            if turn - written >= MARGIN_ROUNDS and any(active):
-                newer = self._with_margins(table, views, [(0.0, r) for r in recent])
+            going, moves = [i for i in held if active[i]], turn - written >= MARGIN_ROUNDS
+            # models that have stopped need no margins: without them a pass reads less
+            if going and (moves or 2 * len(going) <= len(held)):
+                steps = [(0.0, recent[i] if moves else []) for i in going]
+                newer = self._with_margins(table, [views[i] for i in going], steps, [held.index(i) for i in going], len(held))
                 self.scratch.drop(table)
-                table, recent, written = newer, [[] for _ in specs], turn
+                table, held = newer, going
+                if moves:
+                    recent, written = [[] for _ in specs], turn
         self.scratch.drop(table)
         return models
 
@@ -592,12 +610,12 @@ class Boosting:
             self._counts = grouped.collect()  # two rows per fold
         return self._counts
 
-    def _set_blocks(self, table, specs, views, models, recent, trees: dict[int, Tree]) -> None:
+    def _set_blocks(self, table, held, specs, views, models, recent, trees: dict[int, Tree]) -> None:
         """Values of ordered models' new trees for the rows of each block: from the blocks before it."""
         if not trees:
             return
         requests = {i: (t, list(range(len(t.left)))) for i, t in trees.items()}
-        sums, _ = self._summed(table, specs, views, models, recent, requests, 1, BLOCKS, by_block=True)
+        sums, _ = self._summed(table, held, specs, views, models, recent, requests, 1, BLOCKS, by_block=True)
         for i, t in trees.items():
             p = specs[i].params
             before = np.cumsum(sums[i][:, 0], axis=1) - sums[i][:, 0]  # nodes x blocks x (g, h, n)
@@ -624,13 +642,17 @@ class Boosting:
             return True
         return p.patience is not None and bool(model.valid_loss) and model.rounds - model.best_round >= p.patience
 
-    def _with_margins(self, table: DataFrame, views: list[tuple], steps: list[tuple], first: bool = False) -> DataFrame:
-        """The table with every model's margins, moved on by base and trees, written in blocks of rows."""
+    def _with_margins(self, table: DataFrame, views: list[tuple], steps: list[tuple], places: Sequence[int] = (), n_held: int = 0,
+                      first: bool = False) -> DataFrame:
+        """The table with every model's margins, moved on by base and trees, written in blocks of rows.
+
+        ``places`` of the ``n_held`` margins that ``table`` has are kept (``first``: it has none yet).
+        """
         shared = self.spark.sparkContext.broadcast([(*v, base, Routes(trees)) for v, (base, trees) in zip(views, steps)])
-        n_features, n_models = len(self.binner.features), len(steps)
+        n_features, n_models, most = len(self.binner.features), len(steps), _block_rows(len(steps))
 
         def move(batches):
-            for block in _packed(batches, n_features, shared.value) if first else _unpacked(batches, n_features, n_models):
+            for block in _packed(batches, n_features, shared.value, most) if first else _unpacked(batches, n_features, n_held, places):
                 for m, (_, _, base, routes) in enumerate(shared.value):
                     block.margins[m] += base + routes.scores(block.codes, block.blocks_of(m))
                 yield block.record()
@@ -638,12 +660,11 @@ class Boosting:
         if first:  # small tables in few tasks: a pass takes as long as starting them
             rows = sum(r["n"] for r in self._grouped())
             table = table.coalesce(max(1, -(-rows * n_models // TASK_MARGINS)))
-        # not compressed: a task's share of the files is then as large in memory as on disk
-        saved = self.scratch.save(table.mapInArrow(move, _BLOCK), "margins", compression="none")
+        saved = self.scratch.save(table.mapInArrow(move, _BLOCK), "margins", **_WIDE_ROWS)
         shared.destroy()
         return saved
 
-    def _summed(self, table: DataFrame, specs, views, models, recent, requests: Mapping, n_features: int, n_bins: int, by_block: bool = False,
+    def _summed(self, table: DataFrame, held, specs, views, models, recent, requests: Mapping, n_features: int, n_bins: int, by_block: bool = False,
                 with_losses: bool = False):
         """Sums of the requested nodes of each model, and (``with_losses``) its losses, in one pass.
 
@@ -655,13 +676,13 @@ class Boosting:
             p = specs[i].params
             place = np.full(len(request[0].left), -1)
             place[request[1]] = np.arange(len(request[1]))
-            work.append((i, views[i][0], Routes(recent[i]), Routes([request[0]]), place, len(request[1]), at, p.seed, models[i].rounds,
+            work.append((held.index(i), views[i][0], Routes(recent[i]), Routes([request[0]]), place, len(request[1]), at, p.seed, models[i].rounds,
                          p.row_fraction))
             at += len(request[1]) * n_features * n_bins
         if at > MOST_SUMS:
             raise ValueError(f"{at} sums in one pass: fewer models, leaves, features or bins are needed (limit {MOST_SUMS})")
         shared = self.spark.sparkContext.broadcast(work)
-        n_models, slots = len(specs), at
+        n_models, slots = len(held), at
 
         def collect(batches):
             sums = np.zeros((slots, 3), dtype=np.int64)
@@ -703,9 +724,9 @@ class Boosting:
         losses = np.zeros((n_models * 2, 2), dtype=np.int64)
         losses[-1 - slot[slot < 0]] = values[slot < 0][:, [0, 2]]
         out = {}
-        for i, _, _, _, _, n_nodes, begin, *_ in work:
+        for i, (_, _, _, _, _, n_nodes, begin, *_) in zip(requests, work):
             out[i] = sums[begin : begin + n_nodes * n_features * n_bins].reshape(n_nodes, n_features, n_bins, 3)
-        return out, losses.reshape(n_models, 2, 2)
+        return out, dict(zip(held, losses.reshape(n_models, 2, 2)))
 
 
 _BLOCK = "y binary, key binary, fold binary, valid binary, bins binary, margins binary, blocks binary"
@@ -741,8 +762,13 @@ class _Block:
         return self._kept[seed, turn, fraction]
 
 
-def _packed(batches, n_features: int, views):
-    """Blocks of rows, from batches of the written rows."""
+def _block_rows(n_models: int) -> int:
+    """Cases of a block for so many models."""
+    return max(256, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, n_models))))
+
+
+def _packed(batches, n_features: int, views, most: int):
+    """Blocks of ``most`` rows, from batches of the written rows."""
     held, size = [], 0
 
     def block(parts):
@@ -754,9 +780,9 @@ def _packed(batches, n_features: int, views):
         return _Block(y, key, fold, valid, np.ascontiguousarray(bins.T), np.zeros((len(views), len(y))), blocks)
 
     for batch in batches:
-        for start in range(0, batch.num_rows, BLOCK_ROWS):
-            part = batch.slice(start, BLOCK_ROWS)
-            if size + part.num_rows > BLOCK_ROWS:
+        for start in range(0, batch.num_rows, most):
+            part = batch.slice(start, most)
+            if size + part.num_rows > most:
                 yield block(held)
                 held, size = [], 0
             columns = [part.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
@@ -766,13 +792,15 @@ def _packed(batches, n_features: int, views):
         yield block(held)
 
 
-def _unpacked(batches, n_features: int, n_models: int):
-    """The blocks of the written table."""
+def _unpacked(batches, n_features: int, n_models: int, places: Sequence[int] = ()):
+    """The blocks of the written table (``places``: only these of its models)."""
     kinds = [np.float64, np.int64, np.int32, bool, np.uint8, np.float64, np.int8]
     for batch in batches:
         for i in range(batch.num_rows):
             y, key, fold, valid, bins, margins, blocks = (np.frombuffer(c[i].as_buffer(), dtype=t) for c, t in zip(batch.columns, kinds))
-            yield _Block(y, key, fold, valid, bins.reshape(n_features, -1), margins.reshape(n_models, -1).copy(), blocks.reshape(-1, len(y)))
+            margins, blocks = margins.reshape(n_models, -1), blocks.reshape(-1, len(y))
+            kept = list(places) or slice(None)
+            yield _Block(y, key, fold, valid, bins.reshape(n_features, -1), margins[kept].copy(), blocks[kept] if len(blocks) else blocks)
 
 
 def _histogram(place: np.ndarray, codes: np.ndarray, y: np.ndarray, p: np.ndarray, n_nodes: int, n_bins: int) -> np.ndarray:

@@ -336,3 +336,39 @@ def test_histogram_sums_are_exact():
                 assert got[node, f, b].tolist() == [rows * 2**23, rows * 2**22, rows]
     whole = bo._histogram(np.zeros(n, int), np.zeros((1, n), int), y, p, 1, 1)
     assert whole.ravel().tolist() == [n * 2**23, n * 2**22, n]
+
+
+def test_blocks_and_files_stay_small_with_many_models(planted, monkeypatch, tmp_path):
+    """A block's margins take at most ``BLOCK_BYTES`` and a row group a few blocks, whatever the models' number."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(bo, "BLOCK_BYTES", 1 << 14)
+    monkeypatch.setattr(bo, "_WIDE_ROWS", {**bo._WIDE_ROWS, "parquet.block.size": str(1 << 15)})
+    folders, save = [], bo.Scratch.save
+
+    def saved(self, df, name="table", *a, **k):
+        out = save(self, df, name, *a, **k)
+        if name == "margins":
+            folders.append([(g.num_rows, f.schema_arrow.names) for p in glob.glob(out.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0] + "/*.parquet")
+                            for f in [pq.ParquetFile(p)] for g in map(f.metadata.row_group, range(f.metadata.num_row_groups))])
+            sizes.append(max(r[0] for r in out.selectExpr("length(margins)").collect()))
+        return out
+
+    sizes: list[int] = []
+    monkeypatch.setattr(bo.Scratch, "save", saved)
+    got = planted[3].fit([bo.Spec(bo.Params(rounds=1), fold_out=i % 3) for i in range(8)])
+    assert len(got) == 8 and sizes[0] <= 1 << 14
+    assert max(n for n, _ in folders[0]) <= 3 and sum(n for n, _ in folders[0]) >= 2000 * 8 * 8 >> 14
+
+
+def test_stopped_models_leave_the_table(planted, monkeypatch):
+    """Margins of models that have stopped are not written on; the others stay as they are alone."""
+    held, save = [], bo.Boosting._with_margins
+    monkeypatch.setattr(bo.Boosting, "_with_margins", lambda self, table, views, *a, **k: held.append(len(views)) or save(self, table, views, *a, **k))
+    long, short = bo.Spec(bo.Params(rounds=10, num_leaves=4), fold_out=0), bo.Spec(bo.Params(rounds=2, num_leaves=4), fold_out=1)
+    together = planted[3].fit([short, long, short])
+    assert held == [3, 1, 1]
+    (alone,) = planted[3].fit([long])
+    assert bo.to_json(together[1]) == bo.to_json(alone) and [m.rounds for m in together] == [2, 10, 2]
