@@ -7,8 +7,10 @@ All trees (of all folds) grow together over one written table.  A level takes tw
 2. rows and positives on the left of each of these thresholds; the node takes the feature
    whose threshold lowers the Gini impurity most.
 
-A pass assigns rows to nodes by replaying the trees so far, so nothing is kept per row.  A task
-sorts a tree's rows by node and gives one row per (tree, node, feature).
+A pass assigns rows to nodes by replaying the trees so far, so nothing is kept per row.  Trees of
+at most 64 leaves are replayed by bit masks, some of them at a time (:class:`_Group`): a value is
+placed among their thresholds once, and each feature's place leaves some leaves open.  A task
+gives one row per (tree, node, feature).
 Draws depend on the seed, tree, node and feature, and sums are whole numbers, so a seed gives
 the same trees in every partitioning.  The driver receives one row per (node, feature).
 """
@@ -24,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship_package
+from .boost import _SEQUENCE
 
 MOST_SUMS = 20_000_000  # (tree, node, feature) rows of one pass
-BLOCK_ROWS = 1 << 17  # rows that a tree takes together
+BLOCK_ROWS = 1 << 16  # rows that a tree takes together
+GROUP_TREES = 64  # trees whose thresholds are sorted together: their tables grow with the square of their number
 
 
 @dataclass
@@ -56,6 +60,155 @@ class RandomTree:
         return share[self.leaves(x)]
 
 
+def _laid_out(tree: RandomTree) -> tuple[list[int], list[int]]:
+    """A tree's leaves, and for each node the leaves under it as bits."""
+    ends = [i for i, child in enumerate(tree.left) if child < 0]
+    under = [0] * len(tree.left)
+    for place, node in enumerate(ends):
+        under[node] = 1 << place
+    for node in range(len(under) - 1, -1, -1):  # children are numbered after their parent
+        if tree.left[node] >= 0:
+            under[node] = under[tree.left[node]] | under[tree.right[node]]
+    return ends, under
+
+
+class _Group:
+    """Trees of at most 64 leaves, laid out for many rows.
+
+    A value's place is the number of the group's thresholds below it (a missing value's is the
+    last); a tree has for each of its features the leaves that a place leaves open, as bits.
+    Thresholds ``tried`` at a tree's leaves have the bits of the leaves where a place goes left.
+    """
+
+    def __init__(self, trees: Sequence[RandomTree], tried: Sequence[dict] | None = None):
+        self.trees, self.tried = list(trees), list(tried or [{} for _ in trees])
+        cuts: dict[int, set[float]] = {}
+        for t, nodes in zip(self.trees, self.tried):
+            for node, child in enumerate(t.left):
+                if child >= 0:
+                    cuts.setdefault(t.feature[node], set()).add(t.threshold[node])
+            for entries in nodes.values():
+                for _, f, threshold in entries:
+                    cuts.setdefault(f, set()).add(threshold)
+        self.cuts = {f: np.array(sorted(c)) for f, c in cuts.items()}
+        number = {f: {c: i + 1 for i, c in enumerate(cut.tolist())} for f, cut in self.cuts.items()}
+        self.words, self.goes_left, self.products = [], [], []
+        for t, nodes in zip(self.trees, self.tried):
+            ends, under = _laid_out(t)
+            whole, words, goes_left = (1 << len(ends)) - 1, {}, {}
+            for node, child in enumerate(t.left):
+                if child >= 0:
+                    f = t.feature[node]
+                    cut = number[f][t.threshold[node]]
+                    word = words.setdefault(f, np.full(len(self.cuts[f]) + 1, whole, dtype=np.uint64))
+                    word[:cut] &= np.uint64(whole ^ under[t.right[node]])
+                    word[cut:] &= np.uint64(whole ^ under[child])
+            for node, entries in nodes.items():
+                for _, f, threshold in entries:
+                    word = goes_left.setdefault(f, np.zeros(len(self.cuts[f]) + 1, dtype=np.uint64))
+                    word[: number[f][threshold]] |= np.uint64(under[node])
+            self.words.append(words)
+            self.goes_left.append(goes_left)
+            products = ((np.uint64(1) << np.arange(len(ends), dtype=np.uint64)) * _SEQUENCE) >> np.uint64(58)
+            self.products.append(dict(zip(ends, products.tolist())))
+
+    def places(self, columns: np.ndarray) -> dict[int, np.ndarray]:
+        """The places of some rows (``columns``: features x rows) by feature."""
+        return {f: np.searchsorted(cut, columns[f]) for f, cut in self.cuts.items()}
+
+    def open_leaf(self, i: int, places: dict[int, np.ndarray], n: int) -> np.ndarray:
+        """The bit of each row's leaf in tree ``i``."""
+        found = None
+        for f, word in self.words[i].items():
+            found = word[places[f]] if found is None else np.bitwise_and(found, word[places[f]], out=found)
+        return np.ones(n, dtype=np.uint64) if found is None else found
+
+    def probabilities(self, columns: np.ndarray):
+        """Each tree's probabilities of the rows."""
+        places, n = self.places(columns), columns.shape[1]
+        for i, t in enumerate(self.trees):
+            share = np.zeros(64)
+            for node, product in self.products[i].items():
+                share[product] = t.positives[node] / max(t.rows[node], 1)
+            yield share[_products(self.open_leaf(i, places, n))]
+
+
+def _products(bit: np.ndarray) -> np.ndarray:
+    """A number below 64 for each single bit."""
+    return ((bit * _SEQUENCE) >> np.uint64(58)).view(np.int64)
+
+
+def _groups(work: Sequence[tuple], tried: bool = False) -> tuple[list[tuple], list[tuple]]:
+    """(fold left out, group, requests by tree) of trees with at most 64 leaves; the other trees' work."""
+    groups, rest, parts = [], [], {}
+    for tree, nodes in work:
+        if (len(tree.left) + 1) // 2 > 64:
+            rest.append((tree, nodes))
+        else:
+            parts.setdefault(tree.fold_out, []).append((tree, nodes))
+    for fold_out, members in parts.items():
+        for i in range(0, len(members), GROUP_TREES):
+            trees, nodes = zip(*members[i : i + GROUP_TREES])
+            groups.append((fold_out, _Group(trees, nodes if tried else None), nodes))
+    return groups, rest
+
+
+def _ranges(group: _Group, requests: Sequence[dict], columns: np.ndarray, y: np.ndarray):
+    """Least and greatest values of the requested nodes and features."""
+    places, n = group.places(columns), columns.shape[1]
+    if not n:
+        return
+    missing = np.isnan(columns)
+    lows, highs = (np.where(missing, np.inf, columns), np.where(missing, -np.inf, columns)) if missing.any() else (columns, columns)
+    for i, nodes in enumerate(requests):
+        if len(group.trees[i].left) == 1:
+            place, order, present, starts = {0: 0}, slice(None), np.zeros(1, int), np.zeros(1, int)
+        else:
+            product = _products(group.open_leaf(i, places, n))
+            sizes = np.bincount(product, minlength=64)
+            present = np.flatnonzero(sizes)
+            starts = (np.cumsum(sizes) - sizes)[present]
+            order = np.argsort(product.astype(np.uint8), kind="stable")  # short numbers are sorted in linear time
+            place = group.products[i]
+        at = np.full(64, -1)
+        at[present] = np.arange(len(present))
+        wanted: dict[int, list] = {}
+        for node, entries in nodes.items():
+            if at[place[node]] >= 0:
+                for slot, f in entries:
+                    wanted.setdefault(f, []).append((slot, at[place[node]]))
+        for f, slots in wanted.items():
+            low, high = np.minimum.reduceat(lows[f][order], starts), np.maximum.reduceat(highs[f][order], starts)
+            for slot, j in slots:
+                if low[j] <= high[j]:
+                    yield slot, float(low[j]), float(high[j])
+
+
+def _counts(group: _Group, requests: Sequence[dict], columns: np.ndarray, y: np.ndarray):
+    """Rows and positives on the left of each tried threshold."""
+    places, n = group.places(columns), columns.shape[1]
+    for i, nodes in enumerate(requests):
+        leaf = group.open_leaf(i, places, n)
+        product = _products(leaf)
+        goes_left = list(group.goes_left[i].items())
+        found = {}
+        for begin in range(0, len(goes_left), 5):  # a bit of each row's key tells whether it goes left by a feature
+            some = goes_left[begin : begin + 5]
+            key = product << len(some)
+            for j, (f, word) in enumerate(some):
+                key |= ((leaf & word[places[f]]) != 0).astype(np.int64) << j
+            shape = (64, *(2,) * len(some))
+            totals = [np.bincount(key, weights, 64 << len(some)).reshape(shape) for weights in (None, y)]
+            for j, (f, _) in enumerate(some):
+                others = tuple(axis for axis in range(1, len(shape)) if axis != len(some) - j)
+                found[f] = [t.sum(axis=others)[:, 1] for t in totals]
+        for node, entries in nodes.items():
+            product_of = group.products[i][node]
+            for slot, f, _ in entries:
+                if found[f][0][product_of]:
+                    yield slot, int(found[f][0][product_of]), int(found[f][1][product_of])
+
+
 def _matrix(columns: Sequence[pa.Array]) -> np.ndarray:
     return np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in columns], axis=1)
 
@@ -76,11 +229,23 @@ def _blocks(batches):
         yield tuple(np.concatenate(x) for x in zip(*held))
 
 
-def _accumulated(batches, work, per_batch, aggregates: dict[str, str]):
-    """``per_batch`` of each tree's nodes and their rows, a row per slot for the whole task."""
+def _accumulated(batches, work, per_batch, aggregates: dict[str, str], per_group=None, tried: bool = False):
+    """``per_batch`` of each tree's nodes and their rows, a row per slot for the whole task.
+
+    ``per_group`` gives the same of a group of trees; larger trees are taken one by one.
+    """
     joins = [_JOIN[f] for f in aggregates.values()]
     found: dict[int, list] = {}
+    groups, work = _groups(work, tried) if per_group else ([], work)
     for y, folds, x in _blocks(batches):
+        last, rows = None, None  # the groups of a fold come in turn
+        for fold_out, group, requests in groups:
+            if rows is None or last != fold_out:
+                kept = slice(None) if fold_out is None else folds != fold_out
+                last, rows = fold_out, (np.ascontiguousarray(x[kept].T), y[kept].astype(np.float64))
+            for slot, *values in per_group(group, requests, *rows):
+                old = found.get(slot)
+                found[slot] = values if old is None else [join(a, b) for join, a, b in zip(joins, old, values)]
         seen: dict[int | None, tuple] = {}
         for tree, nodes in work:
             if tree.fold_out not in seen:
@@ -110,11 +275,11 @@ class _Levels:
     def __init__(self, table: DataFrame, n_features: int):
         self.table, self.n_features, self.spark = table, n_features, table.sparkSession
 
-    def _pass(self, trees: list[RandomTree], work: dict, per_batch, aggregates: dict[str, str]) -> dict[int, tuple]:
+    def _pass(self, trees: list[RandomTree], work: dict, per_batch, aggregates: dict[str, str], per_group, tried: bool) -> dict[int, tuple]:
         """``per_batch`` of each tree and its rows, aggregated by slot."""
         shared = self.spark.sparkContext.broadcast([(trees[t], nodes) for t, nodes in work.items()])
         schema = ", ".join(["slot long", *(f"{n} {'long' if f == 'sum' else 'double'}" for n, f in aggregates.items())])
-        parts = self.table.mapInArrow(lambda batches: _accumulated(batches, shared.value, per_batch, aggregates), schema)
+        parts = self.table.mapInArrow(lambda batches: _accumulated(batches, shared.value, per_batch, aggregates, per_group, tried), schema)
         grouped = parts.groupBy("slot").agg(*[getattr(F, f)(n).alias(n) for n, f in aggregates.items()]).toArrow()
         shared.destroy()
         return {row[0]: row[1:] for row in zip(*(c.to_pylist() for c in grouped.columns))}
@@ -129,7 +294,7 @@ class _Levels:
                     out.append((slot, float(v.min()), float(v.max())))
             return out
 
-        return self._pass(trees, work, per_batch, {"low": "min", "high": "max"})
+        return self._pass(trees, work, per_batch, {"low": "min", "high": "max"}, _ranges, False)
 
     def counts(self, trees, work):
         def per_batch(x, y, entries):
@@ -139,7 +304,7 @@ class _Levels:
                 out.append((slot, int(go.sum()), int(y[go].sum())))
             return out
 
-        return self._pass(trees, work, per_batch, {"n": "sum", "pos": "sum"})
+        return self._pass(trees, work, per_batch, {"n": "sum", "pos": "sum"}, _counts, True)
 
 
 def _gini(n, pos):
@@ -219,11 +384,22 @@ def forest_scores(df: DataFrame, features: Sequence[str], forests: dict[int | No
                   out: str = "p") -> DataFrame:
     """``df`` with the mean probability of the forest that did not see the row's fold (of all, for a row of no such fold)."""
     ship_package(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(forests)
+    small = {f: all((len(t.left) + 1) // 2 <= 64 for t in trees) for f, trees in forests.items()}
+    laid_out = {
+        f: [_Group(trees[i : i + GROUP_TREES]) for i in range(0, len(trees), GROUP_TREES)] if small[f] else trees for f, trees in forests.items()
+    }
+    shared = df.sparkSession.sparkContext.broadcast(laid_out)
 
     def score(folds: pa.Array, *columns: pa.Array) -> pa.Array:
         x, own = _matrix(columns), folds.to_numpy(zero_copy_only=False)
-        p = {f: np.mean([t.probabilities(x) for t in trees], axis=0) for f, trees in shared.value.items()}
+        by_feature, p = np.ascontiguousarray(x.T), {}
+        for f, parts in shared.value.items():
+            each = (q for g in parts for q in g.probabilities(by_feature)) if small[f] else (t.probabilities(x) for t in parts)
+            total, n_trees = np.zeros(len(x)), 0
+            for q in each:
+                total += q
+                n_trees += 1
+            p[f] = total / n_trees
         mean = np.mean(list(p.values()), axis=0)
         for f, values in p.items():
             if f is not None:

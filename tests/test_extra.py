@@ -69,3 +69,59 @@ def test_a_task_gives_each_sum_once():
     ranges = ex._accumulated(iter(batches), [(tree, {1: [(7, 0)], 2: [(8, 0)]})], lambda x, y, e: [(s, float(x[:, f].min()), int(y.sum())) for s, f in e], {"low": "min", "pos": "sum"})
     (got,) = [b.to_pylist() for b in ranges]
     assert [r["slot"] for r in got] == [7, 8] and got[0] == {"slot": 7, "low": 0.25, "pos": 0} and got[1]["pos"] == 2
+
+
+def random_tree(rng, leaves, n_features, fold_out):
+    t = ex.RandomTree(fold_out)
+    ends = [0]
+    while len(ends) < leaves:
+        node = ends.pop(rng.integers(len(ends)))
+        t.feature[node], t.threshold[node] = int(rng.integers(n_features)), float(rng.integers(0, 9))
+        for side in (t.left, t.right):
+            side[node] = len(t.left)
+            for values, v in ((t.feature, 0), (t.threshold, 0.0), (t.left, -1), (t.right, -1), (t.rows, int(rng.integers(1, 50))), (t.positives, 1)):
+                values.append(v)
+            ends.append(side[node])
+    return t
+
+
+def test_groups_of_trees_give_what_single_trees_give():
+    """Bit masks find the same leaves, ranges and counts as walking each tree, missing values and large trees included."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 10, (700, 7)).astype(float)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y, folds = rng.integers(0, 2, 700), rng.integers(0, 3, 700)
+    columns = [pa.array(y), pa.array(folds, pa.int32()), *(pa.array(c) for c in x.T)]
+    batches = [pa.RecordBatch.from_arrays([c.slice(i, 100) for c in columns], [str(j) for j in range(9)]) for i in range(0, 700, 100)]
+    trees = [random_tree(rng, leaves, 7, fold) for leaves in (1, 2, 9, 64, 70) for fold in (0, 2)]
+    assert [len(g[1].trees) for g in ex._groups([(t, {}) for t in trees])[0]] == [4, 4] and len(ex._groups([(t, {}) for t in trees])[1]) == 2
+    for t in trees[:8]:
+        (got,) = ex._Group([t]).probabilities(np.ascontiguousarray(x.T))
+        assert got.tolist() == t.probabilities(x).tolist()
+    slot, asked, tried = 0, [], []
+    for t in trees:
+        ranges, counts = {}, {}
+        for node in (i for i, c in enumerate(t.left) if c < 0):
+            for f in rng.permutation(7)[:6].tolist():
+                ranges.setdefault(node, []).append((slot, f))
+                counts.setdefault(node, []).append((slot, f, float(rng.integers(0, 9))))
+                slot += 1
+        asked.append((t, ranges))
+        tried.append((t, counts))
+
+    class Passes(ex._Levels):
+        def __init__(self):
+            pass
+
+        def _pass(self, trees, work, per_batch, aggregates, per_group, thresholds):
+            pairs = [{r["slot"]: tuple(r.values())[1:] for b in ex._accumulated(iter(batches), work, per_batch, aggregates, g, thresholds)
+                      for r in b.to_pylist()} for g in (None, per_group)]
+            return pairs
+
+    walked, masked = Passes().ranges(trees, asked)
+    assert walked == masked and len(walked) > 100
+    walked, masked = Passes().counts(trees, tried)
+    found = [{s: v for s, v in x.items() if v[0]} for x in (walked, masked)]  # rows on the left
+    assert found[0] == found[1] and len(found[0]) > 100
