@@ -8,8 +8,6 @@ sorted by word, and words are numbered in byte order, so n-grams are listed in o
 
 from __future__ import annotations
 
-import io
-
 import numpy as np
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -188,10 +186,33 @@ class CountAutomaton:
         return np.where(alive, states, 0)
 
     def cut(self, places: list[int]) -> list[CountAutomaton]:
-        """Automata of the n-grams before, between and behind ``places`` in the list."""
+        """Automata of the n-grams before, between and behind ``places`` in the list.
+
+        They may be many and small, and are soon united: each is a tree, its equal states are not merged.
+        """
         rows, counts = self.listed()
-        ends = [0, *places, len(rows)]
-        return [self.build(self.words, rows[a:b], counts[a:b]) for a, b in zip(ends, ends[1:])]
+        n_rows = len(rows)
+        # where the n-grams that share their first words begin, for one such word, two, ...
+        begins, fresh = [], np.arange(n_rows) == 0
+        for column in rows.T[:-1]:
+            fresh[1:] |= column[1:] != column[:-1]
+            begins.append(np.flatnonzero(fresh))
+        ends = [0, *places, n_rows]
+        return [self._slice(rows, counts, begins, a, b) for a, b in zip(ends, ends[1:])]
+
+    def _slice(self, rows: np.ndarray, counts: np.ndarray, begins: list[np.ndarray], a: int, b: int) -> CountAutomaton:
+        """The tree of the n-grams from ``a`` to ``b``: a state for each of their beginnings."""
+        used, numbers = np.unique(rows[a:b], return_inverse=True)
+        numbers = numbers.reshape(-1, self.n)
+        states = []
+        for begin in begins:
+            inner = begin[np.searchsorted(begin, a, "right") : np.searchsorted(begin, b)]
+            states.append(np.append(0, inner - a) if b > a else np.zeros(0, np.int64))
+        arcs = [*states, np.arange(b - a)]
+        firsts = [np.array([0, len(arcs[0])])]
+        firsts += [np.append(np.searchsorted(arcs[i + 1], own), len(arcs[i + 1])) for i, own in enumerate(states)]
+        labels = [numbers[at, i] for i, at in enumerate(arcs)]
+        return CountAutomaton([self.words[i] for i in used.tolist()], firsts, labels, [*(np.arange(len(x)) for x in states), counts[a:b]])
 
     def at_least(self, count: int) -> CountAutomaton:
         rows, counts = self.listed()
@@ -199,33 +220,34 @@ class CountAutomaton:
         return self.build(self.words, rows[kept], counts[kept])
 
     @classmethod
-    def union(cls, automata: list[CountAutomaton]) -> CountAutomaton:
-        """All n-grams of some automata, equal ones with the sum of their counts."""
-        words = sorted({w for a in automata for w in a.words})
-        number = {w: i for i, w in enumerate(words)}
+    def union(cls, automata: list[CountAutomaton], least: int = 0) -> CountAutomaton:
+        """All n-grams of some automata, equal ones with the sum of their counts (those of ``least`` or more)."""
+        words = sorted(set().union(*[a.words for a in automata]))
+        number = dict(zip(words, range(len(words))))
         rows, counts = [], []
         for a in automata:
             own, c = a.listed()
-            rows.append(np.array([number[w] for w in a.words], dtype=np.int64)[own])
+            rows.append(np.fromiter(map(number.__getitem__, a.words), np.int64, len(a.words))[own])
             counts.append(c)
         rows, counts = summed(np.concatenate(rows), np.concatenate(counts), len(words) + 1)
-        return cls.build(words, rows, counts)
+        kept = counts >= least
+        return cls.build(words, rows[kept], counts[kept])
 
     def to_bytes(self) -> bytes:
-        """Words hold no line feed, so they are joined by it."""
-        out = io.BytesIO()
+        """Words hold no line feed, so they are joined by it.  Widths and lengths of all parts come first."""
         least = lambda x: x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
-        text = np.frombuffer(b"\n".join(self.words), dtype=np.uint8)
-        for x in (np.array([self.n, len(self.words)]), text, *self.firsts, *self.labels, *self.ends):
-            np.save(out, least(x) if x is not text else x, allow_pickle=False)
-        return out.getvalue()
+        text, parts = b"\n".join(self.words), [least(x) for x in (*self.firsts, *self.labels, *self.ends)]
+        head = [self.n, len(self.words), len(text), *(v for x in parts for v in (x.itemsize, len(x)))]
+        return b"".join([np.array(head, dtype=np.int64).tobytes(), text, *(x.tobytes() for x in parts)])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> CountAutomaton:
-        stream = io.BytesIO(data)
-        load = lambda: np.load(stream, allow_pickle=False)
-        n, n_words = load().tolist()
-        text = load().tobytes()
-        levels = [[load() for _ in range(n)] for _ in range(3)]
-        levels[0] = [x.astype(np.int64) for x in levels[0]]
-        return cls(text.split(b"\n") if n_words else [], *levels)
+        n, n_words, n_text = np.frombuffer(data, np.int64, 3).tolist()
+        sizes = np.frombuffer(data, np.int64, 6 * n, 24).reshape(-1, 2).tolist()
+        at = 24 + 48 * n + n_text
+        text, parts = data[at - n_text : at], []
+        for width, length in sizes:
+            parts.append(np.frombuffer(data[at : at + width * length], f"u{width}"))
+            at += width * length
+        firsts = [x.astype(np.int64) for x in parts[:n]]
+        return cls(text.split(b"\n") if n_words else [], firsts, parts[n : 2 * n], parts[2 * n :])

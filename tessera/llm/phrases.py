@@ -244,7 +244,7 @@ def _united(pieces: DataFrame, least: int) -> DataFrame:
     """One automaton for each range: counts summed over its pieces, rarer n-grams dropped."""
 
     def unite(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = CountAutomaton.union([CountAutomaton.from_bytes(b) for b in pdf["automaton"]]).at_least(least)
+        whole = CountAutomaton.union([CountAutomaton.from_bytes(b) for b in pdf["automaton"]], least)
         return pd.DataFrame({"part": [key[0]], "lang": [key[1]], "automaton": [whole.to_bytes()]})
 
     return pieces.groupBy("part", "lang").applyInPandas(unite, _PIECE)

@@ -172,3 +172,22 @@ def test_runs_leave_a_task_one_at_a_time():
     batches = list(ph._as_runs("en", 11, [b"%02d" % i for i in range(11)], rows, np.ones(10, np.int64), 4))
     assert [b.num_rows for b in batches] == [1, 1, 1]
     assert [b.column(2)[0].as_py() for b in batches] == [4, 4, 2] and [b.column(3)[0].as_py() for b in batches] == [11, 0, 0]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_small_pieces_of_a_run_stay_small(n):
+    """A run cut into many pieces: each as bytes is little more than its n-grams, and united they are the run."""
+    rng = np.random.default_rng(n)
+    words = sorted(f"w{i}".encode() for i in range(40))
+    rows = np.unique(rng.integers(0, 40, (900, n)), axis=0)
+    counts = rng.integers(1, 300, len(rows))
+    run = CountAutomaton.build(words, rows, counts)
+    places = sorted(rng.integers(0, len(rows) + 1, 60).tolist())
+    blobs = [p.to_bytes() for p in run.cut(places)]
+    assert len(blobs) == 61 and max(len(b) - 40 * n * (p - q) for b, q, p in zip(blobs, [0, *places], [*places, len(rows)])) < 400
+    pieces = [CountAutomaton.from_bytes(b) for b in blobs]
+    listed = [(g, c) for p in pieces if p.words for g, c in zip(p.grams(p.listed()[0]), p.listed()[1].tolist())]
+    assert listed == list(zip(run.grams(rows), counts.tolist()))
+    for least in (0, 150):
+        whole, wanted = CountAutomaton.union(pieces, least), run.at_least(least)
+        assert whole.to_bytes() == wanted.to_bytes()
